@@ -220,7 +220,7 @@ def _landed(spark, sf) -> tuple[str, int]:
     """Raw pings as JSON files in arrival order, and how many of them make half of the input."""
     folder, parts = scratch_path(spark, "landing"), shuffle_partitions(spark)
     pings = tables.raw_pings(spark, sf).repartitionByRange(parts, "arrived_at", "seq")
-    pings.write.json(folder)
+    pings.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
     return folder, (parts + 1) // 2
 
 

@@ -20,6 +20,15 @@ OUTSIDE = "out_of_bounds"
 _FALSY_TEXT = r"^\s*([-+]?0*\.?0*([eE][-+]?\d+)?|false|\[\s*\]|\{\s*\})\s*$"
 
 
+# How numbers that JSON itself lacks come out when a bare token is read as text.
+_BARE_TOKENS = ('"NaN"', '"Infinity"', '"-Infinity"')
+
+
+def _number(text: Column) -> Column:
+    bare = F.when(text.isin(*_BARE_TOKENS), F.btrim(text, F.lit('"')))
+    return F.coalesce(text.try_cast("double"), bare.try_cast("double"))
+
+
 def _json(column: Column, ddl: str) -> Column:
     return F.from_json(column, schemas.struct(ddl), {"columnNameOfCorruptRecord": "_broken"})
 
@@ -134,9 +143,9 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
     )
     numbers = located.select(
         "*",
-        F.col("lon_text").try_cast("double").alias("lon"),
-        F.col("lat_text").try_cast("double").alias("lat"),
-        p["velocidad_kmh"].try_cast("double").alias("velocidad_kmh"),
+        _number(F.col("lon_text")).alias("lon"),
+        _number(F.col("lat_text")).alias("lat"),
+        _number(p["velocidad_kmh"]).alias("velocidad_kmh"),
     )
 
     lat, lon = F.col("lat"), F.col("lon")

@@ -37,9 +37,23 @@ def _rows(columns, rows):
     return sorted([tuple(_plain(r[i]) for i in order) for r in rows], key=lambda r: tuple(str(v) for v in r))
 
 
+# DuckDB type of each Spark type the queries return.
+SAME_TYPE = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(df, con, sql: str) -> list[str]:
+    theirs = {name: str(kind) for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{c}: {t} is not {theirs.get(c)}" for c, t in df.dtypes if SAME_TYPE.get(t) != theirs.get(c)]
+
+
 def differences(spark: SparkSession, con, query, sql: str, sf_dir: str) -> str | None:
     """None when both engines give the same rows, otherwise what differs first."""
     df = query(spark, sf_dir)
+    if wrong_types := type_differences(df, con, sql):
+        return "; ".join(wrong_types)
     mine = _rows(df.columns, df.collect())
     answer = con.execute(sql)
     names = [d[0] for d in answer.description]

@@ -1,4 +1,4 @@
-"""Event time, arrival time and what is derived from the two."""
+"""Differences between moments."""
 
 from __future__ import annotations
 
@@ -6,18 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def event_time(text: Column, arrived_at: Column) -> Column:
-    """Parsed event time, or the arrival time when there is none to parse.
-
-    The arrival time is a column of the landed data and not the clock, so a rerun gives the same rows.
-    """
-    return F.coalesce(text.try_cast("timestamp"), arrived_at)
-
-
-def event_time_imputed(text: Column) -> Column:
-    return text.try_cast("timestamp").isNull()
-
-
 def latency_seconds(event: Column, arrival: Column) -> Column:
     """Whole seconds between the two, each cut to the second first."""
     return F.unix_seconds(arrival) - F.unix_seconds(event)

@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pingloom import schemas
-from pingloom.functions import geo, timing
+from pingloom.functions import geo
 
 MALFORMED = "malformed"
 MISSING = "missing_required"
 OUTSIDE = "out_of_bounds"
 
-# Text that may stand for a JSON zero, false or empty value and therefore needs its JSON type.
-_FALSY_TEXT = r"^\s*([-+]?0*\.?0*([eE][-+]?\d+)?|false|\[\s*\]|\{\s*\})\s*$"
+# First characters of text that may stand for a JSON zero, false or empty value: such a value counts
+# as missing, and only its JSON type tells whether it is one.
+_FALSY_STARTS = ("0", "-", "+", ".", "f", "[", "{")
 
 
 # How numbers that JSON itself lacks come out when a bare token is read as text.
@@ -33,7 +34,7 @@ def _json(column: Column, ddl: str) -> Column:
     return F.from_json(column, schemas.struct(ddl), {"columnNameOfCorruptRecord": "_broken"})
 
 
-def _once(df: DataFrame, *columns: Column) -> DataFrame:
+def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
     """Replace the columns by these, evaluated once per row.
 
     A filter on a plain projection is pushed below it, and every expression the filter names would be
@@ -69,6 +70,35 @@ def _not_object(value: Column) -> Column:
     return value.isNotNull() & F.try_variant_get(value, "$", "map<string,variant>").isNull()
 
 
+def _exact(x: Column) -> Column:
+    """Verdict on a ping from its JSON types: shape, vehicle, and the text of its coordinates."""
+    given = F.try_variant_get(x["location"], "$.coordinates", "variant")
+    listed = F.try_variant_get(given, "$", "array<variant>")
+    short_list = given.isNotNull() & F.coalesce(F.size(listed) < 2, F.lit(True))
+    bad_shape = (
+        x.isNull()
+        | x["_broken"].isNotNull()
+        | _not_object(x["location"])
+        | _not_object(x["tramo"])
+        | _not_object(x["metrics_runtime"])
+        | short_list
+    )
+
+    def pick(index: int, fallback: str) -> Column:
+        """The coordinate, or the flat field when the array holds nothing usable."""
+        element = F.get(listed, F.lit(index))
+        return F.when(~_falsy(element), F.try_variant_get(element, "$", "string")).when(
+            ~_falsy(x[fallback]), F.try_variant_get(x[fallback], "$", "string")
+        )
+
+    return F.struct(
+        F.coalesce(bad_shape, F.lit(True)).alias("bad_shape"),
+        _falsy(x["bus_id"]).alias("no_bus"),
+        pick(0, "lon").alias("lon"),
+        pick(1, "lat").alias("lat"),
+    )
+
+
 def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at", seq: str | None = None) -> DataFrame:
     """Parse pings and name what is wrong with each: ``reject_reason`` is null for a good one.
 
@@ -84,91 +114,68 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
         (F.col(seq) if seq else F.xxhash64(value)).cast("bigint").alias("arrival_seq"),
         document_text(F.col(value)).alias("doc"),
     )
-    parsed = _once(base, *[F.col(c) for c in base.columns], _json(F.col("doc"), schemas.PING_TEXT).alias("p"))
+    parsed = _once(base, *base.columns, _json(F.col("doc"), schemas.PING_TEXT).alias("p"))
 
     p = F.col("p")
-    coords = p["location"]["coordinates"]
+    lon_text, lat_text = (geo.coordinate(p["location"]["coordinates"], i) for i in (0, 1))
+
+    def may_be_falsy(text: Column) -> Column:
+        return text.isNull() | (text == "") | F.substring(text, 1, 1).isin(*_FALSY_STARTS)
 
-    def doubtful_value(text: Column) -> Column:
-        return text.isNull() | text.rlike(_FALSY_TEXT)
+    def may_be_zero(text: Column) -> Column:
+        return text.isNull() | F.coalesce(text.try_cast("double") == 0, F.lit(True))
 
     doubtful = F.coalesce(
-        p.isNull()
-        | p["_broken"].isNotNull()
+        p["_broken"].isNotNull()
         | p["tramo"].isNull()
         | p["metrics_runtime"].isNull()
-        | coords.isNull()
-        | doubtful_value(p["bus_id"])
-        | doubtful_value(geo.coordinate(coords, 0))
-        | doubtful_value(geo.coordinate(coords, 1)),
+        | may_be_falsy(p["bus_id"])
+        | may_be_zero(lon_text)
+        | may_be_zero(lat_text),
         F.lit(True),
     )
-    carried = [F.col(c) for c in ("raw", "ingested_at", "arrival_seq", "p")]
-    typed = _once(
-        parsed,
-        *carried,
-        doubtful.alias("doubtful"),
-        F.when(doubtful, _json(F.col("doc"), schemas.PING_VARIANT)).alias("x"),
-    )
+    # as a lambda, the verdict is worked out for doubtful pings only and stays out of generated code,
+    # which it would make too large to be compiled
+    verdict = F.get(F.transform(F.array(_json(F.col("doc"), schemas.PING_VARIANT)), _exact), F.lit(0))
+    judged = _once(parsed, "raw", "ingested_at", "arrival_seq", "p", F.when(doubtful, verdict).alias("x"))
 
     x = F.col("x")
-    given = F.try_variant_get(x["location"], "$.coordinates", "variant")
-    listed = F.try_variant_get(given, "$", "array<variant>")
-    short_list = given.isNotNull() & F.coalesce(F.size(listed) < 2, F.lit(True))
-    bad_shape = F.col("doubtful") & F.coalesce(
-        x.isNull()
-        | x["_broken"].isNotNull()
-        | _not_object(x["location"])
-        | _not_object(x["tramo"])
-        | _not_object(x["metrics_runtime"])
-        | short_list,
-        F.lit(True),
-    )
-
-    def pick(index: int, fallback: str) -> Column:
-        """Coordinate text, falling back on the flat field when the array holds nothing usable."""
-        element = F.get(listed, F.lit(index))
-        exact = F.when(~_falsy(element), F.try_variant_get(element, "$", "string")).when(
-            ~_falsy(x[fallback]), F.try_variant_get(x[fallback], "$", "string")
-        )
-        return F.when(F.col("doubtful"), exact).otherwise(geo.coordinate(coords, index))
-
-    located = _once(
-        typed,
-        *carried,
-        bad_shape.alias("bad_shape"),
-        (F.col("doubtful") & _falsy(x["bus_id"])).alias("no_bus"),
-        pick(0, "lon").alias("lon_text"),
-        pick(1, "lat").alias("lat_text"),
-    )
-    numbers = located.select(
+    known = x.isNull()
+    located = judged.select(
         "*",
+        F.when(known, lon_text).otherwise(x["lon"]).alias("lon_text"),
+        F.when(known, lat_text).otherwise(x["lat"]).alias("lat_text"),
+    )
+    numbers = _once(
+        located,
+        *located.columns,
         _number(F.col("lon_text")).alias("lon"),
         _number(F.col("lat_text")).alias("lat"),
         _number(p["velocidad_kmh"]).alias("velocidad_kmh"),
+        p["timestamp"].try_cast("timestamp").alias("event_time"),
     )
 
     lat, lon = F.col("lat"), F.col("lon")
     # checks in the order in which they are made: the first failure names the reason
     reason = (
-        F.when(F.col("bad_shape"), MALFORMED)
-        .when(F.col("no_bus") | F.col("lat_text").isNull() | F.col("lon_text").isNull(), MISSING)
+        F.when(x["bad_shape"], MALFORMED)
+        .when(x["no_bus"] | F.col("lat_text").isNull() | F.col("lon_text").isNull(), MISSING)
         .when(lat.isNull() | lon.isNull(), MALFORMED)
         .when(~geo.in_box(lat, lon), OUTSIDE)
         .when(p["velocidad_kmh"].isNotNull() & F.col("velocidad_kmh").isNull(), MALFORMED)
     )
     tramo, metrics = p["tramo"], p["metrics_runtime"]
-    return numbers.select(
+    return numbers.withColumn("reject_reason", reason).select(
         p["bus_id"].alias("bus_id"),
         p["ruta"].alias("ruta"),
         p["escenario"].alias("escenario"),
         p["estado"].alias("estado"),
         p["direccion"].alias("direccion"),
-        timing.event_time(p["timestamp"], F.col("ingested_at")).alias("timestamp"),
+        F.coalesce("event_time", "ingested_at").alias("timestamp"),
         "ingested_at",
         "arrival_seq",
-        lon.alias("lon"),
-        lat.alias("lat"),
+        "lon",
+        "lat",
         "velocidad_kmh",
         F.when(
             tramo.isNotNull(),
@@ -178,9 +185,10 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
             metrics.isNotNull(),
             F.struct(*[metrics[f].try_cast("int").alias(f) for f in ("steps_per_segment", "current_step", "steps_remaining")]),
         ).alias("metrics_runtime"),
-        timing.event_time_imputed(p["timestamp"]).alias("ts_imputed"),
-        reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
+        # a rerun imputes the same time again: the arrival time is data, not the clock
+        F.col("event_time").isNull().alias("ts_imputed"),
+        "reject_reason",
+        F.when(F.col("reject_reason").isNotNull(), F.col("raw")).alias("raw"),
     )
 
 

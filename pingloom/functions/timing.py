@@ -9,8 +9,3 @@ from pyspark.sql import functions as F
 def latency_seconds(event: Column, arrival: Column) -> Column:
     """Whole seconds between the two, each cut to the second first."""
     return F.unix_seconds(arrival) - F.unix_seconds(event)
-
-
-def within(hours: int, moment: Column, as_of: Column) -> Column:
-    """Newer than ``hours`` before ``as_of``."""
-    return moment > as_of - F.make_dt_interval(F.lit(0), F.lit(hours))

@@ -46,18 +46,23 @@ def field_census(raw: DataFrame, value: str = "value") -> DataFrame:
 
     Counted before the shuffle: each task sends one row per distinct (path, kind).
     """
-    text = document_text(F.col(value))
-    doc = raw.select(F.try_parse_json(text).alias("doc")).filter(F.col("doc").isNotNull())
-    top = doc.select(F.explode(F.try_variant_get("doc", "$", "map<string,variant>")).alias("k", "v"))
-    inner = top.select(
-        F.col("k").alias("outer"), F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("k", "v")
-    ).select(F.concat_ws(".", "outer", "k").alias("k"), "v")
-
-    name = F.regexp_extract(F.schema_of_variant("v"), r"^[A-Z]+", 0)
+    entries = "array<struct<key: string, value: variant>>"
+
+    def fields(variant):
+        found = F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>"))
+        return F.coalesce(found, F.array().cast(entries))
+
+    # the outer form: with the inner one, Spark would parse twice, first to skip empty documents
+    doc = F.try_parse_json(document_text(F.col(value)))
+    top = raw.select(F.explode_outer(fields(doc)).alias("f")).filter(F.col("f").isNotNull())
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("f.value").alias("value")))
+    both = top.select(
+        F.col("f.key").alias("outer"), F.explode_outer(F.concat(itself, fields(F.col("f.value")))).alias("f")
+    )
+    name = F.substring_index(F.substring_index(F.schema_of_variant("f.value"), "(", 1), "<", 1)
     kind = F.when(name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "NUMBER").when(name == "VOID", "NULL").otherwise(name)
     return (
-        top.unionByName(inner)
-        .groupBy(F.col("k").alias("campo"), kind.alias("tipo_observado"))
+        both.groupBy(F.concat_ws(".", "outer", "f.key").alias("campo"), kind.alias("tipo_observado"))
         .agg(F.count("*").alias("documentos"))
     )
 

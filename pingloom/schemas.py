@@ -15,6 +15,13 @@ PING = (
     f"metrics_runtime {METRICS}"
 )
 
+# A stored document as other systems export it: times as text, location as GeoJSON.
+DOCUMENT = (
+    "bus_id string, ruta string, escenario string, estado string, direccion string, timestamp string, "
+    "ingested_at string, location struct<type: string, coordinates: array<double>>, "
+    f"velocidad_kmh double, tramo {TRAMO}, metrics_runtime {METRICS}"
+)
+
 # A ping as delivered. Everything that has to be told apart from "missing" or "wrong type" later is
 # read as text first.
 PING_TEXT = (

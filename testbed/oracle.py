@@ -82,6 +82,9 @@ SELECT bus_id, ruta, estado, "timestamp", lat, lon, velocidad_kmh, round(d, 3) A
 FROM w ORDER BY d, bus_id"""
 
 
+_ALIVE = f"""WITH {_POS} SELECT {_FLAT} FROM hist
+WHERE "timestamp" > TIMESTAMP '{q.AS_OF}' - INTERVAL 24 HOUR"""
+
 # A ping's defect decides its fate; without one, only its place matters.
 _JUDGED = _POS + """,
 judged AS (
@@ -217,7 +220,8 @@ def _drift() -> str:
 ALL: dict[str, str] = {
     "fact_bus_position": _FACT,
     "fact_preview": _FACT + ' ORDER BY "timestamp", arrival_seq LIMIT 20',
-    "fact_roundtrip": _FACT,
+    "fact_from_documents": _FACT,
+    "fact_roundtrip_by_date": _FACT,
     "fact_of_dates": f"SELECT * FROM ({_FACT}) WHERE fecha BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'",
     "fact_accumulated": _FACT,
     "fact_incremental": _FACT,
@@ -252,8 +256,8 @@ ALL: dict[str, str] = {
                      {_metres('lat', 'lon', 'latitud', 'longitud')} AS d FROM hist CROSS JOIN estacion)
         SELECT arrival_seq, bus_id, lat, lon, estacion_id, round(d, 3) AS distancia_m FROM d
         WHERE d <= {q.JOIN_RADIUS_M!r}""",
-    "retention_24h": f"""WITH {_POS} SELECT {_FLAT} FROM hist
-        WHERE "timestamp" > TIMESTAMP '{q.AS_OF}' - INTERVAL 24 HOUR""",
+    "retention_24h": _ALIVE,
+    "history_expired": _ALIVE,
     "accepted_positions": _ACCEPTED,
     "rejected_positions": _REJECTED,
     "stream_ingest_accepted": _ACCEPTED,

@@ -15,7 +15,7 @@ from pingloom.operators.latest import last_n, latest, latest_by_rank
 from pingloom.plans import fact, network, routes
 from pingloom.plans.lookup import Positions, with_eta
 from pingloom.session import scratch_path, shuffle_partitions
-from pingloom.sources import fact_table
+from pingloom.sources import fact_table, pings
 from pingloom.streaming import incremental, keyed, landing
 from testbed import tables
 
@@ -72,10 +72,21 @@ def _stored_fact(spark, sf):
     return fact_table.read_fact(spark, path)
 
 
-def fact_roundtrip(spark, sf):
+def fact_roundtrip_by_date(spark, sf):
     return shown(_stored_fact(spark, sf))
 
 
+def fact_from_documents(spark, sf):
+    """The fact from a collection of JSON documents, scanned with a given schema."""
+    path = scratch_path(spark, "documents")
+    rows = tables.documents(spark, sf)
+    whole = rows.withColumn("timestamp", F.date_format("timestamp", serialize.ISO)).withColumn(
+        "ingested_at", F.date_format("ingested_at", serialize.ISO)
+    )
+    whole.write.json(path)
+    return shown(fact.build_fact(pings.read_documents(spark, path, "json", schemas.DOCUMENT)))
+
+
 def fact_of_dates(spark, sf):
     """A read of three dates, which opens only their folders."""
     return shown(_stored_fact(spark, sf).filter("fecha BETWEEN date'2024-01-10' AND date'2024-01-12'"))
@@ -190,6 +201,13 @@ def retention_24h(spark, sf):
 # -- ingest --------------------------------------------------------------------
 
 
+def history_expired(spark, sf):
+    """History rewritten without what has expired, then read from its date folders."""
+    path = scratch_path(spark, "alive")
+    retention.rewrite(tables.history(spark, sf), path, AS_OF)
+    return _flat(retention.unexpired(spark.read.parquet(path), AS_OF))
+
+
 def _accepted_columns(rows: DataFrame) -> DataFrame:
     return shown(
         rows.select(
@@ -219,8 +237,8 @@ def rejected_positions(spark, sf):
 def _landed(spark, sf) -> tuple[str, int]:
     """Raw pings as JSON files in arrival order, and how many of them make half of the input."""
     folder, parts = scratch_path(spark, "landing"), shuffle_partitions(spark)
-    pings = tables.raw_pings(spark, sf).repartitionByRange(parts, "arrived_at", "seq")
-    pings.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
+    in_order = tables.raw_pings(spark, sf).repartitionByRange(parts, "arrived_at", "seq")
+    in_order.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
     return folder, (parts + 1) // 2
 
 
@@ -451,11 +469,11 @@ def schema_drift(spark, sf):
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
-        fact_bus_position, fact_preview, fact_roundtrip, fact_of_dates, fact_accumulated, fact_incremental,
+        fact_bus_position, fact_from_documents, fact_preview, fact_roundtrip_by_date, fact_of_dates, fact_accumulated, fact_incremental,
         latest_arrival, latest_event, latest_window,
         positions_all, positions_by_route, positions_by_status, positions_by_scenario, positions_by_filters,
         station_list, combined_latest_and_stations, bus_history, bus_history_unlimited, last_n_per_bus,
-        near_point, near_station_eta, near_join_grid, retention_24h,
+        near_point, near_station_eta, near_join_grid, retention_24h, history_expired,
         accepted_positions, rejected_positions,
         stream_ingest_accepted, stream_ingest_rejected, stream_ingest_latest, stream_latest,
         buses_by_route, buses_of_route, stations_by_route, official_stops, official_stops_of_route,

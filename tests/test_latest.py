@@ -90,3 +90,12 @@ def test_lines_are_ordered_and_bounded(spark):
     assert [p["lat"] for p in line["trayectoria"]] == [5.0, 6.0, 7.0]
     with pytest.raises(ValueError):
         trajectory.lines(spark.createDataFrame(rows, DDL), 0)
+
+
+def test_expired_date_folders_stay_closed(spark, tmp_path):
+    path = str(tmp_path / "alive")
+    df = spark.createDataFrame(rows_of([("a", 0, 0), ("a", 2000, 0), ("a", 2880, 0)]), DDL)
+    retention.rewrite(df, path, T0 + timedelta(days=2), hours=24)
+    alive = retention.unexpired(spark.read.parquet(path), T0 + timedelta(days=2))
+    assert sorted(r["arrival_seq"] for r in alive.collect()) == [1, 2]
+    assert "fecha" in plan(alive).split("PartitionFilters: [")[1].split("]")[0]

@@ -1,5 +1,8 @@
+from dataclasses import replace
+
 import pytest
 
+from conftest import plan
 from pingloom import schemas
 from pingloom.plans import network
 from pingloom.sources import network_tables
@@ -68,7 +71,34 @@ def test_users(net):
 
 
 def test_station_scan_reads_five_columns(net):
-    from conftest import plan
-
     text = plan(network_tables.stations(net))
     assert text.split("ReadSchema")[1].count(":") == 6 and "direccion" not in text.split("ReadSchema")[1]
+
+
+def test_hot_route_is_split_when_both_sides_shuffle(spark, net):
+    """A route with a third of all vehicles, joined without any broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    count = 120_000
+    bus = spark.range(count, numPartitions=8).selectExpr(
+        "cast(id as int) AS id", "if(id % 3 = 0, 7, cast(id % 500 as int)) AS ruta_id", "1 AS tipo_bus_id",
+        "cast(id as string) AS placa", "uuid() AS modelo", "'ok' AS estado", "cast(null as date) AS fecha_asignacion",
+    )
+    ruta = spark.range(500).selectExpr(
+        "cast(id as int) AS id", "concat('R', id) AS codigo", "'x' AS nombre", "'ok' AS estado",
+        "1 AS estacion_origen_id", "1 AS estacion_destino_id", "cast(null as timestamp) AS fecha_creacion",
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        report = network.buses_by_route(replace(net, bus=bus, ruta=ruta))
+        assert len(report.collect()) == count
+            assert "skew=true" in plan(report)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

@@ -15,6 +15,9 @@ EARTH_RADIUS_M = 6378100.0
 # Widens computed windows, in degrees, so that rounding never loses a point lying on the edge.
 WINDOW_MARGIN = 1e-9
 
+# Rounding error of a squared chord on the unit sphere.
+CHORD_MARGIN = 1e-18
+
 
 def in_box(lat: Column, lon: Column) -> Column:
     """Inside the service area; NaN is outside."""
@@ -30,6 +33,17 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.when(h > 1, F.lit(1.0)).otherwise(h)))
 
 
+def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """The point on a sphere of radius one."""
+    phi, theta = F.radians(lat), F.radians(lon)
+    return F.cos(phi) * F.cos(theta), F.cos(phi) * F.sin(theta), F.sin(phi)
+
+
+def arc_m(chord2: Column) -> Column:
+    """Great-circle metres between unit vectors whose straight distance, squared, is ``chord2``."""
+    return 2 * EARTH_RADIUS_M * F.asin(F.least(F.sqrt(chord2) / 2, F.lit(1.0)))
+
+
 def window_around(lat: float, lon: float, radius_m: float) -> tuple[tuple[float, float], tuple[float, float] | None]:
     """Latitude and longitude ranges holding every point within ``radius_m``.
 

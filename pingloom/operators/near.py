@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pingloom.functions import geo
 
-# A station side is broadcast only up to this many cell rows of three numbers (about 50 MB).
+# A station side is broadcast only up to this many cell rows of five numbers (under 100 MB).
 MAX_BROADCAST_CELLS = 1_000_000
 
 # Slices of each position cell when both sides have to be shuffled.
@@ -49,19 +49,19 @@ class Grid:
         self.band_deg = math.degrees(self.angle) + geo.WINDOW_MARGIN
 
     def _band(self, lat: Column) -> Column:
-        return F.floor(lat / self.band_deg).cast("int")
+        return F.floor(lat / self.band_deg)
 
     def _cells_in_band(self, band: Column) -> Column:
+        """As many cells as fit at the band's edge nearer to a pole, where a radius spans most degrees."""
         edge = F.greatest(F.abs(band * self.band_deg), F.abs((band + 1) * self.band_deg))
-        around = F.when(edge < 90, F.floor(F.cos(F.radians(edge)) * (360 / self.band_deg))).otherwise(1)
-        return F.greatest(around, F.lit(1)).cast("int")
+        return F.greatest(F.floor(F.cos(F.radians(edge)) * (360 / self.band_deg)), F.lit(1).cast("bigint"))
 
     def _column(self, band: Column, lon: Column) -> Column:
-        return F.floor((lon + 180) / 360 * self._cells_in_band(band)).cast("int")
+        return F.floor((lon + 180) / 360 * self._cells_in_band(band))
 
     def _number(self, band: Column, slot: Column) -> Column:
         """Band and slot as one bigint, which Spark joins faster than a pair."""
-        return F.shiftleft(band.cast("bigint"), 32) + F.pmod(slot, self._cells_in_band(band))
+        return F.shiftleft(band, 32) + F.pmod(slot, self._cells_in_band(band))
 
     def cell(self, lat: Column, lon: Column) -> Column:
         """The cell of a point."""
@@ -73,6 +73,7 @@ class Grid:
         dlat = F.lit(self.band_deg)
         sine = F.lit(math.sin(min(self.angle, math.pi / 2))) / F.cos(F.radians(lat))
         pole_free = (F.abs(lat) + dlat < 90) & (sine < 1)
+        # the widest longitude difference within the circle
         dlon = F.when(pole_free, F.degrees(F.asin(sine)) + geo.WINDOW_MARGIN).otherwise(180.0)
 
         def in_band(band: Column) -> Column:
@@ -90,16 +91,18 @@ def near_join(positions: DataFrame, stations: DataFrame, radius_m: float) -> Dat
     every position has one cell, every station all cells its circle touches, so no pair is met twice.
     """
     grid = Grid(radius_m)
-    placed = stations.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
+    lat, lon = F.col("lat").cast("double"), F.col("lon").cast("double")
+    known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    cells = stations.filter(known).select(
         F.col("id").alias("estacion_id"),
-        F.col("lat").cast("double").alias("_slat"),
-        F.col("lon").cast("double").alias("_slon"),
+        *[axis.alias(f"_s{i}") for i, axis in enumerate(geo.unit_vector(lat, lon))],
+        F.explode(grid.cover(lat, lon)).alias("_cell"),
     )
-    cells = placed.select(
-        "*", F.explode(grid.cover(F.col("_slat"), F.col("_slon"))).alias("_cell")
+    located = positions.filter(known).select(
+        *positions.columns,
+        *[axis.alias(f"_p{i}") for i, axis in enumerate(geo.unit_vector(lat, lon))],
+        grid.cell(lat, lon).alias("_cell"),
     )
-    cell = grid.cell(F.col("lat"), F.col("lon"))
-    located = positions.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).withColumn("_cell", cell)
 
     if cells.count() <= MAX_BROADCAST_CELLS:
         pairs = located.join(F.broadcast(cells), "_cell")
@@ -110,9 +113,13 @@ def near_join(positions: DataFrame, stations: DataFrame, radius_m: float) -> Dat
         copies = cells.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SHUFFLE_SLICES - 1))))
         pairs = sliced.join(copies.hint("merge"), ["_cell", "_slice"]).drop("_slice")
 
-    distance = geo.haversine_m(F.col("lat"), F.col("lon"), F.col("_slat"), F.col("_slon"))
+    # Trigonometry is done once per position and station. A pair takes three subtractions to rule out,
+    # and an arc sine only if it is near. Comparing chords is comparing arcs: one grows with the other.
+    apart = [F.col(f"_p{i}") - F.col(f"_s{i}") for i in range(3)]
+    chord2 = apart[0] * apart[0] + apart[1] * apart[1] + apart[2] * apart[2]
+    limit2 = (2 * math.sin(grid.angle / 2)) ** 2
     return (
-        pairs.withColumn("distancia_m", distance)
-        .filter(F.col("distancia_m") <= float(radius_m))
-        .select(*positions.columns, "estacion_id", "distancia_m")
+        pairs.withColumn("_chord2", chord2)
+        .filter(F.col("_chord2") <= limit2 + geo.CHORD_MARGIN)
+        .select(*positions.columns, "estacion_id", geo.arc_m(F.col("_chord2")).alias("distancia_m"))
     )

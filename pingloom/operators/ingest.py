@@ -6,6 +6,8 @@ micro-batch use the same functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +45,21 @@ def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*columns))))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def document_text(value: Column) -> Column:
     """The ping document: the text under ``body`` if there is such a key, else the whole value."""
+
+    def unwrapped(body: Column) -> Column:
+        return F.when(body.isNull(), value).when(
+            F.schema_of_variant(body) == "STRING", F.try_variant_get(body, "$", "string")
+        )
+
     body = _json(value, "body variant")["body"]
-    unwrapped = F.when(body.isNull(), value).when(
-        F.schema_of_variant(body) == "STRING", F.try_variant_get(body, "$", "string")
-    )
-    return F.when(value.contains('"body"'), unwrapped).otherwise(value)
+    return F.when(value.contains('"body"'), _bound(body, unwrapped)).otherwise(value)
 
 
 def _falsy(value: Column) -> Column:
@@ -136,7 +146,7 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
     )
     # as a lambda, the verdict is worked out for doubtful pings only and stays out of generated code,
     # which it would make too large to be compiled
-    verdict = F.get(F.transform(F.array(_json(F.col("doc"), schemas.PING_VARIANT)), _exact), F.lit(0))
+    verdict = _bound(_json(F.col("doc"), schemas.PING_VARIANT), _exact)
     judged = _once(parsed, "raw", "ingested_at", "arrival_seq", "p", F.when(doubtful, verdict).alias("x"))
 
     x = F.col("x")

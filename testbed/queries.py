@@ -14,7 +14,7 @@ from pingloom.operators import ingest, legacy, near, quality, retention, seriali
 from pingloom.operators.latest import last_n, latest, latest_by_rank
 from pingloom.plans import fact, network, routes
 from pingloom.plans.lookup import Positions, with_eta
-from pingloom.session import scratch_path, shuffle_partitions
+from pingloom.session import scratch_path
 from pingloom.sources import fact_table, pings
 from pingloom.streaming import incremental, keyed, landing
 from testbed import tables
@@ -235,11 +235,13 @@ def rejected_positions(spark, sf):
 
 
 def _landed(spark, sf) -> tuple[str, int]:
-    """Raw pings as JSON files in arrival order, and how many of them make half of the input."""
-    folder, parts = scratch_path(spark, "landing"), shuffle_partitions(spark)
-    in_order = tables.raw_pings(spark, sf).repartitionByRange(parts, "arrived_at", "seq")
-    in_order.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
-    return folder, (parts + 1) // 2
+    """Raw pings as JSON files of an earlier and a later part, and how many files make half of them."""
+    folder, raw = scratch_path(spark, "landing"), tables.raw_pings(spark, sf)
+    for part in ("arrived_at < timestamp'2024-01-17'", "arrived_at >= timestamp'2024-01-17'"):
+        writer = raw.filter(part).write.mode("append")
+        writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
+    files = len(spark.read.text(folder).inputFiles())
+    return folder, (files + 1) // 2
 
 
 def _streamed(spark, sf) -> tuple[landing.Store, int]:

@@ -51,6 +51,5 @@ def build_fact(history: DataFrame) -> DataFrame:
 
 
 def preview(history: DataFrame, rows: int = 20) -> DataFrame:
-    """The first rows by event time, for a look; never sorts more than ``rows`` per task."""
-    fact = build_fact(history.orderBy("timestamp", "arrival_seq").limit(rows))
-    return fact
+    """The first facts by event time, for a look. No task keeps more than ``rows`` rows to find them."""
+    return build_fact(history.orderBy("timestamp", "arrival_seq").limit(rows))

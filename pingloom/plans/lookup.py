@@ -66,8 +66,8 @@ class Positions:
         return self.every()
 
     def with_stations(self) -> DataFrame:
-        """All latest positions and all stations in one table, told apart by ``clase``."""
-        buses = self.every().select(F.lit("bus").alias("clase"), "*")
+        """All latest positions, newest first, then all stations, told apart by ``clase``."""
+        buses = self.latest.select(F.lit("bus").alias("clase"), "*")
         places = self.stations.select(
             F.lit("estacion").alias("clase"),
             F.col("id").alias("estacion_id"),
@@ -76,7 +76,8 @@ class Positions:
             F.col("latitud").cast("double").alias("lat"),
             F.col("longitud").cast("double").alias("lon"),
         )
-        return buses.unionByName(places, allowMissingColumns=True)
+        both = buses.unionByName(places, allowMissingColumns=True)
+        return both.orderBy("clase", F.desc_nulls_last("timestamp"), "bus_id", "estacion_id")
 
     # -- by distance -----------------------------------------------------------
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingloom.llm import chat, html, rules, secrets, token_files
+from pingloom.llm import chat, decontaminate, html, mixing, near_dedup, rules, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,15 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_pfair_mix(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents").select("doc_id", "source", "text")
+    return mixing.mix(documents).drop("text")
+
+
+def op2_latent_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op3_tag_paths(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract(_table(spark, sf, "pages"))
 
@@ -55,12 +64,20 @@ def op7_secret_formats(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(_table(spark, sf, "documents"))
 
 
+def op8_odd_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.groups(_table(spark, sf, "documents"), width=4, percent=80)
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 ALL: dict[str, Query] = {
-    f.__name__: f for f in (op3_tag_paths, op4_quality_rules, op5_chat_format, op7_secret_formats, op9_token_files)
+    f.__name__: f
+    for f in (
+        op1_pfair_mix, op2_latent_leaks, op3_tag_paths, op4_quality_rules, op5_chat_format, op7_secret_formats,
+        op8_odd_sketches, op9_token_files,
+    )
 }
 
 ORACLE: dict[str, str] = {

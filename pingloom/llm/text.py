@@ -135,7 +135,7 @@ def shingles(hashes: np.ndarray, owner: np.ndarray, n: int, width: int) -> tuple
     out = hashes.copy()
     for k in range(1, width):
         nxt = np.zeros_like(hashes)
-        nxt[: len(hashes) - k] = hashes[k:]
+        nxt[: max(0, len(hashes) - k)] = hashes[k:]
         out = mix(out * np.uint64(BASE) + nxt)
     rank = np.arange(len(hashes)) - begin[owner]
     full = rank + width <= per[owner]

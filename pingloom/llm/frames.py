@@ -55,9 +55,9 @@ def block_count(df: DataFrame, block_bytes: int = BLOCK_BYTES, column: str = "te
     return max(shuffle_partitions(df.sparkSession), math.ceil(plain / block_bytes))
 
 
-def block_of(key: Column, n: int) -> Column:
-    """Block number of a row; rows with a null key share one block with others."""
-    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+def block_of(n: int, *keys: str) -> Column:
+    """Block number of a row, by a hash of some columns."""
+    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
 
 
 def hashed_sums(parts: DataFrame, size: int, *names: str) -> dict[str, np.ndarray]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingloom.llm import chat, decontaminate, html, mixing, near_dedup, rules, secrets, token_files
+from pingloom.llm import chat, decontaminate, html, mixing, near_dedup, rules, scoring, secrets, substrings, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -60,6 +60,10 @@ def op5_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_backoff_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    return scoring.score(_table(spark, sf, "documents"))
+
+
 def op7_secret_formats(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(_table(spark, sf, "documents"))
 
@@ -72,11 +76,21 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op10_run_index(spark: SparkSession, sf: str) -> DataFrame:
+    done = substrings.deduplicate(_table(spark, sf, "documents"))
+    return done.select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_pfair_mix, op2_latent_leaks, op3_tag_paths, op4_quality_rules, op5_chat_format, op7_secret_formats,
-        op8_odd_sketches, op9_token_files,
+        op1_pfair_mix, op2_latent_leaks, op3_tag_paths, op4_quality_rules, op5_chat_format,
+        op6_backoff_automaton, op7_secret_formats, op8_odd_sketches, op9_token_files, op10_run_index,
     )
 }
 

@@ -52,8 +52,13 @@ def _table(entries: np.ndarray) -> bytes:
     return struct.pack("<II", SKIPPABLE, len(content) + 1) + content
 
 
-def write(documents: DataFrame, tokenizer: str, path: str, file_bytes: int = FILE_BYTES) -> None:
-    """Encode all texts and write them in ascending order of ``doc_id``; ``tokenizer`` is a path that executors have."""
+def write(
+    documents: DataFrame, tokenizer: str, path: str, order: tuple[str, ...] = ("doc_id", "text"), file_bytes: int = FILE_BYTES
+) -> None:
+    """Encode all texts and write them in the order of some columns; ``tokenizer`` is a path that executors have.
+
+    Rows are dealt to files by all but the last of these columns, so rows that differ in the last alone share a file.
+    """
     prepare(documents.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +84,10 @@ def write(documents: DataFrame, tokenizer: str, path: str, file_bytes: int = FIL
         if tables:
             yield pa.RecordBatch.from_pydict({"record": pa.array([_table(np.concatenate(tables))], pa.binary())})
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange(block_count(rows, file_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(encode, "record binary").select(F.col("record").cast("string")).write.text(path)
+    more = [c for c in order if c not in ("doc_id", "text")]
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *more)
+    ordered = rows.repartitionByRange(block_count(rows, file_bytes), *order[:-1]).sortWithinPartitions(*order)
+    ordered.select("doc_id", "text").mapInArrow(encode, "record binary").select(F.col("record").cast("string")).write.text(path)
 
 
 def read_table(content: bytes) -> np.ndarray:
@@ -154,11 +160,13 @@ def digest(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def round_trip(documents: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
+def round_trip(
+    documents: DataFrame, tokenizer: str, path: str | None = None, order: tuple[str, ...] = ("doc_id", "text")
+) -> DataFrame:
     """Write the token files of a corpus and read them all back."""
     spark = documents.sparkSession
     path = path or scratch_path(spark, "tokens")
-    write(documents, tokenizer, path)
+    write(documents, tokenizer, path, order)
     if not spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").take(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return digest(read(spark, path))

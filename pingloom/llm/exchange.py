@@ -7,7 +7,9 @@ are small; they are stored by byte planes, which leaves the leading planes nearl
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import zstandard
+from pyspark.sql import DataFrame
 
 
 def bucket_bounds(keys: np.ndarray, n: int) -> np.ndarray:
@@ -35,3 +37,51 @@ def pack_sorted(keys: np.ndarray) -> bytes:
 
 def unpack_sorted(stored: bytes) -> np.ndarray:
     return np.cumsum(unpack(stored, np.uint64), dtype=np.uint64)
+
+
+KEYS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("several", pa.binary())])
+TOLD = pa.schema([("block", pa.int32()), ("keys", pa.binary())])
+KEYS_SQL = "bucket int, block int, keys binary, several binary"
+TOLD_SQL = "block int, keys binary"
+
+
+def key_rows(block: int, keys: np.ndarray, several: np.ndarray, n_buckets: int) -> pa.Table:
+    """A block's distinct sorted keys, dealt to buckets, with a mark on those that several of its documents have."""
+    bounds = bucket_bounds(keys, n_buckets)
+    full = np.flatnonzero(np.diff(bounds))
+    own = [slice(bounds[b], bounds[b + 1]) for b in full]
+    return pa.table({
+        "bucket": full, "block": np.full(len(full), block), "keys": [pack_sorted(keys[s]) for s in own],
+        "several": [np.packbits(several[s]).tobytes() for s in own],
+    }, KEYS)
+
+
+def _tell_shared(table: pa.Table) -> pa.Table:
+    keys = [unpack_sorted(k.as_py()) for k in table["keys"]]
+    several = [np.unpackbits(np.frombuffer(s.as_py(), np.uint8), count=len(k)) for s, k in zip(table["several"], keys)]
+    kinds, which = np.unique(np.concatenate(keys), return_inverse=True)
+    shared = np.bincount(which, 1.0 + np.concatenate(several), len(kinds)) > 1
+    rows, begin = [], 0
+    for block, own in zip(table["block"].to_pylist(), keys):
+        told = own[shared[which[begin : begin + len(own)]]]
+        begin += len(own)
+        if len(told):
+            rows.append((block, pack_sorted(told)))
+    return pa.table({"block": [b for b, _ in rows], "keys": [k for _, k in rows]}, TOLD)
+
+
+def shared_keys(sent: DataFrame) -> DataFrame:
+    """Tell each block which of the keys it sent occur in several documents of the corpus."""
+    return sent.groupBy("bucket").applyInArrow(_tell_shared, TOLD_SQL)
+
+
+def read_keys(told: pa.Table) -> np.ndarray:
+    """The sorted keys a block was told."""
+    return np.sort(np.concatenate([np.empty(0, np.uint64), *[unpack_sorted(k.as_py()) for k in told["keys"]]]))
+
+
+def is_among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each value is one of some sorted keys."""
+    if len(keys) == 0:
+        return np.zeros(len(values), dtype=bool)
+    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values

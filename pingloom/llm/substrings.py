@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
-from pingloom.llm.exchange import bucket_bounds, pack, pack_sorted, unpack, unpack_sorted
+from pingloom.llm.exchange import KEYS_SQL, bucket_bounds, is_among, key_rows, pack, read_keys, shared_keys, unpack
 from pingloom.llm.frames import block_count, block_of, prepare
 from pingloom.llm.run_index import build, window_classes
 
@@ -100,8 +100,6 @@ def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return raw, at, np.where(known, numbers, _NONE), np.where(known, numbers, _LEAST)
 
 
-ANCHORS = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("keys", pa.binary()), ("several", pa.binary())])
-SHARED = pa.schema([("block", pa.int32()), ("keys", pa.binary())])
 SEGMENTS = pa.schema([
     ("bucket", pa.int32()), ("block", pa.int32()), ("digests", pa.binary()), ("many", pa.binary()), ("least", pa.binary()),
     ("bytes", pa.binary()),
@@ -134,31 +132,11 @@ def _send_anchors(n_buckets: int):
         low, high = np.full(len(kinds), _NONE), np.full(len(kinds), _LEAST)
         np.minimum.at(low, which, source[found.owner])
         np.maximum.at(high, which, source[found.owner])
-        rows = _empty(ANCHORS)
-        bounds = bucket_bounds(kinds, n_buckets)
-        for b in np.flatnonzero(np.diff(bounds)):
-            own = slice(bounds[b], bounds[b + 1])
-            _put(rows, b, key[0].as_py(), pack_sorted(kinds[own]), np.packbits(low[own] < high[own]).tobytes())
-        return _table(rows, ANCHORS)
+        return key_rows(key[0].as_py(), kinds, low < high, n_buckets)
 
     return run
 
 
-def _find_shared(table: pa.Table) -> pa.Table:
-    """Tell each block which of its anchors occur in several documents."""
-    keys = [unpack_sorted(k.as_py()) for k in table["keys"]]
-    several = [np.unpackbits(np.frombuffer(s.as_py(), np.uint8), count=len(k)) for s, k in zip(table["several"], keys)]
-    kinds, which = np.unique(np.concatenate(keys), return_inverse=True)
-    shared = np.bincount(which, 1.0 + np.concatenate(several), len(kinds)) > 1
-    rows, begin = _empty(SHARED), 0
-    for block, own in zip(table["block"].to_pylist(), keys):
-        told = own[shared[which[begin : begin + len(own)]]]
-        begin += len(own)
-        if len(told):
-            _put(rows, block, pack_sorted(told))
-    return _table(rows, SHARED)
-
-
 def _distinct(digests: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct digests, an example of each, the number of the digest of each segment, and the smallest id of each."""
     kinds, example, which = np.unique(digests, return_index=True, return_inverse=True)
@@ -180,9 +158,7 @@ def _send_segments(n_buckets: int):
             return _table(rows, SEGMENTS)
         raw, at, source, _ = _block(documents)
         found = Segments(raw, at)
-        told = np.sort(np.concatenate([unpack_sorted(k.as_py()) for k in shared["keys"]]))
-        spot = np.minimum(np.searchsorted(told, found.anchor), len(told) - 1)
-        chosen = np.flatnonzero(told[spot] == found.anchor)
+        chosen = np.flatnonzero(is_among(found.anchor, read_keys(shared)))
         digests, example, _, least = _distinct(found.digests(chosen), source[found.owner[chosen]])
         one = chosen[example]
         order = np.argsort(found.anchor[one], kind="stable")
@@ -310,8 +286,7 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     n = block_count(rows, BLOCK_BYTES)
     blocks = rows.select(block_of(n, "doc_id", "text").alias("block"), "doc_id", "text")
     by_block = blocks.groupBy("block")
-    anchors = by_block.applyInArrow(_send_anchors(n), _sql(ANCHORS))
-    shared = anchors.groupBy("bucket").applyInArrow(_find_shared, _sql(SHARED))
+    shared = shared_keys(by_block.applyInArrow(_send_anchors(n), KEYS_SQL))
     segments = by_block.cogroup(shared.groupBy("block")).applyInArrow(_send_segments(n), _sql(SEGMENTS))
     told = segments.groupBy("bucket").applyInArrow(_match, _sql(TOLD))
     return by_block.cogroup(told.groupBy("block")).applyInArrow(_mark, _sql(KEPT))

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from pingloom.llm import text as T
 
 # Distinct pre-tokens a worker remembers; beyond that it starts afresh.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_200_000
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 0
 # The code points of the Unicode property White_Space.
 _WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -141,3 +141,9 @@ class Encoder:
         """Texts with the string of a special token go through the tokenizer whole."""
         lists = [self.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
         return np.array([i for ids in lists for i in ids], np.uint32), np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker, which serves one task after another."""
+    return Encoder(path)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
 from pingloom.llm.frames import block_count, prepare
-from pingloom.llm.pretokens import Encoder
+from pingloom.llm.pretokens import encoder
 from pingloom.session import scratch_path
 
 # Fixed values of the zstandard format.
@@ -62,12 +62,11 @@ def write(
     prepare(documents.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, pack = None, zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
+        pack = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         tables = []
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer)
-            for piece in T.pieces(batch, size=2 * T.PIECE_BYTES):
-                ids, at = encoder.encode(piece.column("text"))
+            for piece in T.pieces(batch):
+                ids, at = encoder(tokenizer).encode(piece.column("text"))
                 entries = np.zeros(piece.num_rows, ENTRY)
                 known = piece.column("doc_id")
                 entries["doc_id"] = known.fill_null(0).to_numpy(zero_copy_only=False)
@@ -117,16 +116,11 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 def read(spark: SparkSession, path: str, wanted: list[int] | None = None) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens``, ``ids`` of all documents, or of those wanted; only their frames are decompressed.
 
-    Rows come with the file and place they were read from; ``start`` counts the ids of all documents before.
+    Rows come with the file and place they were read from; ``start`` counts the ids before the document in its file.
     """
     prepare(spark)
     chosen = None if wanted is None else np.array(sorted(wanted), np.int64)
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [int(read_table(c.as_buffer().to_pybytes())["n_tokens"].sum()) for c in batch.column("content")]
-            yield pa.RecordBatch.from_pydict({"file": batch.column("file"), "n": pa.array(sums, pa.int64())})
-
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, cell in zip(batch.column("file").to_pylist(), batch.column("content")):
@@ -147,26 +141,32 @@ def read(spark: SparkSession, path: str, wanted: list[int] | None = None) -> Dat
                         "ids": pa.array([i.tobytes() for i in ids], pa.binary()),
                     })
 
-    files = _files(spark, path)
-    sizes = files.mapInArrow(totals, "file long, n long")
+    return _files(spark, path).mapInArrow(decode, "file long, place long, doc_id long, start long, n_tokens long, ids binary")
+
+
+def with_starts(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Rows that were read, ``start`` now counting all ids of the corpus before a document."""
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = [int(read_table(c.as_buffer().to_pybytes())["n_tokens"].sum()) for c in batch.column("content")]
+            yield pa.RecordBatch.from_pydict({"file": batch.column("file"), "n": pa.array(sums, pa.int64())})
+
+    sizes = _files(spark, path).mapInArrow(totals, "file long, n long")
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    rows = files.mapInArrow(decode, "file long, place long, doc_id long, start long, n_tokens long, ids binary")
     return rows.join(bases, "file").withColumn("start", F.col("start") + F.col("base")).drop("base")
 
 
-def digest(rows: DataFrame) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens`` and the crc32 of the ids."""
-    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
-
 def round_trip(
     documents: DataFrame, tokenizer: str, path: str | None = None, order: tuple[str, ...] = ("doc_id", "text")
 ) -> DataFrame:
-    """Write the token files of a corpus and read them all back."""
+    """Write the token files of a corpus and read them all back: ``doc_id``, ``start``, ``n_tokens`` and crc32 of the ids."""
     spark = documents.sparkSession
     path = path or scratch_path(spark, "tokens")
     write(documents, tokenizer, path, order)
     if not spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").take(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    return digest(read(spark, path))
+    # The digest is taken before the starts are joined, so the ids are never shuffled.
+    rows = read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return with_starts(spark, path, rows).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -50,6 +50,20 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def is_whole(value: Column) -> Column:
+    """True if the text is one JSON value and nothing else.
+
+    The JSON reader stops at the end of the first value and ignores the rest. So the text is read as the first of two
+    elements of an array: text behind it breaks the array, ends it early or adds to it, and the second element, which no
+    text can foresee, is then not where it must be.
+    """
+    mark = F.xxhash64(value)
+    listed = F.concat(F.lit("["), value, F.lit(',{"_end":'), mark.cast("string"), F.lit("}]"))
+    parts = F.from_json(listed, schemas.END_OF_TEXT, {"allowSingleQuotes": "false"})
+    found = _bound(parts, lambda p: (F.size(p) == 2) & (F.get(p, F.lit(1))["_end"] == mark))
+    return F.coalesce(found, F.lit(False))
+
+
 def document_text(value: Column) -> Column:
     """The ping document: the text under ``body`` if there is such a key, else the whole value."""
 
@@ -109,6 +123,25 @@ def _exact(x: Column) -> Column:
     )
 
 
+def _extra(tramo: Column, metrics: Column) -> Column:
+    """Keys of the nested documents that have no column of their own, kept as text under ``document.key``."""
+
+    def others(name: str, document: Column, known: tuple[str, ...]) -> Column:
+        left = F.filter(F.map_entries(document), lambda e: ~e["key"].isin(*known))
+        return F.transform(left, lambda e: F.struct(F.concat(F.lit(f"{name}."), e["key"]).alias("key"), e["value"].alias("value")))
+
+    none = F.array().cast("array<struct<key: string, value: string>>")
+    found = F.concat(
+        F.coalesce(others("tramo", tramo, schemas.TRAMO_FIELDS), none),
+        F.coalesce(others("metrics_runtime", metrics, schemas.METRIC_FIELDS), none),
+    )
+    # a key that comes twice keeps its last value
+    last = F.aggregate(
+        found, none, lambda kept, e: F.concat(F.filter(kept, lambda k: k["key"] != e["key"]), F.array(e))
+    )
+    return F.when(F.size(found) > 0, F.map_from_entries(last))
+
+
 def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at", seq: str | None = None) -> DataFrame:
     """Parse pings and name what is wrong with each: ``reject_reason`` is null for a good one.
 
@@ -124,7 +157,8 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
         (F.col(seq) if seq else F.xxhash64(value)).cast("bigint").alias("arrival_seq"),
         document_text(F.col(value)).alias("doc"),
     )
-    parsed = _once(base, *base.columns, _json(F.col("doc"), schemas.PING_TEXT).alias("p"))
+    whole = is_whole(F.col("raw")) & ((F.col("doc") == F.col("raw")) | is_whole(F.col("doc")))
+    parsed = _once(base, *base.columns, _json(F.col("doc"), schemas.PING_TEXT).alias("p"), whole.alias("whole"))
 
     p = F.col("p")
     lon_text, lat_text = (geo.coordinate(p["location"]["coordinates"], i) for i in (0, 1))
@@ -147,7 +181,7 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
     # as a lambda, the verdict is worked out for doubtful pings only and stays out of generated code,
     # which it would make too large to be compiled
     verdict = _bound(_json(F.col("doc"), schemas.PING_VARIANT), _exact)
-    judged = _once(parsed, "raw", "ingested_at", "arrival_seq", "p", F.when(doubtful, verdict).alias("x"))
+    judged = _once(parsed, "raw", "ingested_at", "arrival_seq", "p", "whole", F.when(doubtful, verdict).alias("x"))
 
     x = F.col("x")
     known = x.isNull()
@@ -168,7 +202,7 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
     lat, lon = F.col("lat"), F.col("lon")
     # checks in the order in which they are made: the first failure names the reason
     reason = (
-        F.when(x["bad_shape"], MALFORMED)
+        F.when(~F.coalesce("whole", F.lit(False)) | x["bad_shape"], MALFORMED)
         .when(x["no_bus"] | F.col("lat_text").isNull() | F.col("lon_text").isNull(), MISSING)
         .when(lat.isNull() | lon.isNull(), MALFORMED)
         .when(~geo.in_box(lat, lon), OUTSIDE)
@@ -189,14 +223,17 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
         "velocidad_kmh",
         F.when(
             tramo.isNotNull(),
-            F.struct(tramo["inicio"], tramo["fin"], tramo["fraccion"].try_cast("double").alias("fraccion")),
+            F.struct(
+                tramo["inicio"].alias("inicio"), tramo["fin"].alias("fin"), tramo["fraccion"].try_cast("double").alias("fraccion")
+            ),
         ).alias("tramo"),
         F.when(
             metrics.isNotNull(),
-            F.struct(*[metrics[f].try_cast("int").alias(f) for f in ("steps_per_segment", "current_step", "steps_remaining")]),
+            F.struct(*[_number(metrics[f]).try_cast("int").alias(f) for f in schemas.METRIC_FIELDS]),
         ).alias("metrics_runtime"),
         # a rerun imputes the same time again: the arrival time is data, not the clock
         F.col("event_time").isNull().alias("ts_imputed"),
+        _extra(tramo, metrics).alias("extra"),
         "reject_reason",
         F.when(F.col("reject_reason").isNotNull(), F.col("raw")).alias("raw"),
     )

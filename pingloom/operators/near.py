@@ -9,12 +9,6 @@ from pyspark.sql import functions as F
 
 from pingloom.functions import geo
 
-# A station side is broadcast only up to this many cell rows of five numbers (under 100 MB).
-MAX_BROADCAST_CELLS = 1_000_000
-
-# Slices of each position cell when both sides have to be shuffled.
-SHUFFLE_SLICES = 32
-
 
 def near_point(positions: DataFrame, lat: float, lon: float, max_m: float, tie: str = "bus_id") -> DataFrame:
     """Rows within ``max_m`` metres (inclusive), nearest first, with ``distancia_m``.
@@ -104,14 +98,8 @@ def near_join(positions: DataFrame, stations: DataFrame, radius_m: float) -> Dat
         grid.cell(lat, lon).alias("_cell"),
     )
 
-    if cells.count() <= MAX_BROADCAST_CELLS:
-        pairs = located.join(F.broadcast(cells), "_cell")
-    else:
-        # a crowded cell is spread over slices, and each station cell is sent to all of them
-        slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in positions.columns]), F.lit(SHUFFLE_SLICES))
-        sliced = located.withColumn("_slice", slice_of.cast("int"))
-        copies = cells.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SHUFFLE_SLICES - 1))))
-        pairs = sliced.join(copies.hint("merge"), ["_cell", "_slice"]).drop("_slice")
+    # Spark broadcasts the stations where their size allows it, and splits crowded cells at run time where not
+    pairs = located.join(cells, "_cell")
 
     # Trigonometry is done once per position and station. A pair takes three subtractions to rule out,
     # and an arc sine only if it is near. Comparing chords is comparing arcs: one grows with the other.

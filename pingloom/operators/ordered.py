@@ -1,75 +1,47 @@
 """Neighbours and positions within ordered groups of any size.
 
-A plain window puts a whole group into one task. That is right for groups of ordinary size; a group
-that holds a large share of the data is instead cut into ordered blocks, each block is handled on its
-own, and only one row per block is exchanged to stitch the blocks together.
+Rows are range-partitioned by group and order, so a group that holds a large share of the data lies over several
+partitions, its blocks, and a small group lies in one. Every block is handled on its own, and one row per block is
+exchanged to stitch the blocks of a group together. Nulls in the order come last; rows that tie on it are ordered by a
+hash of all their columns, so only equal rows are in an arbitrary order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pingloom.session import shuffle_partitions, spool
 
-MAX_GROUP_ROWS = 1_000_000
 
-# The list of oversized keys is broadcast only up to this length.
-MAX_BROADCAST_KEYS = 1_000_000
+def _ascending(order: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in order]
 
 
-def _split(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """(ordinary groups, rows of oversized groups or None). At most rows/max_group_rows keys are oversized."""
-    big = df.groupBy(*keys).count().filter(F.col("count") > max_group_rows).select(*keys)
-    found = big.count()
-    if found == 0:
-        return df, None
-    # null-safe, so that a group whose key is null is kept as well
-    names = {k: f"_big_{k}" for k in keys}
-    renamed = spool(big.withColumnsRenamed(names), "oversized")
-    if found <= MAX_BROADCAST_KEYS:
-        renamed = F.broadcast(renamed)
-    same = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]
-    condition = same[0]
-    for more in same[1:]:
-        condition = condition & more
-    return df.join(renamed, condition, "left_anti"), df.join(renamed, condition, "left_semi")
+def _comparable(order: Sequence[str]) -> Column:
+    """A struct that compares like the order, nulls last."""
+    return F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])
 
 
 def _in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rows with ``_block`` numbers that ascend in group order; ``_u`` makes every row distinct.
+    """Rows with ``_block`` numbers that ascend in group order.
 
-    Both steps are written out: row numbers and block borders must not change when a task is rerun.
+    Written out once: the borders of the blocks are drawn from a sample, and must be the same for every use and when a
+    task is rerun.
     """
-    numbered = spool(df.withColumn("_u", F.monotonically_increasing_id()), "rows")
-    parts = shuffle_partitions(df.sparkSession)
-    ranged = numbered.repartitionByRange(parts, *keys, *order, "_u")
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    ranged = tied.repartitionByRange(shuffle_partitions(df.sparkSession), *keys, *_ascending(order), "_tie")
     return spool(ranged.withColumn("_block", F.spark_partition_id()), "blocks")
 
 
-def with_next(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    fields: Sequence[str],
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Add ``_next``: a struct of ``fields`` from the following row of the group, null for its last row.
-
-    ``order`` should be unique within a group; rows that tie are neighbours in an arbitrary order.
-    """
-    ordinary, oversized = _split(df, keys, max_group_rows)
-    following = F.lead(F.struct(*fields))
-    result = ordinary.withColumn("_next", following.over(Window.partitionBy(*keys).orderBy(*order)))
-    if oversized is None:
-        return result
-
-    blocks = _in_blocks(oversized, keys, order).withColumn("_ahead", F.lit(False))
-    carried = list(dict.fromkeys([*order, "_u", *fields]))
+def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Add ``_next``: a struct of ``fields`` from the following row of the group, null for its last row."""
+    blocks = _in_blocks(df, keys, order).withColumn("_ahead", F.lit(False))
+    carried = list(dict.fromkeys([*order, "_tie", *fields]))
     first_rows = blocks.groupBy(*keys, "_block").agg(
-        F.min_by(F.struct(*carried), F.struct(*order, "_u")).alias("_first")
+        F.min_by(F.struct(*carried), _comparable([*order, "_tie"])).alias("_first")
     )
     # a group has at most as many blocks as there are shuffle partitions
     earlier = F.lag("_block").over(Window.partitionBy(*keys).orderBy("_block"))
@@ -79,27 +51,19 @@ def with_next(
         .select(*keys, F.col("_to").alias("_block"), F.lit(True).alias("_ahead"),
                 *[F.col("_first")[c].alias(c) for c in carried if c not in keys])
     )
-    within = Window.partitionBy(*keys, "_block").orderBy(*order, "_u")
-    stitched = (
+    # equal rows may lie on both sides of a border: the one from ahead comes after those of its block
+    within = Window.partitionBy(*keys, "_block").orderBy(*_ascending(order), "_tie", "_ahead")
+    return (
         blocks.unionByName(ahead, allowMissingColumns=True)
-        .withColumn("_next", following.over(within))
+        .withColumn("_next", F.lead(F.struct(*fields)).over(within))
         .filter(~F.col("_ahead"))
-        .drop("_ahead", "_block", "_u")
+        .drop("_ahead", "_block", "_tie")
     )
-    return result.unionByName(stitched)
 
 
-def with_position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_pos``: the 0-based place of each row in its group."""
-    ordinary, oversized = _split(df, keys, max_group_rows)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint") - 1
-    result = ordinary.withColumn("_pos", place)
-    if oversized is None:
-        return result
-
-    blocks = _in_blocks(oversized, keys, order)
+    blocks = _in_blocks(df, keys, order)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         blocks.groupBy(*keys, "_block").agg(F.count("*").alias("_rows"))
@@ -112,11 +76,10 @@ def with_position(
     condition = F.col("_block") == F.col("_o__block")
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(names[k]))
-    within = Window.partitionBy(*keys, "_block").orderBy(*order, "_u")
-    placed = (
+    within = Window.partitionBy(*keys, "_block").orderBy(*_ascending(order), "_tie")
+    return (
         blocks.withColumn("_in_block", F.row_number().over(within).cast("bigint") - 1)
         .join(offsets, condition)
         .withColumn("_pos", F.col("_offset") + F.col("_in_block"))
         .select(*df.columns, "_pos")
     )
-    return result.unionByName(placed)

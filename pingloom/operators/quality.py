@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pingloom.functions import motion
-from pingloom.operators.ingest import document_text
+from pingloom.operators.ingest import document_text, is_whole
+from pingloom.session import spool
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -32,6 +33,7 @@ def _registered(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]
             kinds += _registered(field.dataType, path + ".")
         elif isinstance(field.dataType, T.ArrayType):
             kinds.append((path, "ARRAY"))
+            kinds += _registered(T.StructType([T.StructField("[]", field.dataType.elementType)]), path)
         elif isinstance(field.dataType, T.BooleanType):
             kinds.append((path, "BOOLEAN"))
         elif isinstance(field.dataType, T.NumericType):
@@ -41,43 +43,87 @@ def _registered(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]
     return kinds
 
 
+_ENTRIES = "array<struct<key: string, value: variant>>"
+UNREADABLE = "$"
+# Levels of nesting taken apart in one pass.
+LEVELS = 3
+
+
+def _children(value: Column) -> Column:
+    """The fields of an object under ``.name``, the elements of an array under ``[]``; none for other values."""
+    fields = F.transform(
+        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
+        lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("key"), e["value"].alias("value")),
+    )
+    items = F.transform(
+        F.try_variant_get(value, "$", "array<variant>"), lambda x: F.struct(F.lit("[]").alias("key"), x.alias("value"))
+    )
+    return F.coalesce(fields, items, F.array().cast(_ENTRIES))
+
+
+def _kind(value: Column) -> Column:
+    name = F.substring_index(F.substring_index(F.schema_of_variant(value), "(", 1), "<", 1)
+    return F.when(name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "NUMBER").when(name == "VOID", "NULL").otherwise(name)
+
+
+def _taken_apart(rows: DataFrame) -> DataFrame:
+    """Every value on the next ``LEVELS`` levels below ``value``: its path, and whether its own children are still inside.
+
+    A row without a value stays, without a path. The outer form of explode keeps Spark from parsing each document twice,
+    first to skip the empty ones.
+    """
+    found = rows.select("path", F.explode_outer(_children(F.col("value"))).alias("f"), F.col("value").isNull().alias("unreadable"))
+    found = found.select(F.concat("path", "f.key").alias("path"), F.col("f.value").alias("value"), F.lit(True).alias("open"), "unreadable")
+    for _ in range(LEVELS - 1):
+        itself = F.array(F.struct(F.lit("").alias("key"), F.col("value").alias("value"), F.lit(False).alias("open")))
+        below = F.transform(_children(F.col("value")), lambda c: F.struct(c["key"], c["value"], F.lit(True).alias("open")))
+        found = found.select("path", "unreadable", F.explode_outer(F.when(F.col("open"), F.concat(itself, below)).otherwise(itself)).alias("f"))
+        found = found.select(F.concat("path", "f.key").alias("path"), F.col("f.value").alias("value"), F.col("f.open").alias("open"), "unreadable")
+    return found
+
+
 def field_census(raw: DataFrame, value: str = "value") -> DataFrame:
-    """How many documents hold each field (two levels deep), by JSON kind.
+    """How many values stand at each path, by JSON kind, at any depth; array elements stand at ``path[]``.
 
-    Counted before the shuffle: each task sends one row per distinct (path, kind).
+    Documents that cannot be read are one row at ``$``. ``LEVELS`` levels are taken apart at a time and counted before
+    the shuffle; objects and arrays below them, if there are any, are written out and taken apart in the next round.
     """
-    entries = "array<struct<key: string, value: variant>>"
-
-    def fields(variant):
-        found = F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>"))
-        return F.coalesce(found, F.array().cast(entries))
-
-    # the outer form: with the inner one, Spark would parse twice, first to skip empty documents
-    doc = F.try_parse_json(document_text(F.col(value)))
-    top = raw.select(F.explode_outer(fields(doc)).alias("f")).filter(F.col("f").isNotNull())
-    itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("f.value").alias("value")))
-    both = top.select(
-        F.col("f.key").alias("outer"), F.explode_outer(F.concat(itself, fields(F.col("f.value")))).alias("f")
-    )
-    name = F.substring_index(F.substring_index(F.schema_of_variant("f.value"), "(", 1), "<", 1)
-    kind = F.when(name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "NUMBER").when(name == "VOID", "NULL").otherwise(name)
-    return (
-        both.groupBy(F.concat_ws(".", "outer", "f.key").alias("campo"), kind.alias("tipo_observado"))
-        .agg(F.count("*").alias("documentos"))
+    doc = document_text(F.col(value))
+    parsed = F.when(is_whole(F.col(value)) & is_whole(doc), F.try_parse_json(doc))
+    rows = raw.select(F.lit("").alias("path"), parsed.alias("value"))
+    found: DataFrame | None = None
+    while True:
+        values = _taken_apart(rows).select(
+            F.when(F.col("unreadable"), UNREADABLE).otherwise(F.col("path")).alias("path"),
+            F.when(F.col("unreadable"), "INVALID").otherwise(_kind(F.col("value"))).alias("kind"), "value", "open",
+        ).filter("kind IS NOT NULL")
+        nested = F.when(F.col("open") & F.col("kind").isin("OBJECT", "ARRAY"), F.to_json("value"))
+        counts = spool(values.groupBy("path", "kind", nested.alias("nested")).agg(F.count("*").alias("n")), "census")
+        level = counts.groupBy("path", "kind").agg(F.sum("n").alias("n"))
+        found = level if found is None else found.unionByName(level)
+        deeper = counts.filter(F.col("nested").isNotNull())
+        if not deeper.take(1):
+            break
+        # equal nested values were counted together; each stands for as many
+        repeated = F.explode(F.array_repeat("nested", F.col("n").cast("int")))
+        rows = deeper.select("path", repeated.alias("nested")).select("path", F.try_parse_json("nested").alias("value"))
+    return found.select(
+        F.regexp_replace("path", r"^\.", "").alias("campo"), F.col("kind").alias("tipo_observado"), F.col("n").alias("documentos")
     )
 
 
 def schema_drift(raw: DataFrame, registered: T.StructType, value: str = "value") -> DataFrame:
     """Observed fields against the registered schema.
 
-    ``cambio`` is ``agregado`` (new field), ``tipo`` (another kind than registered), ``igual``, or
-    ``eliminado`` (registered but in no document).
+    ``cambio`` is ``agregado`` (new field), ``tipo`` (another kind than registered), ``igual``,
+    ``eliminado`` (registered but in no document), or ``ilegible`` for documents that cannot be read.
     """
     census = field_census(raw, value)
     # a handful of rows: the registered schema itself
     known = raw.sparkSession.createDataFrame(_registered(registered), "campo string, tipo_registrado string")
     change = (
-        F.when(F.col("tipo_registrado").isNull(), "agregado")
+        F.when(F.col("campo") == UNREADABLE, "ilegible")
+        .when(F.col("tipo_registrado").isNull(), "agregado")
         .when(F.col("tipo_observado").isNull(), "eliminado")
         .when(F.col("tipo_observado") == F.col("tipo_registrado"), "igual")
         .when(F.col("tipo_observado") == "NULL", "igual")

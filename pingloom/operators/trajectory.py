@@ -16,7 +16,7 @@ def points(history: DataFrame, n: int = 0) -> DataFrame:
     return (
         last_n(history, n)
         .select("bus_id", "timestamp", "arrival_seq", "lat", "lon")
-        .orderBy("bus_id", "timestamp", "arrival_seq")
+        .orderBy(*[F.asc_nulls_last(c) for c in ("bus_id", "timestamp", "arrival_seq")])
     )
 
 
@@ -24,7 +24,7 @@ def lines(history: DataFrame, n: int = 30) -> DataFrame:
     """One row per vehicle with its newest ``n`` points as an ordered ``[{lat, lon}]`` array."""
     if n < 1:
         raise ValueError("a line needs a positive number of points; use points() for whole paths")
-    point = F.struct("timestamp", "arrival_seq", "lat", "lon")
+    point = F.struct(F.col("timestamp").isNull().alias("timeless"), "timestamp", "arrival_seq", "lat", "lon")
     path = F.sort_array(F.collect_list(point))
     return (
         last_n(history, n)

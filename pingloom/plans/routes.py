@@ -9,8 +9,8 @@ from pingloom.functions import geo, labels
 from pingloom.operators import ordered
 
 MIN_STOPS = 2
-# Points per drawn piece; a longer route comes as several pieces.
-PIECE_POINTS = 1000
+# Edges per drawn piece; a longer route comes as several pieces.
+PIECE_EDGES = 1000
 
 
 def usable_routes(stops: DataFrame, route: str = "ruta_id") -> DataFrame:
@@ -23,21 +23,25 @@ def usable_routes(stops: DataFrame, route: str = "ruta_id") -> DataFrame:
     )
 
 
+def _official(stops: DataFrame) -> DataFrame:
+    return stops.filter("parada").drop("parada") if "parada" in stops.columns else stops
+
+
 def segments(
     stops: DataFrame,
     route: str = "ruta_id",
     order: tuple[str, ...] = ("orden", "estacion_id"),
-    max_group_rows: int = ordered.MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Consecutive stop pairs of each route: n stops give n-1 segments, one stop gives none.
 
-    ``stops`` has the route, ``orden``, ``estacion_id, nombre, lat, lon``.
+    ``stops`` has the route, ``orden``, ``estacion_id, nombre, lat, lon``; a stop without ``orden`` comes last. If it has
+    ``parada``, only the official stops of a route count.
     """
     paired = ordered.with_next(
-        stops, [route], list(order), ["estacion_id", "nombre", "lat", "lon"], max_group_rows
+        _official(stops), [route], list(order), ["estacion_id", "nombre", "lat", "lon"]
     ).filter(F.col("_next").isNotNull())
     return paired.select(
-        *[c for c in stops.columns if c not in ("estacion_id", "nombre", "lat", "lon")],
+        *[c for c in stops.columns if c not in ("estacion_id", "nombre", "lat", "lon", "parada")],
         F.col("estacion_id").alias("inicio_id"),
         F.col("_next.estacion_id").alias("fin_id"),
         F.col("nombre").alias("inicio"),
@@ -63,14 +67,20 @@ def route_lines(
     stops: DataFrame,
     route: str = "ruta_id",
     order: tuple[str, ...] = ("orden", "estacion_id"),
-    piece_points: int = PIECE_POINTS,
-    max_group_rows: int = ordered.MAX_GROUP_ROWS,
+    piece_edges: int = PIECE_EDGES,
 ) -> DataFrame:
-    """Ordered ``[{lat, lon}]`` arrays to draw each route with, cut into pieces of bounded length."""
-    placed = ordered.with_position(stops, [route], list(order), max_group_rows)
+    """Ordered ``[{lat, lon}]`` arrays to draw each route with, cut into pieces of bounded length.
+
+    A piece ends with the point the next one begins with, so n points in any number of pieces have n-1 edges. Only
+    official stops count where ``stops`` has ``parada``.
+    """
+    placed = ordered.with_position(_official(stops), [route], list(order))
     point = F.struct("_pos", F.col("lat").alias("lat"), F.col("lon").alias("lon"))
-    return (
-        placed.withColumn("pieza", F.floor(F.col("_pos") / piece_points).cast("int"))
+    piece = F.floor(F.col("_pos") / piece_edges).cast("int")
+    at_border = (F.col("_pos") % piece_edges == 0) & (F.col("_pos") > 0)
+    both = F.when(at_border, F.array(piece - 1, piece)).otherwise(F.array(piece))
+    lines = (
+        placed.withColumn("pieza", F.explode(both))
         .groupBy(route, "pieza")
         .agg(F.sort_array(F.collect_list(point)).alias("_line"))
         .select(
@@ -80,3 +90,5 @@ def route_lines(
             F.transform("_line", lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"))).alias("linea"),
         )
     )
+    # the last point of a route may begin a piece of its own, which would have no edge
+    return lines.filter((F.col("puntos") > 1) | (F.col("pieza") == 0))

@@ -7,6 +7,12 @@ from pyspark.sql import types as T
 TRAMO = "struct<inicio: string, fin: string, fraccion: double>"
 METRICS = "struct<steps_per_segment: int, current_step: int, steps_remaining: int>"
 
+TRAMO_FIELDS = ("inicio", "fin", "fraccion")
+METRIC_FIELDS = ("steps_per_segment", "current_step", "steps_remaining")
+
+# What is_whole in operators.ingest puts behind a text to see whether the reader gets there.
+END_OF_TEXT = "array<struct<_end: bigint>>"
+
 # A ping document as registered.
 PING = (
     "bus_id string, ruta string, timestamp string, "
@@ -28,9 +34,7 @@ PING_TEXT = (
     "bus_id string, ruta string, timestamp string, lat string, lon string, "
     "location struct<coordinates: array<string>>, "
     "estado string, velocidad_kmh string, escenario string, direccion string, "
-    "tramo struct<inicio: string, fin: string, fraccion: string>, "
-    "metrics_runtime struct<steps_per_segment: string, current_step: string, steps_remaining: string>, "
-    "_broken string"
+    "tramo map<string, string>, metrics_runtime map<string, string>, _broken string"
 )
 
 # The same document, keeping JSON types, for the few pings whose text form is ambiguous.
@@ -44,7 +48,7 @@ PING_VARIANT = (
 POSITION = (
     "bus_id string, ruta string, escenario string, estado string, direccion string, "
     "timestamp timestamp, ingested_at timestamp, arrival_seq bigint, lon double, lat double, "
-    f"velocidad_kmh double, tramo {TRAMO}, metrics_runtime {METRICS}, ts_imputed boolean"
+    f"velocidad_kmh double, tramo {TRAMO}, metrics_runtime {METRICS}, ts_imputed boolean, extra map<string, string>"
 )
 
 FACT = (

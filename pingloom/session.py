@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Scratch paths handed out by this process, for clear_scratch.
+_written: list[str] = []
+
 
 def build_session(app: str = "pingloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here relies on.
@@ -58,7 +62,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def spool(df: DataFrame, label: str) -> DataFrame:
@@ -68,5 +74,36 @@ def spool(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def finished_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the folders inside one that a job has finished, which its success mark tells.
+
+    Neither this nor :func:`remove` can be said with readers and writers, so both ask the file system.
+    """
+    files, target = _file_system(spark, folder)
+    if not files.exists(target):
+        return []
+    found = [status.getPath() for status in files.listStatus(target) if status.isDirectory()]
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [path.toString() for path in found if files.exists(mark(path, "_SUCCESS"))]
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and what is in it."""
+    files, target = _file_system(spark, folder)
+    files.delete(target, True)
+
+
+def clear_scratch(spark: SparkSession, keep: Sequence[str] = ()) -> None:
+    """Delete what this application has written out on its way; frames read from it cannot be used any more."""
+    for path in [p for p in _written if p.startswith(shared_dir(spark)) and p not in keep]:
+        remove(spark, path)
+        _written.remove(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pingloom import schemas
+from pingloom.session import spool
 
 PARTITION = "fecha"
 
@@ -38,21 +40,22 @@ def write_fact(fact: DataFrame, path: str, mode: str = "snapshot") -> None:
 
 
 def _accumulate(fact: DataFrame, path: str) -> None:
+    """Merge into the stored table: the input is written out once, and so is the merged part before it replaces its dates.
+
+    Stored rows are joined with the dates of the input, so only their folders are read and no list of dates passes
+    through the driver.
+    """
     spark = fact.sparkSession
     if not _exists(spark, path):
         write_fact(fact, path, "snapshot")
         return
-    # as many rows as there are dates in the input; a dated literal list prunes the stored partitions
-    touched = [r[0] for r in fact.select(PARTITION).distinct().collect()]
-    dates = [d for d in touched if d is not None]
-    in_touched = F.col(PARTITION).isin(dates) if dates else F.lit(False)
-    if len(dates) < len(touched):
-        in_touched = in_touched | F.col(PARTITION).isNull()
-    stored = read_fact(spark, path).filter(in_touched)
-    incoming = fact.select(*EVENT_KEY).distinct()
+    incoming = spool(fact, "incoming")
+    dates = incoming.select(F.col(PARTITION).alias("_date")).distinct()
+    stored = read_fact(spark, path).join(dates, F.col(PARTITION).eqNullSafe(F.col("_date")), "left_semi")
+    events = incoming.select(*EVENT_KEY).distinct()
     same_event = [F.col(f"s.{c}").eqNullSafe(F.col(f"i.{c}")) for c in EVENT_KEY]
-    kept = stored.alias("s").join(incoming.alias("i"), same_event, "left_anti")
-    merged = kept.select(*fact.columns).unionByName(fact)
+    kept = stored.alias("s").join(events.alias("i"), same_event, "left_anti")
+    merged = spool(kept.select(*fact.columns).unionByName(incoming), "merged")
     (
         _laid_out(merged)
         .write.mode("overwrite")
@@ -63,8 +66,13 @@ def _accumulate(fact: DataFrame, path: str) -> None:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    try:
+        spark.read.schema(schemas.struct(schemas.FACT)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

@@ -28,14 +28,33 @@ class Network:
         })
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, url: str, db_schema: str, **options: str) -> Network:
-        """Tables of a database. Pass ``partitionColumn`` and bounds in ``options`` to read in parallel."""
+    def from_jdbc(
+        cls, spark: SparkSession, url: str, db_schema: str, tables: dict[str, dict[str, str]] | None = None, **options: str
+    ) -> Network:
+        """Tables of a database. ``tables`` has further options by table, such as those of :func:`parallel`."""
         return cls(**{
-            name: spark.read.format("jdbc").options(url=url, dbtable=f"{db_schema}.{name}", **options).load()
+            name: spark.read.format("jdbc").options(**jdbc_options(name, url, db_schema, tables, **options)).load()
             for name in schemas.NETWORK
         })
 
 
+def parallel(column: str, lower: int, upper: int, partitions: int) -> dict[str, str]:
+    """Options that read one table over several connections, cut evenly between two values of a column."""
+    return {
+        "partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(partitions),
+    }
+
+
+def jdbc_options(
+    name: str, url: str, db_schema: str, tables: dict[str, dict[str, str]] | None = None, **options: str
+) -> dict[str, str]:
+    """Reader options of one table."""
+    unknown = set(tables or {}) - set(schemas.NETWORK)
+    if unknown:
+        raise ValueError(f"no such tables: {sorted(unknown)}")
+    return {"url": url, "dbtable": f"{db_schema}.{name}", **options, **(tables or {}).get(name, {})}
+
+
 def stations(network: Network) -> DataFrame:
     """The five columns map and lookups use; the rest is never read."""
     return network.estacion.select("id", "nombre", "latitud", "longitud", "tipo")

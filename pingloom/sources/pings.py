@@ -4,27 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pingloom import schemas
+from pingloom.operators import quality
 
 # Formats whose files or collections hold whole documents.
 DOCUMENT_FORMATS = ("json", "parquet", "orc", "avro", "mongodb")
 
 
-def read_documents(spark: SparkSession, path: str | None, fmt: str = "json", schema: str | None = None, **options: str) -> DataFrame:
-    """Scan a document collection with a given schema, so that no pass is spent on inferring one."""
+def read_documents(
+    spark: SparkSession, path: str | None, fmt: str = "json", schema: str | None = None, additive: bool = False, **options: str
+) -> DataFrame:
+    """Scan a document collection with a given schema, so that no pass is spent on inferring one.
+
+    With ``additive`` the schema is inferred as well, which costs a pass, and what it has beyond the given one is read
+    too; nothing given is removed or retyped.
+    """
     if fmt not in DOCUMENT_FORMATS:
         raise ValueError(f"unknown format {fmt!r}; one of {DOCUMENT_FORMATS}")
-    reader = spark.read.format(fmt).options(**options)
-    if schema:
-        reader = reader.schema(schemas.struct(schema))
-    return reader.load(path) if path else reader.load()
+
+    def load(kind: T.StructType | None) -> DataFrame:
+        reader = spark.read.format(fmt).options(**options)
+        reader = reader.schema(kind) if kind else reader
+        return reader.load(path) if path else reader.load()
+
+    registered = schemas.struct(schema) if schema else None
+    return load(quality.additive_schema(registered, load(None).schema) if registered and additive else registered)
+
+
+def bodies(files: DataFrame, whole: bool = False) -> DataFrame:
+    """Raw pings of landed files that were read whole: ``value``, ``arrived_at`` and ``seq``.
+
+    A file is one body (``whole``) or holds one per line. They arrive when their file lands; within a file, the line
+    number orders them, and files that land at the same moment are told apart by their name.
+    """
+    lines = F.array("value") if whole else F.split("value", r"\r?\n")
+    file = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 20))
+    listed = files.select(
+        F.posexplode(lines).alias("line", "body"),
+        F.col("_metadata.file_modification_time").alias("arrived_at"),
+        file.alias("file"),
+    )
+    return listed.filter(F.trim("body") != "").select(
+        F.col("body").alias("value"), "arrived_at", (F.col("line") * F.lit(1 << 20) + F.col("file")).cast("bigint").alias("seq")
+    )
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Raw ping text, one document per line, stamped with the time its file landed."""
-    lines = spark.read.text(path)
-    return lines.select("value", F.col("_metadata.file_modification_time").alias("arrived_at"))
+def read_landing(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """Raw ping text stamped with the time its file landed and its place in the file."""
+    return bodies(spark.read.format("text").option("wholetext", True).load(path), whole)
 
 
 def read_positions(spark: SparkSession, path: str) -> DataFrame:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from pingloom.operators.latest import latest
+from pingloom.operators.latest import newest
 
 
 def latest_stream(positions: DataFrame, order: str = "arrival") -> DataFrame:
-    """The batch operator on a stream: state is one row per vehicle and never expires.
+    """Latest positions of a stream: state is one row per vehicle and never expires.
 
     Use the update output mode for changed vehicles only, complete for the whole table.
     """
-    return latest(positions, order=order)
+    return newest(positions, order=order)
 
 
 def start_latest(positions: DataFrame, folder: str, checkpoint: str, order: str = "arrival") -> StreamingQuery:

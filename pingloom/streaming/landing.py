@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,12 +11,24 @@ from pyspark.sql.streaming import StreamingQuery
 from pingloom import schemas
 from pingloom.operators import ingest
 from pingloom.operators.latest import latest
+from pingloom.operators.retention import RETENTION_HOURS, unexpired
+from pingloom.plans.lookup import Positions
+from pingloom.session import finished_folders, remove, spool
+from pingloom.sources.pings import bodies
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 
 RAW = "value string, arrived_at timestamp, seq bigint"
 
 
+def body_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None, whole: bool = False) -> DataFrame:
+    """Landed bodies as a stream: bare documents, one per line, or one per file (``whole``), whatever its line breaks."""
+    reader = spark.readStream.format("text").option("wholetext", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return bodies(reader.load(folder), whole)
+
+
 def raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """Landed pings (JSON lines of ``value, arrived_at, seq``) as a stream."""
     reader = spark.readStream.schema(schemas.struct(RAW))
@@ -26,41 +40,62 @@ def raw_stream(spark: SparkSession, folder: str, files_per_batch: int | None = N
 class Store:
     """Folder layout of an ingest.
 
-    ``pings/batch_id=…/outcome=…/fecha=…`` holds accepted and rejected pings; ``latest/batch_id=…``
-    holds one complete snapshot of the latest positions per batch. A batch owns its folders, so a
-    batch that is run again after a failure replaces what it had written.
+    ``pings/batch_id=…/outcome=…/fecha=…`` holds accepted and rejected pings, sorted by vehicle within a file;
+    ``latest/batch_id=…`` holds one complete snapshot of the latest positions per batch. A batch owns its folders, so a
+    batch that is run again after a failure replaces what it had written. ``compact`` gathers the batches up to a number
+    in ``packed/upto=…``, without what has expired, and drops what that makes superfluous.
     """
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
         self.pings = f"{self.root}/pings"
+        self.packed = f"{self.root}/packed"
+        self.snapshots = f"{self.root}/latest"
         self.checkpoint = f"{self.root}/checkpoint"
 
     def batch_folder(self, batch_id: int) -> str:
         return f"{self.pings}/batch_id={batch_id}"
 
     def snapshot_folder(self, batch_id: int) -> str:
-        return f"{self.root}/latest/batch_id={batch_id}"
-
-    def _pings(self, spark: SparkSession, outcome: str) -> DataFrame:
-        extra = ", reject_reason string, raw string, outcome string, fecha date, batch_id bigint"
-        return (
-            spark.read.schema(schemas.struct(schemas.POSITION + extra))
-            .option("basePath", self.pings)
-            .parquet(self.pings)
-            .filter(F.col("outcome") == outcome)
-        )
+        return f"{self.snapshots}/batch_id={batch_id}"
+
+    def packed_folder(self, upto: int) -> str:
+        return f"{self.packed}/upto={upto}"
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        """All pings: those gathered last, and the batches after them."""
+        upto = _last_number(spark, self.packed)
+        parts = []
+        if upto is not None:
+            parts.append(spark.read.schema(schemas.struct(_PINGS)).parquet(self.packed_folder(upto)))
+        after = -1 if upto is None else upto
+        if any(n > after for n in _numbers(spark, self.pings)):
+            batches = spark.read.schema(schemas.struct(_PINGS + ", batch_id bigint")).option("basePath", self.pings)
+            parts.append(batches.parquet(self.pings).filter(F.col("batch_id") > after).drop("batch_id"))
+        if not parts:
+            return spark.createDataFrame([], schemas.struct(_PINGS))
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def history(self, spark: SparkSession) -> DataFrame:
         """Accepted pings, repeats included. ``fecha`` is there to prune by date."""
-        return self._pings(spark, ACCEPTED).select(*schemas.columns(schemas.POSITION), "fecha")
+        return self._stored(spark).filter(F.col("outcome") == ACCEPTED).select(*schemas.columns(schemas.POSITION), "fecha")
 
     def rejects(self, spark: SparkSession) -> DataFrame:
-        return self._pings(spark, REJECTED).select("arrival_seq", "ingested_at", "reject_reason", "raw")
+        found = self._stored(spark).filter(F.col("outcome") == REJECTED)
+        return found.select("arrival_seq", "ingested_at", "reject_reason", "raw")
 
     def latest(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return spark.read.schema(schemas.struct(schemas.POSITION)).parquet(self.snapshot_folder(batch_id))
 
+    def current(self, spark: SparkSession) -> DataFrame:
+        """The latest positions of the last complete snapshot; none before the first batch."""
+        last = _last_number(spark, self.snapshots)
+        return spark.createDataFrame([], schemas.struct(schemas.POSITION)) if last is None else self.latest(spark, last)
+
+    def positions(self, spark: SparkSession, stations: DataFrame) -> Positions:
+        """What lookups read, from the stored tables alone."""
+        return Positions(latest=self.current(spark), history=self.history(spark), stations=stations)
+
     def write_batch(self, decoded: DataFrame, batch_id: int, order: str = "arrival") -> None:
         """Store one batch: a single pass over the raw pings, then a small merge of the snapshot.
 
@@ -73,24 +108,70 @@ class Store:
         (
             decoded.withColumn("outcome", outcome)
             .withColumn("fecha", day)
+            .sortWithinPartitions("outcome", "fecha", "bus_id")
             .write.mode("overwrite")
             .partitionBy("outcome", "fecha")
             .parquet(self.batch_folder(batch_id))
         )
         newest = latest(self._batch_history(spark, batch_id), order=order)
-        if batch_id > 0:
-            newest = latest(self.latest(spark, batch_id - 1).unionByName(newest), order=order)
+        before = [n for n in _numbers(spark, self.snapshots) if n < batch_id]
+        if before:
+            newest = latest(self.latest(spark, max(before)).unionByName(newest), order=order)
         newest.write.mode("overwrite").parquet(self.snapshot_folder(batch_id))
 
     def _batch_history(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        extra = ", reject_reason string, raw string, outcome string, fecha date"
         return (
-            spark.read.schema(schemas.struct(schemas.POSITION + extra))
+            spark.read.schema(schemas.struct(_PINGS))
             .parquet(self.batch_folder(batch_id))
             .filter(F.col("outcome") == ACCEPTED)
             .select(*schemas.columns(schemas.POSITION))
         )
 
+    def compact(self, spark: SparkSession, as_of: datetime | str, hours: int = RETENTION_HOURS, keep_snapshots: int = 2) -> None:
+        """Gather all finished batches in files of even size, without accepted pings that have expired.
+
+        To be run between ingests. What is stored stays readable until the new files are complete; then the batches they
+        replace, the older gathering and all but the newest snapshots are deleted.
+        """
+        done = _last_number(spark, self.snapshots)
+        if done is None:
+            return
+        stored = self._stored(spark)
+        alive = unexpired(stored.filter(F.col("outcome") == ACCEPTED), as_of, hours)
+        kept = alive.unionByName(stored.filter(F.col("outcome") == REJECTED))
+        # the state of the snapshot's batch may have been gathered before, so a new number is taken
+        upto = max(done, *_numbers(spark, self.pings), -1)
+        folder = f"{self.packed_folder(upto)}"
+        if upto in _numbers(spark, self.packed):
+            kept = spool(kept, "kept")
+        (
+            kept.hint("rebalance", "outcome", "fecha")
+            .sortWithinPartitions("outcome", "fecha", "bus_id")
+            .write.mode("overwrite")
+            .partitionBy("outcome", "fecha")
+            .parquet(folder)
+        )
+        for n in _numbers(spark, self.packed):
+            if n != upto:
+                remove(spark, self.packed_folder(n))
+        for n in _numbers(spark, self.pings):
+            if n <= upto:
+                remove(spark, self.batch_folder(n))
+        for n in sorted(_numbers(spark, self.snapshots))[:-keep_snapshots]:
+            remove(spark, self.snapshot_folder(n))
+
+
+_PINGS = schemas.POSITION + ", reject_reason string, raw string, outcome string, fecha date"
+
+
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete ``name=number`` folders inside one, as few as there are batches."""
+    return sorted(int(path.rpartition("=")[2]) for path in finished_folders(spark, folder) if "=" in path)
+
+
+def _last_number(spark: SparkSession, folder: str) -> int | None:
+    return max(_numbers(spark, folder), default=None)
+
 
 def start_ingest(raw: DataFrame, store: Store, order: str = "arrival") -> StreamingQuery:
     """Process everything that has landed so far, then stop; call again to go on where it ended."""
@@ -105,5 +186,4 @@ def start_ingest(raw: DataFrame, store: Store, order: str = "arrival") -> Stream
 
 def last_batch(query: StreamingQuery) -> int | None:
     """Number of the last batch a finished run wrote, None if nothing was new."""
-    progress = query.lastProgress
-    return None if progress is None else int(progress["batchId"])
+    return max((int(p["batchId"]) for p in query.recentProgress if p["numInputRows"] > 0), default=None)

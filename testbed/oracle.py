@@ -66,8 +66,12 @@ SELECT bus_id, ruta, escenario, estado, "timestamp" AS ts_evento, ingested_at AS
 FROM hist"""
 
 
-def _listing(where: str = "true") -> str:
-    return f'WITH {_LATEST} SELECT {_FLAT} FROM latest WHERE {where} ORDER BY "timestamp" DESC, bus_id'
+def _listing(where: str = "true", table: str = "latest", source: str = _LATEST) -> str:
+    return f'WITH {source} SELECT {_FLAT} FROM {table} WHERE {where} ORDER BY "timestamp" DESC, bus_id'
+
+
+def _place(order: str) -> str:
+    return f"cast(row_number() OVER (ORDER BY {order}) AS int) AS puesto"
 
 
 def _near(source: str, lat: str, lon: str, radius: float) -> str:
@@ -76,7 +80,7 @@ d AS (SELECT l.*, {_metres(lat, lon, 'l.lat', 'l.lon')} AS d FROM {source}),
 w AS (SELECT *, CASE WHEN velocidad_kmh > 0
                      THEN round(round(d, 1) / (velocidad_kmh * 1000e0 / 60e0), 1) END AS eta_min
       FROM d WHERE d <= {radius!r})
-SELECT bus_id, ruta, estado, "timestamp", lat, lon, velocidad_kmh, round(d, 3) AS distancia_m,
+SELECT {_place("d, bus_id")}, bus_id, ruta, estado, "timestamp", lat, lon, velocidad_kmh, round(d, 3) AS distancia_m,
        printf('%.1f', d) AS distancia, eta_min,
        CASE WHEN eta_min IS NULL THEN 'N/A' ELSE printf('%.1f min', eta_min) END AS eta
 FROM w ORDER BY d, bus_id"""
@@ -89,7 +93,7 @@ WHERE "timestamp" > TIMESTAMP '{q.AS_OF}' - INTERVAL 24 HOUR"""
 _JUDGED = _POS + """,
 judged AS (
   SELECT *, arrival_seq % 20 AS defect,
-         CASE WHEN arrival_seq % 20 IN (2, 4, 8) THEN 'malformed'
+         CASE WHEN arrival_seq % 20 IN (2, 4, 8, 13, 14) THEN 'malformed'
               WHEN arrival_seq % 20 IN (0, 1) THEN 'missing_required'
               WHEN NOT (lat BETWEEN 4.45e0 AND 4.85e0 AND lon BETWEEN -74.3e0 AND -73.9e0) THEN 'out_of_bounds'
               WHEN arrival_seq % 20 = 3 THEN 'malformed' END AS reject_reason
@@ -103,14 +107,19 @@ good AS (
            CASE WHEN defect <> 9 THEN steps_per_segment END AS steps_per_segment,
            CASE WHEN defect <> 9 THEN current_step END AS current_step),
          defect = 6 AS ts_imputed,
-         CASE WHEN defect <> 9 THEN cast(greatest(steps_per_segment - current_step, 0) AS int) END AS steps_remaining
+         CASE WHEN defect <> 9 THEN cast(greatest(steps_per_segment - current_step, 0) AS int) END AS steps_remaining,
+         CASE WHEN defect = 16 THEN 'tramo.meta' END AS extra_keys
   FROM judged WHERE reject_reason IS NULL)"""
 
 _ACCEPTED_COLUMNS = (
-    f"{_FLAT}, ts_imputed, tramo_inicio, tramo_fin, fraccion, steps_per_segment, current_step, steps_remaining"
+    f"{_FLAT}, ts_imputed, tramo_inicio, tramo_fin, fraccion, steps_per_segment, current_step, steps_remaining, extra_keys"
 )
 _ACCEPTED = f"WITH {_JUDGED} SELECT {_ACCEPTED_COLUMNS} FROM good"
 _REJECTED = f"WITH {_JUDGED} SELECT arrival_seq, ingested_at, reject_reason FROM judged WHERE reject_reason IS NOT NULL"
+_STORED = _JUDGED + """,
+newest AS (
+  SELECT * FROM good
+  QUALIFY row_number() OVER (PARTITION BY bus_id ORDER BY ingested_at DESC, arrival_seq DESC) = 1)"""
 _INGESTED_LATEST = f"""WITH {_JUDGED}
 SELECT {_FLAT} FROM good
 QUALIFY row_number() OVER (PARTITION BY bus_id ORDER BY ingested_at DESC, arrival_seq DESC) = 1"""
@@ -124,11 +133,11 @@ ruta AS (
          TIMESTAMP '2020-01-01 00:00:00' + to_days(n_nationkey) AS fecha_creacion
   FROM nation),
 bus AS (
-  SELECT cast(c_custkey AS int) AS id, c_nationkey AS ruta_id, c_mktsegment AS tipo_bus,
+  SELECT cast(c_custkey AS int) AS id, c_nationkey - c_nationkey % 3 AS ruta_id, c_mktsegment AS tipo_bus,
          concat('PL', cast(c_custkey AS varchar)) AS placa, concat('M', cast(c_custkey % 5 AS varchar)) AS modelo,
          CASE WHEN c_acctbal >= 0 THEN 'ACTIVO' ELSE 'TALLER' END AS estado,
          DATE '2020-01-01' + cast(c_custkey % 365 AS int) AS fecha_asignacion
-  FROM customer WHERE c_nationkey % 3 = 0),
+  FROM customer),
 persona AS (
   SELECT cast(c_custkey AS int) AS id, c_name AS nombres, concat('A', cast(c_custkey AS varchar)) AS apellidos,
          cast(c_custkey * 7 AS varchar) AS documento, c_nationkey AS tipo_documento_id,
@@ -139,7 +148,7 @@ tipo_persona AS (SELECT DISTINCT c_mktsegment AS id, c_mktsegment AS nombre FROM
 tipo_documento AS (SELECT n_nationkey AS id, n_name AS nombre FROM nation UNION ALL SELECT -1, 'SIN DOCUMENTO')"""
 
 _BUSES = f"""WITH {_FLEET}
-SELECT r.codigo AS ruta_codigo, r.nombre AS ruta_nombre, b.id AS bus_id, b.placa, b.modelo, b.tipo_bus,
+SELECT {_place("r.codigo, b.placa, b.id")}, r.codigo AS ruta_codigo, r.nombre AS ruta_nombre, b.id AS bus_id, b.placa, b.modelo, b.tipo_bus,
        b.estado AS estado_bus, b.fecha_asignacion
 FROM bus b JOIN ruta r ON r.id = b.ruta_id"""
 
@@ -153,14 +162,14 @@ stops AS (
          concat('R', cast(o_orderkey AS varchar)) AS ruta_codigo, o_orderpriority AS ruta_nombre
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey)"""
 
-# Without the route table: geometry needs stops and stations only.
+# Without the route table: geometry needs official stops and stations only.
 _LINE = """
 stops AS (
   SELECT cast(l_orderkey AS int) AS ruta_id, cast(l_partkey AS int) AS estacion_id, l_linenumber AS orden,
          l_suppkey AS variante, l_quantity AS cantidad, p_name AS nombre,
          4.45e0 + cast((p_partkey * 3571) % 40001 AS double) / 1e5 AS lat,
          -74.3e0 + cast((p_partkey * 6151) % 40001 AS double) / 1e5 AS lon
-  FROM lineitem JOIN part ON p_partkey = l_partkey)"""
+  FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R')"""
 
 _SEGMENTS = _LINE + """,
 seg AS (
@@ -185,7 +194,7 @@ def _profile() -> str:
 
 def _drift() -> str:
     """Fields of the raw pings with the condition under which a document holds them."""
-    whole = "defect <> 4"
+    whole = "defect NOT IN (4, 13, 14)"
     rows = [(f, "STRING", "STRING", whole, "igual") for f in ("ruta", "timestamp", "estado", "escenario", "direccion")]
     rows += [
         ("bus_id", "STRING", "STRING", f"{whole} AND defect <> 0", "igual"),
@@ -200,6 +209,10 @@ def _drift() -> str:
         ("tramo", "OBJECT", "NULL", "defect = 2", "igual"),
         ("metrics_runtime", "OBJECT", "OBJECT", f"{whole} AND defect <> 9", "igual"),
         ("firmware", None, "STRING", "defect = 12", "agregado"),
+        ("tramo.meta", None, "OBJECT", "defect = 16", "agregado"),
+        ("tramo.meta.zona", None, "OBJECT", "defect = 16", "agregado"),
+        ("tramo.meta.zona.x", None, "NUMBER", "defect = 16", "agregado"),
+        ("$", None, "INVALID", "defect IN (4, 13, 14)", "ilegible"),
     ]
     for name, kind in (("inicio", "STRING"), ("fin", "STRING"), ("fraccion", "NUMBER")):
         rows.append((f"tramo.{name}", kind, kind, f"{whole} AND defect NOT IN (2, 9)", "igual"))
@@ -214,6 +227,12 @@ def _drift() -> str:
         f"count(*) FILTER (WHERE {cond}) AS documentos, {quoted(change)} AS cambio FROM d"
         for f, reg, obs, cond, change in rows
     ]
+    elements = f"{quoted('location.coordinates[]')} AS campo, 'NUMBER' AS tipo_registrado"
+    parts += [
+        f"SELECT {elements}, 'NUMBER' AS tipo_observado, 2 * count(*) FILTER (WHERE {whole} AND defect NOT IN (7, 8)) "
+        "+ count(*) FILTER (WHERE defect = 8) AS documentos, 'igual' AS cambio FROM d",
+        f"SELECT {elements}, 'NULL' AS tipo_observado, 2 * count(*) FILTER (WHERE defect = 7) AS documentos, 'igual' AS cambio FROM d",
+    ]
     return "WITH d AS (SELECT event_id % 20 AS defect FROM events) " + " UNION ALL ".join(parts)
 
 
@@ -229,7 +248,8 @@ ALL: dict[str, str] = {
     "latest_event": f"""WITH {_POS} SELECT {_FLAT} FROM hist
         QUALIFY row_number() OVER (PARTITION BY bus_id ORDER BY "timestamp" DESC, ingested_at DESC, arrival_seq DESC) = 1""",
     "latest_window": f"WITH {_LATEST} SELECT {_FLAT} FROM latest",
-    "positions_all": _listing(),
+    "positions_all": f"""WITH {_LATEST}
+        SELECT {_FLAT}, {_place('"timestamp" DESC, bus_id')} FROM latest""",
     "positions_by_route": _listing(f"ruta = '{q.ROUTE}'"),
     "positions_by_status": _listing(f"estado = '{q.STATUS}'"),
     "positions_by_scenario": _listing(f"escenario = '{q.SCENARIO}'"),
@@ -251,9 +271,9 @@ ALL: dict[str, str] = {
     + _near("latest l", f"{q.POINT[0]!r}e0", f"({q.POINT[1]!r}e0)", q.POINT_RADIUS_M),
     "near_station_eta": f"WITH {_LATEST}, {_STATIONS}, "
     + _near(f"latest l JOIN estacion s ON s.id = {q.STATION}", "s.latitud", "s.longitud", 20000.0),
-    "near_join_grid": f"""WITH {_POS}, {_STATIONS},
+    "near_join_grid": f"""WITH {_LATEST}, {_STATIONS},
         d AS (SELECT arrival_seq, bus_id, lat, lon, id AS estacion_id,
-                     {_metres('lat', 'lon', 'latitud', 'longitud')} AS d FROM hist CROSS JOIN estacion)
+                     {_metres('lat', 'lon', 'latitud', 'longitud')} AS d FROM latest CROSS JOIN estacion)
         SELECT arrival_seq, bus_id, lat, lon, estacion_id, round(d, 3) AS distancia_m FROM d
         WHERE d <= {q.JOIN_RADIUS_M!r}""",
     "retention_24h": _ALIVE,
@@ -264,6 +284,18 @@ ALL: dict[str, str] = {
     "stream_ingest_rejected": _REJECTED,
     "stream_ingest_latest": _INGESTED_LATEST,
     "stream_latest": _INGESTED_LATEST,
+    "stream_bodies": f"""WITH {_JUDGED}
+        SELECT bus_id, ruta, escenario, estado, direccion, CASE WHEN defect <> 6 THEN "timestamp" END AS "timestamp", lon, lat,
+               velocidad_kmh FROM good""",
+    "stored_by_route": _listing(f"ruta = '{q.ROUTE}'", "newest", _STORED),
+    "stored_near_station": f"WITH {_STORED}, {_STATIONS}, "
+    + _near(f"newest l JOIN estacion s ON s.id = {q.STATION}", "s.latitud", "s.longitud", 20000.0),
+    "stored_history": f"""WITH {_STORED} SELECT {_FLAT} FROM good WHERE bus_id = '{q.BUS}'
+        ORDER BY "timestamp" DESC, arrival_seq DESC LIMIT 20""",
+    "stored_unexpired": f"""WITH {_JUDGED} SELECT {_FLAT} FROM good
+        WHERE "timestamp" > TIMESTAMP '{q.AS_OF}' - INTERVAL 24 HOUR""",
+    "documents_additive": f"""WITH {_POS}
+        SELECT bus_id, arrival_seq, CASE WHEN arrival_seq % 20 = 12 THEN 'v2' END AS firmware FROM hist""",
     "buses_by_route": _BUSES + " ORDER BY 1, 4",
     "buses_of_route": _BUSES + f" WHERE r.codigo = '{q.FLEET_ROUTE}' ORDER BY 4",
     "stations_by_route": f"""WITH {_BRIDGE}
@@ -305,9 +337,10 @@ ALL: dict[str, str] = {
     "usable_routes": """SELECT cast(l_orderkey AS int) AS ruta_id, count(*) AS paradas, count(*) - 1 AS tramos
         FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) >= 2""",
     "route_line": f"""WITH {_LINE},
-        n AS (SELECT *, row_number() OVER (PARTITION BY ruta_id ORDER BY orden, estacion_id, variante) - 1 AS p FROM stops)
-        SELECT ruta_id, cast(p // 4 AS int) AS pieza,
-               cast(count(*) OVER (PARTITION BY ruta_id, p // 4) AS int) AS puntos, cast(p % 4 AS int) AS n, lat, lon FROM n""",
+        n AS (SELECT *, row_number() OVER w - 1 AS p, lead(lat) OVER w AS lat_b, lead(lon) OVER w AS lon_b
+              FROM stops WINDOW w AS (PARTITION BY ruta_id ORDER BY orden, estacion_id, variante))
+        SELECT ruta_id, cast(p // 4 AS int) AS pieza, cast(p % 4 AS int) AS n, lat AS lat_a, lon AS lon_a, lat_b, lon_b
+        FROM n WHERE lat_b IS NOT NULL""",
     "status_rules": f"""WITH {_RULES}
         SELECT arrival_seq, escenario, steps_per_segment, current_step,
                cast(greatest(steps_per_segment - current_step, 0) AS int) AS steps_remaining,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,12 @@ def _flat(df: DataFrame) -> DataFrame:
     return shown(df.select(*FLAT))
 
 
+def ranked(rows: DataFrame) -> DataFrame:
+    """Rows numbered in the order in which they come, so that a comparison sees their order."""
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
+    return numbered.withColumn("puesto", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
 def _positions(spark: SparkSession, sf: str) -> Positions:
     history = tables.history(spark, sf)
     return Positions(latest=latest(history), history=history, stations=tables.stations(spark, sf))
@@ -127,7 +133,7 @@ def latest_window(spark, sf):
 
 
 def positions_all(spark, sf):
-    return _flat(_positions(spark, sf).every())
+    return shown(ranked(_positions(spark, sf).every()).select(*FLAT, "puesto"))
 
 
 def positions_by_route(spark, sf):
@@ -169,8 +175,8 @@ def last_n_per_bus(spark, sf):
 
 def _near_columns(rows: DataFrame) -> DataFrame:
     return shown(
-        rows.select(
-            "bus_id", "ruta", "estado", "timestamp", "lat", "lon", "velocidad_kmh",
+        ranked(rows).select(
+            "puesto", "bus_id", "ruta", "estado", "timestamp", "lat", "lon", "velocidad_kmh",
             F.round("distancia_m", 3).alias("distancia_m"),
             labels.one_decimal(F.col("distancia_m")).alias("distancia"),
             "eta_min", "eta",
@@ -190,7 +196,8 @@ def near_station_eta(spark, sf):
 
 def near_join_grid(spark, sf):
     stations = tables.stations(spark, sf).selectExpr("id", "latitud AS lat", "longitud AS lon")
-    pairs = near.near_join(tables.history(spark, sf).select("arrival_seq", "bus_id", "lat", "lon"), stations, JOIN_RADIUS_M)
+    vehicles = latest(tables.history(spark, sf)).select("arrival_seq", "bus_id", "lat", "lon")
+    pairs = near.near_join(vehicles, stations, JOIN_RADIUS_M)
     return pairs.withColumn("distancia_m", F.round("distancia_m", 3))
 
 
@@ -205,7 +212,7 @@ def history_expired(spark, sf):
     """History rewritten without what has expired, then read from its date folders."""
     path = scratch_path(spark, "alive")
     retention.rewrite(tables.history(spark, sf), path, AS_OF)
-    return _flat(retention.unexpired(spark.read.parquet(path), AS_OF))
+    return _flat(spark.read.parquet(path))
 
 
 def _accepted_columns(rows: DataFrame) -> DataFrame:
@@ -218,6 +225,7 @@ def _accepted_columns(rows: DataFrame) -> DataFrame:
             F.col("metrics_runtime.steps_per_segment").alias("steps_per_segment"),
             F.col("metrics_runtime.current_step").alias("current_step"),
             F.col("metrics_runtime.steps_remaining").alias("steps_remaining"),
+            F.when(F.col("extra").isNotNull(), F.array_join(F.sort_array(F.map_keys("extra")), ",")).alias("extra_keys"),
         )
     )
 
@@ -278,15 +286,60 @@ def stream_latest(spark, sf):
     return _flat(spark.read.parquet(f"{target}/batch_id={landing.last_batch(query)}"))
 
 
+def stream_bodies(spark, sf):
+    """Bare bodies, one per line, streamed without an envelope; they arrive when their file lands."""
+    folder, store = scratch_path(spark, "bodies"), landing.Store(scratch_path(spark, "store"))
+    tables.raw_pings(spark, sf).select("value").write.text(folder)
+    landing.start_ingest(landing.body_stream(spark, folder), store).awaitTermination()
+    rows = store.history(spark).withColumn("timestamp", F.when(~F.col("ts_imputed"), F.col("timestamp")))
+    return shown(rows.select("bus_id", "ruta", "escenario", "estado", "direccion", "timestamp", "lon", "lat", "velocidad_kmh"))
+
+
+def _served(spark, sf) -> Positions:
+    """Lookups from a store after an ingest, a stop and a run that found nothing new."""
+    folder, half = _landed(spark, sf)
+    store = landing.Store(scratch_path(spark, "store"))
+    for _ in range(2):
+        landing.start_ingest(landing.raw_stream(spark, folder, half), store).awaitTermination()
+    return landing.Store(store.root).positions(spark, tables.stations(spark, sf))
+
+
+def stored_by_route(spark, sf):
+    return _flat(_served(spark, sf).lookup("route", ruta=ROUTE))
+
+
+def stored_near_station(spark, sf):
+    return _near_columns(with_eta(_served(spark, sf).lookup("near_station", id=str(STATION))))
+
+
+def stored_history(spark, sf):
+    return _flat(_served(spark, sf).lookup("history", bus_id=BUS))
+
+
+def stored_unexpired(spark, sf):
+    """What the store keeps after it was compacted, with all that had expired dropped."""
+    store, _ = _streamed(spark, sf)
+    store.compact(spark, AS_OF)
+    return _flat(store.history(spark))
+
+
+def documents_additive(spark, sf):
+    """A collection whose documents have gained fields, read with the registered schema and what was added."""
+    path = scratch_path(spark, "documents")
+    rows = tables.documents(spark, sf).withColumn("firmware", F.when(F.col("arrival_seq") % 20 == 12, "v2"))
+    rows.drop("extra").write.json(path)
+    return pings.read_documents(spark, path, "json", schemas.DOCUMENT, additive=True).select("bus_id", "arrival_seq", "firmware")
+
+
 # -- relational reports ----------------------------------------------------------
 
 
 def buses_by_route(spark, sf):
-    return network.buses_by_route(tables.fleet_network(spark, sf))
+    return ranked(network.buses_by_route(tables.fleet_network(spark, sf)))
 
 
 def buses_of_route(spark, sf):
-    return network.buses_of_route(tables.fleet_network(spark, sf), FLEET_ROUTE)
+    return ranked(network.buses_of_route(tables.fleet_network(spark, sf), FLEET_ROUTE))
 
 
 def stations_by_route(spark, sf):
@@ -361,10 +414,16 @@ def usable_routes(spark, sf):
 
 
 def route_line(spark, sf):
-    """Route lines in pieces of four points, listed point by point."""
-    lines = routes.route_lines(tables.located_stops(spark, sf), order=STOP_ORDER, piece_points=4)
-    listed = lines.select("ruta_id", "pieza", "puntos", F.posexplode("linea").alias("n", "punto"))
-    return listed.select("ruta_id", "pieza", "puntos", "n", "punto.lat", "punto.lon")
+    """Route lines in pieces of four edges, listed edge by edge."""
+    lines = routes.route_lines(tables.located_stops(spark, sf), order=STOP_ORDER, piece_edges=4)
+    edges = F.arrays_zip(
+        F.slice("linea", F.lit(1), F.size("linea") - 1).alias("a"), F.slice("linea", F.lit(2), F.size("linea") - 1).alias("b")
+    )
+    listed = lines.select("ruta_id", "pieza", F.posexplode(edges).alias("n", "e"))
+    return listed.select(
+        "ruta_id", "pieza", "n",
+        *[F.col(f"e.{end}.{c}").alias(f"{c}_{end}") for end in ("a", "b") for c in ("lat", "lon")],
+    )
 
 
 # -- movement rules ----------------------------------------------------------------
@@ -477,7 +536,8 @@ ALL: dict[str, Query] = {
         station_list, combined_latest_and_stations, bus_history, bus_history_unlimited, last_n_per_bus,
         near_point, near_station_eta, near_join_grid, retention_24h, history_expired,
         accepted_positions, rejected_positions,
-        stream_ingest_accepted, stream_ingest_rejected, stream_ingest_latest, stream_latest,
+        stream_ingest_accepted, stream_ingest_rejected, stream_ingest_latest, stream_latest, stream_bodies,
+        stored_by_route, stored_near_station, stored_history, stored_unexpired, documents_additive,
         buses_by_route, buses_of_route, stations_by_route, official_stops, official_stops_of_route,
         route_origin_destination, bus_count_per_route,
         user_total, users_by_status, users_by_person_type, users_by_document_type, user_listing,

@@ -48,6 +48,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
                         'steps_remaining', greatest(CASE k % 3 WHEN 0 THEN 10 WHEN 1 THEN 20 ELSE 1 END - k % 21, 0)
                        ) AS metrics_runtime""",
         "false AS ts_imputed",
+        "cast(NULL AS map<string, string>) AS extra",
     )
 
 
@@ -88,9 +89,11 @@ def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
           WHEN 2 THEN ',"tramo":null'
           WHEN 9 THEN ''
           ELSE concat(',"tramo":{{"inicio":"', tramo.inicio, '","fin":"', tramo.fin,
-                      '","fraccion":', tramo.fraccion, '}}') END,
+                      '","fraccion":', tramo.fraccion,
+                      CASE WHEN defect = 16 THEN ',"meta":{{"zona":{{"x":1}}}}' ELSE '' END, '}}') END,
         CASE WHEN defect = 9 THEN '' ELSE concat(
           ',"metrics_runtime":{{"steps_per_segment":', metrics_runtime.steps_per_segment,
+          CASE WHEN defect = 15 THEN '.0' ELSE '' END,
           ',"current_step":', metrics_runtime.current_step,
           ',"steps_remaining":', metrics_runtime.steps_remaining, '}}') END,
         CASE WHEN defect = 12 THEN ',"firmware":"v2"' ELSE '' END,
@@ -98,7 +101,11 @@ def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("ping", F.expr(ping)).selectExpr(
         "arrival_seq AS seq",
         "ingested_at AS arrived_at",
-        "CASE WHEN defect = 5 THEN to_json(named_struct('body', ping)) ELSE ping END AS value",
+        """CASE defect
+             WHEN 5 THEN to_json(named_struct('body', ping))
+             WHEN 13 THEN concat(ping, ping)
+             WHEN 14 THEN concat(ping, ' ]')
+             ELSE ping END AS value""",
     )
 
 
@@ -115,7 +122,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fleet_network(spark: SparkSession, sf_dir: str) -> Network:
     """Routes are nations, vehicles and people are customers, stations are suppliers.
 
-    Only customers of every third nation count as vehicles, which leaves routes without any; one
+    Vehicles run on the routes of every third nation, which leaves routes without any; one
     person type and one document type belong to nobody.
     """
     nation, customer = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
@@ -140,9 +147,9 @@ def fleet_network(spark: SparkSession, sf_dir: str) -> Network:
             "timestampadd(DAY, n_nationkey, timestamp'2020-01-01 00:00:00') AS fecha_creacion",
         ),
         estacion_por_ruta=bridge_stops(spark, sf_dir),
-        bus=customer.filter("c_nationkey % 3 = 0").selectExpr(
+        bus=customer.selectExpr(
             "cast(c_custkey AS int) AS id",
-            "c_nationkey AS ruta_id",
+            "c_nationkey - c_nationkey % 3 AS ruta_id",
             "c_mktsegment AS tipo_bus_id",
             "concat('PL', cast(c_custkey AS string)) AS placa",
             "concat('M', cast(c_custkey % 5 AS string)) AS modelo",

@@ -132,5 +132,37 @@ def test_crowded_date_is_split_over_files(spark, tmp_path):
 
 
 def test_warehouse_refresh_truncates():
-    options = warehouse.refresh_options("jdbc:x://host/db", "fact", user="u")
+    options = warehouse.refresh_options("jdbc:x://host/db", "fact", 200, user="u")
     assert options["truncate"] == "true" and options["dbtable"] == "fact" and options["user"] == "u"
+    assert options["numPartitions"] == "200"
+
+
+def test_staged_refresh_writes_files_and_names_the_load(spark, tmp_path):
+    folder = str(tmp_path / "it's")
+    df = spark.createDataFrame([(1, "x")], 'a int, "b" string'.replace('"', "`"))
+    statements = warehouse.staged_refresh(df, "public.fact", folder, "IAM_ROLE default")
+    assert statements[0] == "TRUNCATE TABLE public.fact"
+    doubled = folder.replace("'", "''")
+    assert statements[1] == f"COPY public.fact (\"a\", \"b\") FROM '{doubled}' IAM_ROLE default FORMAT AS PARQUET"
+    assert spark.read.parquet(folder).collect() == df.collect()
+
+
+def test_accumulating_many_dates_collects_nothing(spark, tmp_path, monkeypatch):
+    days = spark.range(60).selectExpr(
+        "concat('B', id % 3) AS bus_id", "timestampadd(DAY, cast(id AS int), timestamp'2024-01-01') AS ts_evento",
+        "timestamp'2024-06-01' AS ts_ingesta",
+    )
+    full = days.select(
+        *[F.col(f.name) if f.name in days.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.struct(schemas.FACT)]
+    ).withColumn("fecha", F.to_date("ts_evento"))
+    path = str(tmp_path / "fact")
+    fact_table.write_fact(full.filter("fecha < date'2024-02-10'"), path, "accumulate")
+
+    def refuse(self, *args, **kwargs):
+        raise AssertionError("rows came to the driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(full), "collect", refuse)
+        fact_table.write_fact(full.filter("fecha > date'2024-01-20'").withColumn("hora", F.lit(7)), path, "accumulate")
+    stored = fact_table.read_fact(spark, path)
+    assert stored.count() == 60 and stored.filter("hora = 7").count() == stored.filter("fecha > date'2024-01-20'").count() == 40

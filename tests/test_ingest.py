@@ -4,10 +4,13 @@ import json
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pingloom.operators import ingest, quality
 from pingloom import schemas
+from pingloom.sources import pings
 
 ARRIVED = datetime(2025, 11, 10, 19, 0, 0)
 
@@ -166,6 +169,80 @@ def test_drift_reports_new_missing_and_retyped(spark):
     assert found[("tramo.fraccion", "NUMBER")] == "igual"
 
 
+@pytest.mark.parametrize("tail", ["{}", "x", "]", "}", ",", " 1", '{"a":1}', "]}", '],"x":[1', ',{"_end":1}]', "null", '"'])
+def test_text_behind_a_document_is_malformed(spark, tail):
+    text = json.dumps(ping())
+    rows = [(text + tail, ARRIVED), (json.dumps({"body": text + tail}), ARRIVED), (json.dumps({"body": text}) + tail, ARRIVED)]
+    raw = spark.createDataFrame(rows, "value string, arrived_at timestamp")
+    found = ingest.rejected(ingest.decode(raw)).collect()
+    assert [r["reject_reason"] for r in found] == ["malformed"] * 3 and found[0]["raw"] == text + tail
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet='{}[]",:01 \n\tae\\', max_size=12), min_size=20, max_size=40))
+def test_whole_documents_are_those_python_reads(spark, texts):
+    documents = [*texts, *[json.dumps(ping()) + t for t in texts], *[t + '{"a":[1,{}]}' for t in texts]]
+
+    def readable(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame(list(enumerate(documents)), "i int, v string")
+    found = {r["i"]: r["ok"] for r in df.select("i", ingest.is_whole(F.col("v")).alias("ok")).collect()}
+    for i, text in enumerate(documents):
+        # values that are no objects are refused later, so they may pass or not
+        if found[i] != readable(text):
+            try:
+                assert not isinstance(json.loads(text), dict)
+            except ValueError:
+                raise AssertionError(text) from None
+
+
+falsy_or_not = st.one_of(
+    st.none(), st.booleans(), st.integers(-2, 2), st.sampled_from([0.0, -0.0, 4.6, -74.05, 1e-400]),
+    st.sampled_from(["", "0", "-0", "0.0", "4.6", "false", "f", ".5", "-.5", "+1", "x", "[", "{}"]), st.just([]), st.just({}), st.just([0]),
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(falsy_or_not, falsy_or_not, falsy_or_not), min_size=30, max_size=60))
+def test_the_quick_path_agrees_with_json_types(spark, triples):
+    """A value is missing exactly if Python counts it as false, whichever path decides."""
+    docs = [ping(bus_id=b, location=at(lon, lat)) for b, lon, lat in triples]
+    raw = spark.createDataFrame([(json.dumps(d), ARRIVED, i) for i, d in enumerate(docs)], "value string, arrived_at timestamp, seq bigint")
+    found = {r["arrival_seq"]: r["reject_reason"] for r in ingest.decode(raw, seq="seq").collect()}
+    for i, triple in enumerate(triples):
+        assert (found[i] == "missing_required") == (not all(triple)), triple
+
+
+def test_counters_and_other_keys_survive(spark):
+    document = ping(tramo={"inicio": "a", "meta": {"zona": [1]}}, metrics_runtime={"steps_per_segment": 10.0, "current_step": "7", "lote": "x"})
+    raw = spark.createDataFrame([(json.dumps(document), ARRIVED)], "value string, arrived_at timestamp")
+    row = ingest.accepted(ingest.decode(raw)).first()
+    assert (row["metrics_runtime"]["steps_per_segment"], row["metrics_runtime"]["current_step"]) == (10, 7)
+    assert row["extra"] == {"tramo.meta": '{"zona":[1]}', "metrics_runtime.lote": "x"}
+
+
+def test_census_goes_to_any_depth(spark):
+    deep = '{"a":' * 9 + '[1,"x",null,{"b":true}]' + "}" * 9
+    raw = spark.createDataFrame([(deep,), (deep,), ("oops",), (deep + deep,), ("{}",)], "value string")
+    found = {(r["campo"], r["tipo_observado"]): r["documentos"] for r in quality.field_census(raw).collect()}
+    bottom = ".".join(["a"] * 9)
+    assert found[("$", "INVALID")] == 2
+    assert found[("a", "OBJECT")] == 2 and found[(bottom, "ARRAY")] == 2
+    assert {k[1]: v for k, v in found.items() if k[0] == f"{bottom}[]"} == {"NUMBER": 2, "STRING": 2, "NULL": 2, "OBJECT": 2}
+    assert found[(f"{bottom}[].b", "BOOLEAN")] == 2
+
+
+def test_added_fields_are_read(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{"bus_id":"a","tramo":{"inicio":"x","via":2}}\n{"bus_id":"b","firmware":"v2"}\n')
+    read = pings.read_documents(spark, str(tmp_path), "json", "bus_id string, ruta string, tramo struct<inicio: string>", additive=True)
+    assert read.columns == ["bus_id", "ruta", "tramo", "firmware"]
+    assert [(r["bus_id"], r["firmware"], r["tramo"] and r["tramo"]["via"]) for r in read.orderBy("bus_id").collect()] == [("a", None, 2), ("b", "v2", None)]
+
+
 def test_additive_schema():
     old = schemas.struct("a int, s struct<x: int>")
     new = schemas.struct("a string, s struct<y: int>, b double")

@@ -26,6 +26,32 @@ def test_late_event_replaces_newer_position(spark):
     assert latest(df, order="event").first()["arrival_seq"] == 0
 
 
+@pytest.mark.parametrize("order", ["arrival", "event"])
+def test_latest_does_not_sort_the_history(spark, order):
+    df = spark.range(1000).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id as string)) AS bus_id", "timestamp_seconds(id) AS timestamp", "id AS arrival_seq",
+        "timestamp_seconds(id) AS ingested_at", "cast(id as string) AS payload",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = plan(latest(df, order=order)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    first_exchange = max(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert not any("Sort" in line for line in lines[first_exchange:])
+
+
+def test_latest_of_a_hot_vehicle_with_odd_keys(spark):
+    rows = [("hot", T0 + timedelta(seconds=i), T0 + timedelta(seconds=i % 50), i, 4.6, -74.0) for i in range(3000)]
+    rows += [(None, None, None, None, 1.0, 1.0), (None, None, T0, None, 2.0, 1.0), ("a", None, None, -5, 1.0, 1.0), ("a", None, None, -7, 2.0, 1.0)]
+    rows += [("twin", T0, T0, 9, 3.0, 1.0)] * 2
+    df = spark.createDataFrame(rows, DDL)
+    found = {r["bus_id"]: (r["arrival_seq"], r["lat"]) for r in latest(df).collect()}
+    assert found == {"hot": (2999, 4.6), None: (None, 2.0), "a": (-5, 1.0), "twin": (9, 3.0)}
+    assert {r["bus_id"]: r["arrival_seq"] for r in latest(df, order="event").collect()}["hot"] == 2999
+    assert latest(df).count() == 4
+
+
 def test_unknown_order(spark):
     with pytest.raises(ValueError):
         latest(spark.createDataFrame([], DDL), order="random")
@@ -68,11 +94,12 @@ def test_last_zero_is_everything(spark):
 
 
 def test_ranks_are_limited_before_the_shuffle(spark):
-    df = spark.range(1000).selectExpr(
+    df = spark.range(100_000).selectExpr(
         "cast(id % 3 as string) AS bus_id", "timestamp_seconds(id) AS timestamp", "id AS arrival_seq",
         "timestamp_seconds(id) AS ingested_at",
     )
     assert plan(last_n(df, 20)).count("WindowGroupLimit") >= 3
+    assert plan(last_n(df, 5000)).count("WindowGroupLimit") >= 3
     assert "WindowGroupLimit" in plan(latest_by_rank(df))
 
 

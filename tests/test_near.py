@@ -33,12 +33,18 @@ PLACES = [("city", 2000.0), ("city", 200.0), ("crowded cell", 300.0), ("date lin
           ("globe", 3000000.0), ("globe", 12000000.0)]
 
 
-@pytest.mark.parametrize("shuffled", [False, True])
+@pytest.fixture(params=["broadcast", "shuffle"])
+def join_kind(spark, request):
+    """Stations small enough to be broadcast, and too large for it."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    if request.param == "shuffle":
+        spark.conf.set(key, "-1")
+    yield request.param
+    spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("place, radius", PLACES)
-def test_join_equals_brute_force(spark, monkeypatch, place, radius, shuffled):
-    if shuffled:
-        monkeypatch.setattr(near, "MAX_BROADCAST_CELLS", 0)
-        monkeypatch.setattr(near, "SHUFFLE_SLICES", 4)
+def test_join_equals_brute_force(spark, place, radius, join_kind):
     points, stops = scattered(place, 300, 1), scattered(place, 60, 2)
     positions = spark.createDataFrame([(i, *p) for i, p in enumerate(points)] + [(-1, None, None)], "pid int, lat double, lon double")
     stations = spark.createDataFrame([(i, *s) for i, s in enumerate(stops)] + [(-1, None, 1.0)], "id int, lat double, lon double")

@@ -102,3 +102,12 @@ def test_hot_route_is_split_when_both_sides_shuffle(spark, net):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_tables_of_a_database_have_options_of_their_own():
+    tables = {"persona": network_tables.parallel("id", 1, 1000, 8)}
+    own = network_tables.jdbc_options("persona", "jdbc:x", "s", tables, user="u")
+    assert own["dbtable"] == "s.persona" and own["partitionColumn"] == "id" and own["numPartitions"] == "8" and own["user"] == "u"
+    assert "partitionColumn" not in network_tables.jdbc_options("estacion_por_ruta", "jdbc:x", "s", tables)
+    with pytest.raises(ValueError):
+        network_tables.jdbc_options("persona", "jdbc:x", "s", {"persons": {}})

@@ -70,9 +70,80 @@ def test_a_batch_run_twice_is_stored_once(spark, tmp_path):
 def test_nothing_new_changes_nothing(spark, tmp_path):
     folder, store = tmp_path / "in", landing.Store(str(tmp_path / "store"))
     drop(folder, 0, FILES[0])
+    batches = []
     for _ in range(2):
-        landing.start_ingest(landing.raw_stream(spark, str(folder)), store).awaitTermination()
+        query = landing.start_ingest(landing.raw_stream(spark, str(folder)), store)
+        query.awaitTermination()
+        batches.append(landing.last_batch(query))
+    assert batches == [0, None]
     assert store.history(spark).count() == 2
+    assert sorted(r["bus_id"] for r in store.current(spark).collect()) == ["a", "b"]
+
+
+def test_a_new_store_is_empty(spark, tmp_path):
+    store = landing.Store(str(tmp_path / "store"))
+    assert (store.current(spark).count(), store.history(spark).count(), store.rejects(spark).count()) == (0, 0, 0)
+
+
+def test_lookups_are_served_from_the_store(spark, tmp_path):
+    folder, store = tmp_path / "in", landing.Store(str(tmp_path / "store"))
+    for number, lines in enumerate(FILES):
+        drop(folder, number, lines)
+    landing.start_ingest(landing.raw_stream(spark, str(folder), 1), store).awaitTermination()
+    stations = spark.createDataFrame([(1, "s", 4.6, -74.0, "P")], "id int, nombre string, latitud double, longitud double, tipo string")
+    served = landing.Store(store.root).positions(spark, stations)
+    assert [r["bus_id"] for r in served.lookup("near_station", id="1").collect()] == ["a", "b"]
+    assert [r["arrival_seq"] for r in served.lookup("history", bus_id="a").collect()] == [3, 3, 1, 4]
+
+
+def test_compaction_drops_the_expired_and_what_it_replaces(spark, tmp_path):
+    folder, store = tmp_path / "in", landing.Store(str(tmp_path / "store"))
+    for number, lines in enumerate(FILES):
+        drop(folder, number, lines)
+    landing.start_ingest(landing.raw_stream(spark, str(folder), 1), store).awaitTermination()
+    before = sorted(r["bus_id"] for r in store.current(spark).collect())
+    for _ in range(2):
+        store.compact(spark, T0 + timedelta(hours=24, minutes=5), keep_snapshots=1)
+    # events of minutes 5, 1 and 0 are 24 hours old or more; rejects stay
+    assert sorted(r["arrival_seq"] for r in store.history(spark).collect()) == [1, 3, 3]
+    assert store.rejects(spark).count() == 1
+    assert sorted(r["bus_id"] for r in store.current(spark).collect()) == before
+    assert [p.name for p in (tmp_path / "store" / "latest").iterdir()] == ["batch_id=2"]
+    assert list((tmp_path / "store" / "pings").iterdir()) == []
+    # an ingest goes on where it was
+    drop(folder, 3, [line(7, "d", 1500, 1500)])
+    landing.start_ingest(landing.raw_stream(spark, str(folder), 1), store).awaitTermination()
+    assert sorted(r["bus_id"] for r in store.current(spark).collect()) == ["a", "b", "d"]
+    assert sorted(r["arrival_seq"] for r in store.history(spark).collect()) == [1, 3, 3, 7]
+
+
+def test_files_of_a_batch_are_sorted_by_vehicle(spark, tmp_path):
+    store = landing.Store(str(tmp_path / "store"))
+    rows = [(x["value"], datetime.fromisoformat(x["arrived_at"]), x["seq"]) for x in (line(i, f"b{i * 7 % 10}", 1, 1) for i in range(30))]
+    store.write_batch(ingest.decode(spark.createDataFrame(rows, landing.RAW).coalesce(1), seq="seq"), 0)
+    stored = [r["bus_id"] for r in spark.read.parquet(store.batch_folder(0)).collect()]
+    assert stored == sorted(stored)
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_bare_bodies_stream(spark, tmp_path, whole):
+    folder, store = tmp_path / "in", landing.Store(str(tmp_path / "store"))
+    folder.mkdir()
+    docs = [json.loads(x["value"]) for f in FILES for x in f]
+    if whole:
+        for i, doc in enumerate(docs):
+            (folder / f"{i}.json").write_text(json.dumps(doc, indent=2))
+    else:
+        (folder / "all.json").write_text("\n".join(json.dumps(d) for d in docs) + "\n\n")
+    landing.start_ingest(landing.body_stream(spark, str(folder), whole=whole), store).awaitTermination()
+    assert sorted(r["bus_id"] for r in store.history(spark).collect()) == ["a", "a", "a", "a", "b", "b"]
+    assert store.rejects(spark).count() == 1
+
+
+def test_the_order_in_a_landed_file_decides(spark, tmp_path):
+    (tmp_path / "x.json").write_text("\n".join(line(i, "a", 5, 0, lat=4.5 + i / 100)["value"] for i in range(10)))
+    found = latest(ingest.accepted(ingest.decode(pings.read_landing(spark, str(tmp_path)), seq="seq")))
+    assert [r["lat"] for r in found.collect()] == [4.59]
 
 
 def test_history_is_pruned_by_date_and_outcome(spark, tmp_path):
@@ -98,7 +169,7 @@ def test_keyed_state_equals_batch(spark, tmp_path):
 def test_fact_load_is_incremental(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("h", "fact", "cp"))
     position = spark.createDataFrame(
-        [("a", None, None, None, None, T0, T0, 1, -74.0, 4.6, 5.0, None, None, False)], schemas.POSITION
+        [("a", None, None, None, None, T0, T0, 1, -74.0, 4.6, 5.0, None, None, False, None)], schemas.POSITION
     )
     for expected in (1, 2):
         position.write.mode("append").parquet(source)

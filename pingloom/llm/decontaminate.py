@@ -8,8 +8,8 @@ are candidates, and a candidate stands if the longest common subsequence of its
 TF-IDF, covers enough of the item, and enough of the item's answer is there.
 
 Items are handled in blocks of bounded size, each against all documents; what a task holds is a block's space and one
-piece of text. A window whose known terms cannot reach the limit, by the Cauchy-Schwarz inequality, is left out before it
-is folded; nothing else is.
+piece of text. A window is left out before it is folded if its known terms cannot reach the limit, either by the
+Cauchy-Schwarz inequality or because no passage gives them enough weight; nothing else is.
 
 Terms are runs of letters, digits and non-ASCII characters, lower-cased (ASCII and Latin-1 letters). The answer is the
 column ``answer`` of the benchmark if there is one, else the ``ANSWER_WORDS`` rarest terms of the item.
@@ -37,7 +37,7 @@ WINDOW, STEP = 32, 8
 LATENT = 256
 OVERSAMPLE = 16
 POWER_ROUNDS = 1
-COSINE = 0.35
+COSINE = 0.4
 LCS_SHARE = 0.6
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.6
 # An item block is held by every task.
@@ -95,11 +95,15 @@ class Item:
 
 @dataclass(frozen=True)
 class Space:
-    """Latent space of a block of items: sorted term hashes, their rows of the basis, and the folded passages."""
+    """Latent space of a block of items: sorted term hashes, their rows of the basis, and the folded passages.
+
+    ``peak`` is the largest weight that any passage, as the space has it, gives to a term.
+    """
 
     rarity: np.ndarray
     known: np.ndarray
     basis: np.ndarray
+    peak: np.ndarray
     passages: np.ndarray
     passage_item: np.ndarray
     items: list[Item]
@@ -190,8 +194,10 @@ def space(spark: SparkSession, items: list[Item], idf: np.ndarray) -> Space:
             rows.append(term)
             weights.append(weight / np.linalg.norm(weight))
             whose.append(number)
-    basis = randomised_svd(spark, rows, weights, len(known), LATENT)
-    return Space(idf, known, basis.astype(np.float32), _rows(rows, weights, basis).astype(np.float32), np.array(whose), items)
+    basis = randomised_svd(spark, rows, weights, len(known), LATENT).astype(np.float32)
+    passages = _rows(rows, weights, basis).astype(np.float32)
+    peak = np.concatenate([(basis[lo : lo + 1024] @ passages.T).max(axis=1) for lo in range(0, len(known), 1024)])
+    return Space(idf, known, basis, peak.clip(0), passages, np.array(whose), items)
 
 
 def _windows(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,10 +229,13 @@ def find(hashes: np.ndarray, owner: np.ndarray, n: int, where: Space) -> list[tu
     at = np.minimum(np.searchsorted(where.known, hashes), len(where.known) - 1)
     row = np.where(where.known[at] == hashes, at, -1)
     mass = np.concatenate(([0.0], np.cumsum(weight.astype(np.float64) ** 2)))
-    shared = np.concatenate(([0.0], np.cumsum(np.where(row >= 0, weight, 0).astype(np.float64) ** 2)))
+    held = np.where(row >= 0, weight, 0).astype(np.float64)
+    shared = np.concatenate(([0.0], np.cumsum(held**2)))
+    most = np.concatenate(([0.0], np.cumsum(held * where.peak[row])))
     first, last = _windows(owner, n)
     whole = mass[last] - mass[first]
-    able = np.flatnonzero(shared[last] - shared[first] >= COSINE**2 * whole)
+    able = (shared[last] - shared[first] >= COSINE**2 * whole) & (most[last] - most[first] >= COSINE * np.sqrt(whole) - 1e-3)
+    able = np.flatnonzero(able)
     basis = np.vstack([where.basis, np.zeros((1, where.basis.shape[1]), np.float32)])
     best: dict[tuple[int, int, int], tuple[float, int]] = {}
     for lo in range(0, len(able), 256):
@@ -248,9 +257,10 @@ def find(hashes: np.ndarray, owner: np.ndarray, n: int, where: Space) -> list[tu
         item = where.items[number]
         reach = len(item.terms)
         words = hashes[max(begin[t], window - reach) : min(begin[t + 1], window + WINDOW + reach)]
+        if len(item.answer & set(words.tolist())) < ANSWER_SHARE * len(item.answer):
+            continue
         share = subsequence_share(item, words)
-        answered = len(item.answer & set(words.tolist())) >= ANSWER_SHARE * len(item.answer)
-        if share >= LCS_SHARE and answered and share > found.get((t, number), (0.0, 0.0, 0))[1]:
+        if share >= LCS_SHARE and share > found.get((t, number), (0.0, 0.0, 0))[1]:
             found[t, number] = (cosine, share, int(window - begin[t]))
     return [(t, number, *rest) for (t, number), rest in sorted(found.items())]
 

@@ -47,7 +47,7 @@ def bodies(files: DataFrame, whole: bool = False) -> DataFrame:
         file.alias("file"),
     )
     return listed.filter(F.trim("body") != "").select(
-        F.col("body").alias("value"), "arrived_at", (F.col("line") * F.lit(1 << 20) + F.col("file")).cast("bigint").alias("seq")
+        F.col("body").alias("value"), "arrived_at", (F.col("line").cast("bigint") * F.lit(1 << 20) + F.col("file")).alias("seq")
     )
 
 

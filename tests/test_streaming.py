@@ -141,9 +141,9 @@ def test_bare_bodies_stream(spark, tmp_path, whole):
 
 
 def test_the_order_in_a_landed_file_decides(spark, tmp_path):
-    (tmp_path / "x.json").write_text("\n".join(line(i, "a", 5, 0, lat=4.5 + i / 100)["value"] for i in range(10)))
+    (tmp_path / "x.json").write_text("\n".join(line(i, "a", 5, 0, lat=4.5 + i / 10_000)["value"] for i in range(3000)))
     found = latest(ingest.accepted(ingest.decode(pings.read_landing(spark, str(tmp_path)), seq="seq")))
-    assert [r["lat"] for r in found.collect()] == [4.59]
+    assert [r["lat"] for r in found.collect()] == [4.7999]
 
 
 def test_history_is_pruned_by_date_and_outcome(spark, tmp_path):

@@ -30,7 +30,9 @@ from pingloom.llm.run_index import build, window_classes
 
 WIDTH, ANCHOR = 50, 16
 REACH = WIDTH - ANCHOR + 1
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
+# A bucket sorts all suffixes of its segments, which takes about a hundred times their size.
+BUCKETS_PER_BLOCK = 4
 _CHUNK_BITS = 20
 _LOW = np.uint64((1 << (_CHUNK_BITS + 1)) - 1)
 _NONE, _LEAST = np.iinfo(np.int64).max, np.iinfo(np.int64).min
@@ -70,7 +72,8 @@ class Segments:
             first = np.flatnonzero(new[:n])
             length = np.diff(np.append(first, n))
             keep = usable[first]
-            anchors.append(hashes[spot[first[keep]]])
+            # Hashes of anchors are small, since each is the smallest of many; mixed again, they fall evenly into buckets.
+            anchors.append(T.mix(hashes[spot[first[keep]]] + np.uint64(1)))
             firsts.append(first[keep] + lo)
             many.append(length[keep])
         self.anchor, self.first, self.many = np.concatenate(anchors), np.concatenate(firsts), np.concatenate(many)
@@ -262,11 +265,12 @@ def _mark(key: tuple, documents: pa.Table, told: pa.Table) -> pa.Table:
             remove(first[gone], last[gone])
         gone = ~settled[which] & (least[which] < target[found.owner])
         remove(found.first[gone], stop[gone])
-    out = np.cumsum(covered[:-1]) > 0
+    out = np.cumsum(covered[:-1], dtype=np.int32) > 0
+    del covered
     first, last, owner = T.runs(out, at)
     spans = pa.StructArray.from_arrays([pa.array(first - at[owner]), pa.array(last - at[owner])], ["start", "end"])
     cuts = np.searchsorted(owner, np.arange(documents.num_rows + 1)).astype(np.int32)
-    left = np.concatenate(([0], np.cumsum(~out)))[at].astype(np.int64)
+    left = (at - np.concatenate(([0], np.cumsum(last - first)))[np.searchsorted(first, at)]).astype(np.int64)
     kept = pa.Array.from_buffers(pa.large_binary(), documents.num_rows, [None, pa.py_buffer(left), pa.py_buffer(raw[~out].copy())])
     return pa.table({
         "doc_id": documents["doc_id"], "n_bytes": np.diff(at), "removed": pa.ListArray.from_arrays(cuts, spans),
@@ -287,6 +291,6 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     blocks = rows.select(block_of(n, "doc_id", "text").alias("block"), "doc_id", "text")
     by_block = blocks.groupBy("block")
     shared = shared_keys(by_block.applyInArrow(_send_anchors(n), KEYS_SQL))
-    segments = by_block.cogroup(shared.groupBy("block")).applyInArrow(_send_segments(n), _sql(SEGMENTS))
+    segments = by_block.cogroup(shared.groupBy("block")).applyInArrow(_send_segments(n * BUCKETS_PER_BLOCK), _sql(SEGMENTS))
     told = segments.groupBy("bucket").applyInArrow(_match, _sql(TOLD))
     return by_block.cogroup(told.groupBy("block")).applyInArrow(_mark, _sql(KEPT))

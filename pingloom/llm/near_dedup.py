@@ -1,15 +1,18 @@
 """Near-duplicates by MinHash, with odd sketches to verify what the bands propose.
 
 A document's set is that of its hashed word shingles; equal sets form a class and are handled once, by the smallest id.
-``SAMPLES`` minima per set are cut into ``BANDS`` bands: sets that agree in a band share a bucket. With 32 bands of 4
-minima, a pair of similarity 0.8 misses every bucket with probability 5e-8. The minima are also folded into an odd
-sketch, a bitmap of parities, whose XOR estimates the similarity of a pair from 64 bytes a side; pairs estimated below
-``SURE`` (five standard deviations under the limit) are dropped, all others are confirmed on the full sets.
-
-Buckets are never expanded into all pairs. First every member of a bucket is compared with one leader, twice with
-different leaders, which gathers groups of copies in components. Then those members outside of a bucket's largest
-component are compared with the members of other components, so each pair that may still join two components is
-looked at, and pairs inside a component never are.
+Minima of the set under many hash functions are its samples. The first of them are cut into ``BANDS`` bands: sets that
+agree in a band share a bucket. With 32 bands of 4, a pair of similarity 0.8 misses every bucket with probability 5e-8.
+All ``SAMPLES`` are folded into an odd sketch, a bitmap of parities, whose XOR estimates the similarity of a pair from
+192 bytes a side; pairs estimated below ``SURE``, more than four standard deviations under the limit, are dropped, all
+others are confirmed on the full sets.
+
+Buckets are never expanded into all pairs. Of the documents in any bucket it is counted how many of their shingles
+another such document has at all, which bounds what they can share with anyone. First every member of a bucket is compared
+with one leader, the member with the largest share of such shingles, and then with another from outside of the largest
+component, which gathers groups of copies. Then the members outside of a bucket's largest component are compared with the
+members of other components, as far as sizes, bound and sketches allow a link, each pair in the first bucket it shares. So
+each pair that may still join two components is looked at, and pairs inside a component never are.
 
 Defined cases: a null or empty text, or one without words, has no shingles and no links; a text with fewer words than a
 shingle is one shingle; a null ``doc_id`` has no links, a null component and is kept; rows of equal id count as linked to
@@ -27,13 +30,14 @@ from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
 from pingloom.llm.components import components
-from pingloom.llm.frames import prepare
+from pingloom.llm.exchange import KEYS_SQL, is_among, key_rows, read_keys, shared_keys
+from pingloom.llm.frames import block_count, block_of, prepare
 from pingloom.session import spool
 
 BANDS, ROWS = 32, 4
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-SURE = 0.6
+SAMPLES = 384
+SKETCH_BITS = 1536
+SURE = 0.69
 _RANDOM = np.random.default_rng(20240811)
 _FACTORS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
@@ -59,7 +63,7 @@ def minima(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
 def band_keys(samples: np.ndarray) -> np.ndarray:
     keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(samples), 1))
     for k in range(ROWS):
-        keys = T.mix(keys * np.uint64(T.BASE) + samples[:, k::ROWS])
+        keys = T.mix(keys * np.uint64(T.BASE) + samples[:, k : BANDS * ROWS : ROWS])
     return keys
 
 
@@ -103,25 +107,44 @@ def describe(documents: DataFrame, width: int) -> DataFrame:
 
 
 def _may_link(percent: int) -> Column:
-    """Whether the sizes and the sketches of a pair allow a similarity of the limit."""
+    """Whether the sizes, the shingles found elsewhere and the sketches of a pair allow a similarity of the limit."""
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    bound = (100 + percent) * F.least("common_a", "common_b") >= percent * (F.col("n_a") + F.col("n_b"))
     differing = F.aggregate(
         F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
     )
     # With n bits of which c differ, the sample sets differ in about -n/2 ln(1 - 2c/n) members.
     free = 1 - 2 * differing / F.lit(float(SKETCH_BITS))
     members = -SKETCH_BITS / 2 * F.log(F.greatest(free, F.lit(1e-9)))
-    return sizes & (1 - members / (2 * SAMPLES) >= SURE)
+    return sizes & bound & (1 - members / (2 * SAMPLES) >= SURE)
+
+
+def _sided(nodes: DataFrame, side: str, *more: str) -> DataFrame:
+    return nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "common", "sketch", *more)])
+
 
+def _common(texts: DataFrame, width: int) -> DataFrame:
+    """``rep`` and ``common``: how many shingles of each document some other document of the table has."""
+    n = block_count(texts)
+    blocks = texts.select(block_of(n, "doc_id").alias("block"), "doc_id", "text").groupBy("block")
 
-def _renamed(nodes: DataFrame, side: str) -> DataFrame:
-    return nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "sketch")])
+    def send(key: tuple, table: pa.Table) -> pa.Table:
+        hashes, _ = sets(table["text"], width)
+        kinds, times = np.unique(hashes, return_counts=True)
+        return key_rows(key[0].as_py(), kinds, times > 1, n)
 
+    def count(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+        if table.num_rows == 0:
+            return pa.table({"rep": pa.array([], pa.int64()), "common": pa.array([], pa.int64())})
+        hashes, owner = sets(table["text"], width)
+        return pa.table({"rep": table["doc_id"], "common": T.counts(owner, table.num_rows, is_among(hashes, read_keys(told)))})
 
-def _confirmed(documents: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    told = shared_keys(blocks.applyInArrow(send, KEYS_SQL))
+    return blocks.cogroup(told.groupBy("block")).applyInArrow(count, "rep long, common long")
+
+
+def _confirmed(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (``u``, ``v``) of documents whose full sets are similar enough."""
-    ids = spool(pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct(), "wanted")
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
         .join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
@@ -162,48 +185,51 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 80) -> DataFrame
     keys = ["n_shingles", "d1", "d2"]
     classes = spool(linkable.groupBy(keys).agg(F.min("doc_id").alias("rep")), "classes")
     first = linkable.join(classes.select("rep", *keys), keys).filter("doc_id = rep")
-    nodes = first.select("rep", F.col("n_shingles").alias("n"), "sketch").dropDuplicates(["rep", "n"])
-
     members = first.select("rep", F.explode("bands").alias("key")).distinct()
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = spool(members.join(shared.select("key"), "key", "left_semi"), "buckets")
+    crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    buckets = spool(members.join(crowded.select("key"), "key", "left_semi"), "buckets")
+    wanted = spool(buckets.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = spool(rows.join(wanted, "doc_id", "left_semi"), "texts")
+    sizes = first.select("rep", F.col("n_shingles").alias("n"), "sketch", "bands").dropDuplicates(["rep", "n"])
+    nodes = spool(sizes.join(_common(texts, width), "rep"), "nodes")
+    # The larger the share of a member's shingles that others have, the nearer it is to the middle of a group.
+    buckets = spool(
+        buckets.join(nodes.select("rep", (F.col("common") * 1_000_000 / F.col("n")).cast("long").alias("middle")), "rep"), "buckets"
+    )
 
-    def told_apart(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    def worth_testing(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
         new = pairs.select(F.greatest("rep_a", "rep_b").alias("u"), F.least("rep_a", "rep_b").alias("v")).distinct()
         new = new if tested is None else new.join(tested, ["u", "v"], "left_anti")
-        sides = new.join(_renamed(nodes, "a"), F.col("u") == F.col("rep_a")).join(_renamed(nodes, "b"), F.col("v") == F.col("rep_b"))
+        sides = new.join(_sided(nodes, "a"), F.col("u") == F.col("rep_a")).join(_sided(nodes, "b"), F.col("v") == F.col("rep_b"))
         return sides.filter(_may_link(percent)).select("u", "v").distinct()
 
     tested: DataFrame | None = None
     links: DataFrame | None = None
     labels: DataFrame | None = None
+    lead = F.max(F.struct("middle", (-F.col("rep")).alias("minus"), "component")).alias("lead")
     for stage in ("first leader", "second leader", "rest"):
         held = _in_buckets(buckets, labels)
+        others = held
         if labels is not None:
             most = held.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
             most = most.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
             held = spool(held.join(most, "key"), "held")
             others = held.filter("component != main")
-        if stage == "first leader":
-            leaders = held.groupBy("key").agg(F.min("rep").alias("rep_b"))
-            pairs = held.join(leaders, "key").filter("rep != rep_b").select(F.col("rep").alias("rep_a"), "rep_b")
-        elif stage == "second leader":
-            leaders = others.groupBy("key").agg(F.min(F.struct("rep", "component")).alias("lead"))
-            pairs = held.join(leaders, "key").filter("component != lead.component")
-            pairs = pairs.select(F.col("rep").alias("rep_a"), F.col("lead.rep").alias("rep_b"))
+        if stage != "rest":
+            pairs = held.join(others.groupBy("key").agg(lead), "key").filter("component != lead.component")
+            pairs = pairs.select(F.col("rep").alias("rep_a"), (-F.col("lead.minus")).alias("rep_b"))
         else:
-            near = nodes.select("rep", "n", "sketch")
-            left = others.join(near, "rep").select(
-                "key", F.col("component").alias("c_a"), F.col("rep").alias("rep_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")
-            )
-            right = held.join(near, "rep").select(
-                "key", F.col("component").alias("c_b"), "main", F.col("rep").alias("rep_b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")
-            )
-            once = (F.col("c_b") == F.col("main")) | (F.col("rep_a") < F.col("rep_b"))
-            pairs = left.join(right, "key").filter((F.col("c_a") != F.col("c_b")) & once & _may_link(percent))
-        wanted = spool(told_apart(pairs, tested), "pairs")
-        tested = wanted if tested is None else tested.unionByName(wanted)
-        found = spool(_confirmed(documents, wanted, width, percent), "links")
+            left = others.select("key", F.col("component").alias("c_a"), "rep")
+            right = held.select("key", F.col("component").alias("c_b"), "main", "rep")
+            left = left.join(_sided(nodes, "a", "bands"), F.col("rep") == F.col("rep_a")).drop("rep")
+            right = right.join(_sided(nodes, "b", "bands"), F.col("rep") == F.col("rep_b")).drop("rep")
+            apart = (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("rep_a") < F.col("rep_b")))
+            first_shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("key")
+            pairs = left.join(right, "key").filter(apart & _may_link(percent) & first_shared)
+        chosen = spool(worth_testing(pairs, tested), "pairs")
+        tested = chosen if tested is None else tested.unionByName(chosen)
+        found = spool(_confirmed(texts, chosen, width, percent), "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
 

@@ -23,6 +23,8 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
     tied are sorted again, at twice the depth each time.
     """
     n = len(text)
+    if n >= 1 << 32:
+        raise ValueError("a bucket is too large for its index: use more buckets")
     padded = np.concatenate((text.astype(np.uint64) + np.uint64(1), np.zeros(_FIRST, np.uint64)))
     key = np.zeros(n, np.uint64)
     for k in range(_FIRST):
@@ -41,7 +43,7 @@ def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
         own = order[rows]
         further = np.where(left[own] > depth, rank[np.minimum(own + depth, n - 1)], -1)
         group = rank[own]
-        sort = np.lexsort((further, group))
+        sort = np.argsort((group.astype(np.uint64) << np.uint64(32)) | (further + 1).astype(np.uint64), kind="stable")
         own, group, further = own[sort], group[sort], further[sort]
         order[rows] = own
         differs = np.concatenate(([True], (group[1:] != group[:-1]) | (further[1:] != further[:-1])))
@@ -87,16 +89,27 @@ def build(text: np.ndarray, begins: np.ndarray) -> RunIndex:
     there = order[np.maximum(rows - 1, 0)]
     limit = np.minimum(left[here], left[there])
     limit[rows == 0] = 0
-    shared = np.zeros(len(rows), np.int64)
-    open_rows = np.arange(len(rows))
-    step = 0
-    while len(open_rows):
-        open_rows = open_rows[limit[open_rows] > step]
-        same = text[here[open_rows] + step] == text[there[open_rows] + step]
-        open_rows = open_rows[same]
-        shared[open_rows] += 1
-        step += 1
-    return RunIndex(order, rows, symbol[rows], here, shared)
+    return RunIndex(order, rows, symbol[rows], here, np.minimum(_agreement(text, here, there, limit), limit))
+
+
+def _agreement(text: np.ndarray, here: np.ndarray, there: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """How many bytes agree from each pair of positions on, at least up to the limit; eight at a time."""
+    n = len(text)
+    padded = np.concatenate((text, np.zeros(8, np.uint8)))
+    word = np.zeros(n, np.uint64)
+    for k in range(8):
+        word = (word << np.uint64(8)) | padded[k : k + n]
+    found = np.zeros(len(here), np.int64)
+    rows, step = np.flatnonzero(limit > 0), 0
+    while len(rows):
+        differing = word[here[rows] + step] ^ word[there[rows] + step]
+        agreed = np.zeros(len(rows), np.int64)
+        for bits in range(0, 64, 8):
+            agreed += differing < np.uint64(1 << bits)
+        found[rows] += agreed
+        step += 8
+        rows = rows[(agreed == 8) & (limit[rows] > step)]
+    return found
 
 
 def window_classes(index: RunIndex, width: int) -> np.ndarray:

@@ -28,12 +28,13 @@ from pingloom.llm.exchange import KEYS_SQL, bucket_bounds, is_among, key_rows, p
 from pingloom.llm.frames import block_count, block_of, prepare
 from pingloom.llm.run_index import build, window_classes
 
-WIDTH, ANCHOR = 50, 16
+# Shorter anchors would be fewer, but more of them would recur by chance and bring segments that match nothing.
+WIDTH, ANCHOR = 50, 24
 REACH = WIDTH - ANCHOR + 1
 BLOCK_BYTES = 8 << 20
 # A bucket sorts all suffixes of its segments, which takes about a hundred times their size.
 BUCKETS_PER_BLOCK = 4
-_CHUNK_BITS = 20
+_CHUNK_BITS = 19
 _LOW = np.uint64((1 << (_CHUNK_BITS + 1)) - 1)
 _NONE, _LEAST = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 # White space of the word definition [^\x20\x09-\x0D]+.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(BASE, -1, 1 << 64)
@@ -44,7 +44,7 @@ def _table(base: int, size: int) -> np.ndarray:
 
 def powers(base: int, n: int) -> np.ndarray:
     """The powers of a base modulo 2**64; tables double in size, so few are ever made."""
-    return _table(base, 1 << max(21, int(n - 1).bit_length()))[:n]
+    return _table(base, 1 << max(20, int(n - 1).bit_length()))[:n]
 
 
 def view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -79,7 +79,7 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
     """Windows that lie across the border of two chunks of a text are matched like all others."""
     pick = random.Random(10)
     line = "".join(pick.choice("abcdefghijklmnop") for _ in range(400))
-    far = "".join(pick.choice("qrstuvwxyz") for _ in range((1 << 20) - 200))
+    far = "".join(pick.choice("qrstuvwxyz") for _ in range((1 << 19) - 200))
     rows = [(1, line), (2, far + line + far[:100]), (3, far[-300:] + line)]
     documents = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r["doc_id"]: [(s["start"], s["end"]) for s in r["removed"]] for r in substrings.deduplicate(documents).collect()}

@@ -36,7 +36,7 @@ def _json(column: Column, ddl: str) -> Column:
     return F.from_json(column, schemas.struct(ddl), {"columnNameOfCorruptRecord": "_broken"})
 
 
-def _once(df: DataFrame, *columns: Column | str) -> DataFrame:
+def once(df: DataFrame, *columns: Column | str) -> DataFrame:
     """Replace the columns by these, evaluated once per row.
 
     A filter on a plain projection is pushed below it, and every expression the filter names would be
@@ -158,7 +158,7 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
         document_text(F.col(value)).alias("doc"),
     )
     whole = is_whole(F.col("raw")) & ((F.col("doc") == F.col("raw")) | is_whole(F.col("doc")))
-    parsed = _once(base, *base.columns, _json(F.col("doc"), schemas.PING_TEXT).alias("p"), whole.alias("whole"))
+    parsed = once(base, *base.columns, _json(F.col("doc"), schemas.PING_TEXT).alias("p"), whole.alias("whole"))
 
     p = F.col("p")
     lon_text, lat_text = (geo.coordinate(p["location"]["coordinates"], i) for i in (0, 1))
@@ -181,7 +181,7 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
     # as a lambda, the verdict is worked out for doubtful pings only and stays out of generated code,
     # which it would make too large to be compiled
     verdict = _bound(_json(F.col("doc"), schemas.PING_VARIANT), _exact)
-    judged = _once(parsed, "raw", "ingested_at", "arrival_seq", "p", "whole", F.when(doubtful, verdict).alias("x"))
+    judged = once(parsed, "raw", "ingested_at", "arrival_seq", "p", "whole", F.when(doubtful, verdict).alias("x"))
 
     x = F.col("x")
     known = x.isNull()
@@ -190,7 +190,7 @@ def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at",
         F.when(known, lon_text).otherwise(x["lon"]).alias("lon_text"),
         F.when(known, lat_text).otherwise(x["lat"]).alias("lat_text"),
     )
-    numbers = _once(
+    numbers = once(
         located,
         *located.columns,
         _number(F.col("lon_text")).alias("lon"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pingloom.functions import motion
-from pingloom.operators.ingest import document_text, is_whole
+from pingloom.operators.ingest import document_text, is_whole, once
 from pingloom.session import spool
 
 
@@ -46,7 +46,7 @@ def _registered(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]
 _ENTRIES = "array<struct<key: string, value: variant>>"
 UNREADABLE = "$"
 # Levels of nesting taken apart in one pass.
-LEVELS = 3
+LEVELS = 2
 
 
 def _children(value: Column) -> Column:
@@ -88,9 +88,9 @@ def field_census(raw: DataFrame, value: str = "value") -> DataFrame:
     Documents that cannot be read are one row at ``$``. ``LEVELS`` levels are taken apart at a time and counted before
     the shuffle; objects and arrays below them, if there are any, are written out and taken apart in the next round.
     """
-    doc = document_text(F.col(value))
-    parsed = F.when(is_whole(F.col(value)) & is_whole(doc), F.try_parse_json(doc))
-    rows = raw.select(F.lit("").alias("path"), parsed.alias("value"))
+    texts = once(raw, F.col(value).alias("raw"), document_text(F.col(value)).alias("doc"))
+    whole = is_whole(F.col("raw")) & ((F.col("doc") == F.col("raw")) | is_whole(F.col("doc")))
+    rows = once(texts, F.lit("").alias("path"), F.when(whole, F.try_parse_json("doc")).alias("value"))
     found: DataFrame | None = None
     while True:
         values = _taken_apart(rows).select(

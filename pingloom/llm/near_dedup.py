@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pingloom.llm import text as T
 from pingloom.llm.components import components
 from pingloom.llm.exchange import KEYS_SQL, is_among, key_rows, read_keys, shared_keys
-from pingloom.llm.frames import block_count, block_of, prepare
+from pingloom.llm.frames import block_count, block_of, prepare, tidied
 from pingloom.session import spool
 
 BANDS, ROWS = 32, 4
@@ -77,6 +77,7 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
 def describe(documents: DataFrame, width: int) -> DataFrame:
     """Size, digest, band keys and sketch of each document's set."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in T.pieces(batch):
@@ -150,6 +151,7 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, width: int, percent: int) ->
         .join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
     )
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
@@ -200,9 +202,9 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 80) -> DataFrame
 
     def worth_testing(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
         new = pairs.select(F.greatest("rep_a", "rep_b").alias("u"), F.least("rep_a", "rep_b").alias("v")).distinct()
-        new = new if tested is None else new.join(tested, ["u", "v"], "left_anti")
         sides = new.join(_sided(nodes, "a"), F.col("u") == F.col("rep_a")).join(_sided(nodes, "b"), F.col("v") == F.col("rep_b"))
-        return sides.filter(_may_link(percent)).select("u", "v").distinct()
+        able = sides.filter(_may_link(percent)).select("u", "v").distinct()
+        return able if tested is None else able.join(tested, ["u", "v"], "left_anti")
 
     tested: DataFrame | None = None
     links: DataFrame | None = None
@@ -230,8 +232,9 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 80) -> DataFrame
         chosen = spool(worth_testing(pairs, tested), "pairs")
         tested = chosen if tested is None else tested.unionByName(chosen)
         found = spool(_confirmed(texts, chosen, width, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        if links is None or found.take(1):
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
 
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         *keys, F.coalesce("component", "rep").alias("named")

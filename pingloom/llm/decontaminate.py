@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
-from pingloom.llm.frames import hashed_sums, prepare
+from pingloom.llm.frames import hashed_sums, prepare, tidied
 
 SLOTS = 1 << 18
 WINDOW, STEP = 32, 8
@@ -71,6 +71,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 def rarity(documents: DataFrame) -> np.ndarray:
     """Inverse document frequency of each term slot over the corpus."""
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(SLOTS + 1, np.int64), 0
         for piece, hashes, owner in _pieces(batches):
@@ -154,6 +155,7 @@ def randomised_svd(spark: SparkSession, rows: list[np.ndarray], weights: list[np
     wide = min(rank + OVERSAMPLE, size)
 
     def product(m: np.ndarray) -> np.ndarray:
+        @tidied
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros_like(m)
             for batch in batches:
@@ -279,6 +281,7 @@ MATCH = "doc_id long, item_id long, cosine double, lcs_share double, first_term
 
 
 def _matcher(where: Space) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, hashes, owner in _pieces(batches):
             if found := find(hashes, owner, piece.num_rows, where):
@@ -305,6 +308,7 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns."""
 
     def keeper(where: Space) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        @tidied
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for piece, hashes, owner in _pieces(batches):
                 keep = np.ones(piece.num_rows, dtype=bool)

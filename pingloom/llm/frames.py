@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from pingloom.session import shuffle_partitions
 
 # Text that one task of a blocked operator holds, as plain bytes; raise it with the executors' memory.
 BLOCK_BYTES = 16 << 20
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 # Plain bytes of text for a byte of compressed columns.
 PLAIN_PER_STORED = 2
 # The optimizer stands in a size near the largest long where it has none.
@@ -44,6 +47,26 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Give back to the system what finished work has left; workers live on for the next stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function over the batches of a task that releases memory at its end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def block_count(df: DataFrame, block_bytes: int = BLOCK_BYTES, column: str = "text") -> int:
     """Number of blocks so that one holds about ``block_bytes`` of text.
 

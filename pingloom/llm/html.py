@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pingloom.llm.frames import prepare
+from pingloom.llm.frames import prepare, tidied
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
@@ -261,6 +261,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
     prepare(pages.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(p.as_py()) for p in batch.column("html")]

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from pingloom.llm import text as T
 
 # Distinct pre-tokens a worker remembers; beyond that it starts afresh.
-REMEMBERED = 1_200_000
+REMEMBERED = 800_000
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 0
 # The code points of the Unicode property White_Space.
 _WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]

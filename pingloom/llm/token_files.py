@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
-from pingloom.llm.frames import block_count, prepare
+from pingloom.llm.frames import block_count, prepare, tidied
 from pingloom.llm.pretokens import encoder
 from pingloom.session import scratch_path
 
@@ -61,6 +61,7 @@ def write(
     """
     prepare(documents.sparkSession)
 
+    @tidied
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         tables = []
@@ -121,6 +122,7 @@ def read(spark: SparkSession, path: str, wanted: list[int] | None = None) -> Dat
     prepare(spark)
     chosen = None if wanted is None else np.array(sorted(wanted), np.int64)
 
+    @tidied
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, cell in zip(batch.column("file").to_pylist(), batch.column("content")):
@@ -147,6 +149,7 @@ def read(spark: SparkSession, path: str, wanted: list[int] | None = None) -> Dat
 def with_starts(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """Rows that were read, ``start`` now counting all ids of the corpus before a document."""
 
+    @tidied
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums = [int(read_table(c.as_buffer().to_pybytes())["n_tokens"].sum()) for c in batch.column("content")]

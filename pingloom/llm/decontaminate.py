@@ -7,9 +7,11 @@ windows of every document are folded into that space and compared with all passa
 are candidates, and a candidate stands if the longest common subsequence of its words with the item's, weighted by
 TF-IDF, covers enough of the item, and enough of the item's answer is there.
 
-Items are handled in blocks of bounded size, each against all documents; what a task holds is a block's space and one
-piece of text. A window is left out before it is folded if its known terms cannot reach the limit, either by the
-Cauchy-Schwarz inequality or because no passage gives them enough weight; nothing else is.
+Items are handled in blocks of bounded size, each against all documents; what a task holds is a block and one piece of
+text. A block has as many latent spaces as its passages need: a space takes at most ``LATENT`` passages and has a
+dimension for each, so it spans them and a copy keeps its cosine however many items there are. A window is left out
+before it is folded if its known terms cannot reach the limit, either by the Cauchy-Schwarz inequality or because no
+passage gives them enough weight; nothing else is.
 
 Terms are runs of letters, digits and non-ASCII characters, lower-cased (ASCII and Latin-1 letters). The answer is the
 column ``answer`` of the benchmark if there is one, else the ``ANSWER_WORDS`` rarest terms of the item.
@@ -34,14 +36,15 @@ from pingloom.llm.frames import hashed_sums, prepare, tidied
 
 SLOTS = 1 << 18
 WINDOW, STEP = 32, 8
-LATENT = 256
+# The most passages of a space; it has as many dimensions.
+LATENT = 512
 OVERSAMPLE = 16
 POWER_ROUNDS = 1
 COSINE = 0.4
 LCS_SHARE = 0.6
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.6
-# An item block is held by every task.
-BLOCK_ITEMS, BLOCK_WORDS = 4000, 400_000
+# An item block is held by every task, with LATENT numbers for each word at most. A single item may be longer.
+BLOCK_ITEMS, BLOCK_WORDS = 4000, 1 << 16
 
 _TERM = np.zeros(256, dtype=bool)
 _TERM[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")] = True
@@ -96,18 +99,27 @@ class Item:
 
 @dataclass(frozen=True)
 class Space:
-    """Latent space of a block of items: sorted term hashes, their rows of the basis, and the folded passages.
+    """Latent space of some passages: the row of the basis of each term of the block, and the folded passages.
 
-    ``peak`` is the largest weight that any passage, as the space has it, gives to a term.
+    Terms that no passage has share the last row, which is zero. ``peak`` is the largest weight that any passage gives to
+    the term of a row.
     """
 
-    rarity: np.ndarray
-    known: np.ndarray
+    row: np.ndarray
     basis: np.ndarray
     peak: np.ndarray
     passages: np.ndarray
     passage_item: np.ndarray
+
+
+@dataclass(frozen=True)
+class Block:
+    """Items, the sorted hashes of their terms, and the spaces that hold all their passages."""
+
+    rarity: np.ndarray
     items: list[Item]
+    known: np.ndarray
+    spaces: list[Space]
 
 
 def _blocks(benchmark: DataFrame, idf: np.ndarray) -> Iterator[list[Item]]:
@@ -184,22 +196,32 @@ def randomised_svd(spark: SparkSession, rows: list[np.ndarray], weights: list[np
     return basis @ vectors[:, np.argsort(-values)[:rank]]
 
 
-def space(spark: SparkSession, items: list[Item], idf: np.ndarray) -> Space:
-    """The latent space of a block of items."""
+def block(spark: SparkSession, items: list[Item], idf: np.ndarray) -> Block:
+    """Items with the latent spaces of their passages."""
     known = np.unique(np.concatenate([i.terms for i in items]))
-    rows, weights, whose = [], [], []
+    passages = []
     for number, item in enumerate(items):
         at = np.searchsorted(known, item.terms)
         for start in _cut(len(at)):
             term, n = np.unique(at[start : start + WINDOW], return_counts=True)
             weight = n * idf[slot(known[term])]
-            rows.append(term)
-            weights.append(weight / np.linalg.norm(weight))
-            whose.append(number)
-    basis = randomised_svd(spark, rows, weights, len(known), LATENT).astype(np.float32)
-    passages = _rows(rows, weights, basis).astype(np.float32)
-    peak = np.concatenate([(basis[lo : lo + 1024] @ passages.T).max(axis=1) for lo in range(0, len(known), 1024)])
-    return Space(idf, known, basis, peak.clip(0), passages, np.array(whose), items)
+            passages.append((term, weight / np.linalg.norm(weight), number))
+    spaces = [_space(spark, passages[lo : lo + LATENT], len(known)) for lo in range(0, len(passages), LATENT)]
+    return Block(idf, items, known, spaces)
+
+
+def _space(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndarray, int]], n_known: int) -> Space:
+    """The space of passages given as terms, weights and item."""
+    lists, weights, whose = zip(*passages)
+    own = np.unique(np.concatenate(lists))
+    rows = [np.searchsorted(own, t) for t in lists]
+    basis = randomised_svd(spark, rows, list(weights), len(own), LATENT).astype(np.float32)
+    folded = _rows(rows, list(weights), basis).astype(np.float32)
+    peak = np.concatenate([(basis[lo : lo + 1024] @ folded.T).max(axis=1) for lo in range(0, len(own), 1024)])
+    row = np.full(n_known + 1, len(own), np.int32)
+    row[own] = np.arange(len(own))
+    basis = np.vstack([basis, np.zeros((1, basis.shape[1]), np.float32)])
+    return Space(row, basis, np.append(peak.clip(0), 0), folded, np.array(whose))
 
 
 def _windows(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,36 +245,37 @@ def subsequence_share(item: Item, words: np.ndarray) -> float:
     return float(row[-1] / item.weights.sum())
 
 
-def find(hashes: np.ndarray, owner: np.ndarray, n: int, where: Space) -> list[tuple[int, int, float, float, int]]:
+def find(hashes: np.ndarray, owner: np.ndarray, n: int, where: Block) -> list[tuple[int, int, float, float, int]]:
     """Matches in one piece: text number, item position, cosine, share of the subsequence, first term of the window."""
     if len(hashes) == 0:
         return []
     weight = where.rarity[slot(hashes)]
     at = np.minimum(np.searchsorted(where.known, hashes), len(where.known) - 1)
-    row = np.where(where.known[at] == hashes, at, -1)
+    at = np.where(where.known[at] == hashes, at, len(where.known))
     mass = np.concatenate(([0.0], np.cumsum(weight.astype(np.float64) ** 2)))
-    held = np.where(row >= 0, weight, 0).astype(np.float64)
-    shared = np.concatenate(([0.0], np.cumsum(held**2)))
-    most = np.concatenate(([0.0], np.cumsum(held * where.peak[row])))
     first, last = _windows(owner, n)
     whole = mass[last] - mass[first]
-    able = (shared[last] - shared[first] >= COSINE**2 * whole) & (most[last] - most[first] >= COSINE * np.sqrt(whole) - 1e-3)
-    able = np.flatnonzero(able)
-    basis = np.vstack([where.basis, np.zeros((1, where.basis.shape[1]), np.float32)])
     best: dict[tuple[int, int, int], tuple[float, int]] = {}
-    for lo in range(0, len(able), 256):
-        part = able[lo : lo + 256]
-        spots = first[part][:, None] + np.arange(WINDOW)
-        inside = spots < last[part][:, None]
-        spots = np.minimum(spots, len(hashes) - 1)
-        folded = np.einsum("ij,ijk->ik", np.where(inside, weight[spots], 0), basis[np.where(inside, row[spots], -1)])
-        cosine = folded @ where.passages.T / np.sqrt(whole[part])[:, None]
-        for i, j in zip(*np.nonzero(cosine >= COSINE)):
-            window = int(first[part[i]])
-            # Neighbouring windows of one match are checked once, at the best of them.
-            key = (int(owner[window]), int(where.passage_item[j]), window // WINDOW)
-            if cosine[i, j] > best.get(key, (0.0, 0))[0]:
-                best[key] = (float(cosine[i, j]), window)
+    for space in where.spaces:
+        row = space.row[at]
+        held = np.where(row < len(space.peak) - 1, weight, 0).astype(np.float64)
+        shared = np.concatenate(([0.0], np.cumsum(held**2)))
+        most = np.concatenate(([0.0], np.cumsum(held * space.peak[row])))
+        able = (shared[last] - shared[first] >= COSINE**2 * whole) & (most[last] - most[first] >= COSINE * np.sqrt(whole) - 1e-3)
+        able = np.flatnonzero(able)
+        for lo in range(0, len(able), 256):
+            part = able[lo : lo + 256]
+            spots = first[part][:, None] + np.arange(WINDOW)
+            inside = spots < last[part][:, None]
+            spots = np.minimum(spots, len(hashes) - 1)
+            folded = np.einsum("ij,ijk->ik", np.where(inside, weight[spots], 0), space.basis[np.where(inside, row[spots], -1)])
+            cosine = folded @ space.passages.T / np.sqrt(whole[part])[:, None]
+            for i, j in zip(*np.nonzero(cosine >= COSINE)):
+                window = int(first[part[i]])
+                # Neighbouring windows of one match are checked once, at the best of them.
+                key = (int(owner[window]), int(space.passage_item[j]), window // WINDOW)
+                if cosine[i, j] > best.get(key, (0.0, 0))[0]:
+                    best[key] = (float(cosine[i, j]), window)
     found: dict[tuple[int, int], tuple[float, float, int]] = {}
     begin = np.searchsorted(owner, np.arange(n + 1))
     for (t, number, _), (cosine, window) in best.items():
@@ -267,20 +290,20 @@ def find(hashes: np.ndarray, owner: np.ndarray, n: int, where: Space) -> list[tu
     return [(t, number, *rest) for (t, number), rest in sorted(found.items())]
 
 
-def _spaces(documents: DataFrame, benchmark: DataFrame) -> Iterator[Space]:
+def _prepared(documents: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
     spark = documents.sparkSession
     prepare(spark)
     if not benchmark.take(1):
         return
     idf = rarity(documents)
     for items in _blocks(benchmark, idf):
-        yield space(spark, items, idf)
+        yield block(spark, items, idf)
 
 
 MATCH = "doc_id long, item_id long, cosine double, lcs_share double, first_term long"
 
 
-def _matcher(where: Space) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _matcher(where: Block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, hashes, owner in _pieces(batches):
@@ -299,7 +322,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document and benchmark item that it contains, whole or paraphrased."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = documents.sparkSession.createDataFrame([], MATCH)
-    for where in _spaces(documents, benchmark):
+    for where in _prepared(documents, benchmark):
         found = found.unionByName(rows.mapInArrow(_matcher(where), MATCH))
     return found
 
@@ -307,7 +330,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no benchmark item, with all their columns."""
 
-    def keeper(where: Space) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def keeper(where: Block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         @tidied
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for piece, hashes, owner in _pieces(batches):
@@ -318,6 +341,6 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         return run
 
     rows = documents
-    for where in _spaces(documents, benchmark):
+    for where in _prepared(documents, benchmark):
         rows = rows.mapInArrow(keeper(where), documents.schema)
     return rows

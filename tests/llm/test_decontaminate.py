@@ -95,3 +95,47 @@ def test_odd_rows(spark, odd_documents, empty_documents):
     assert decontaminate.matches(empty_documents, benchmark).count() == 0
     assert decontaminate.matches(odd_documents, benchmark.limit(0)).count() == 0
     assert decontaminate.clean(odd_documents, benchmark.limit(0)).count() == odd_documents.count()
+
+
+def copied(spark, sizes, seed):
+    """Texts with one item each, cut from other texts, whole and with a fifth of the words left out; and the items."""
+    texts = [r["text"] for r in read(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    texts = [t.split() for t in texts if len(t) > 1500]
+    pick, items, rows = random.Random(seed), [], []
+    for k, size in enumerate(sizes):
+        words = pick.choice(texts)
+        at = pick.randrange(len(words) - size)
+        items.append((k, " ".join(words[at : at + size])))
+        if k % 8 < 2:
+            host, kept = pick.choice(texts), [w for w in words[at : at + size] if k % 8 == 0 or pick.random() > 0.2]
+            at = pick.randint(0, len(host))
+            rows.append((k, " ".join(host[:at] + kept + host[at:]), " ".join(kept)))
+    return spark.createDataFrame(rows, "doc_id long, text string, kept string"), spark.createDataFrame(items, "item_id long, text string")
+
+
+def lost(documents, benchmark):
+    """The planted copies that the last two checks alone let stand, and those of them that are not found."""
+    idf = decontaminate.rarity(documents)
+    items = {i.number: i for b in decontaminate._blocks(benchmark, idf) for i in b}
+    must = set()
+    for row in documents.collect():
+        words, item = hashed(row["kept"]), items[row["doc_id"]]
+        answered = len(item.answer & set(words.tolist())) >= decontaminate.ANSWER_SHARE * len(item.answer)
+        if answered and decontaminate.subsequence_share(item, words) >= decontaminate.LCS_SHARE:
+            must.add((row["doc_id"], row["doc_id"]))
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(documents.drop("kept"), benchmark).collect()}
+    return must, must - found
+
+
+def hashed(text):
+    import pyarrow as pa
+
+    from pingloom.llm import text as T
+
+    return decontaminate.terms(*T.view(pa.array([text])))[0]
+
+
+@pytest.mark.parametrize("n_items", [1_000])
+def test_copies_are_found_in_a_large_benchmark(spark, n_items):
+    must, missed = lost(*copied(spark, [24 + k * 7 % 36 for k in range(n_items)], 3))
+    assert len(must) > n_items // 5 and not missed

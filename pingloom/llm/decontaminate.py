@@ -9,8 +9,9 @@ TF-IDF, covers enough of the item, and enough of the item's answer is there.
 
 Items are handled in blocks of bounded size, each against all documents; what a task holds is a block and one piece of
 text. A block has as many latent spaces as its passages need: a space takes at most ``LATENT`` passages and has a
-dimension for each, so it spans them and a copy keeps its cosine however many items there are. A window is left out
-before it is folded if its known terms cannot reach the limit, either by the Cauchy-Schwarz inequality or because no
+dimension for each, so it spans them and a copy keeps its cosine however many items there are. An item shorter than the
+window is also compared with windows of about its own length, so that the text around a copy does not dilute it; the
+passages of a space have one such width. A window is left out before it is folded if its known terms cannot reach the limit, either by the Cauchy-Schwarz inequality or because no
 passage gives them enough weight; nothing else is.
 
 Terms are runs of letters, digits and non-ASCII characters, lower-cased (ASCII and Latin-1 letters). The answer is the
@@ -35,12 +36,14 @@ from pingloom.llm import text as T
 from pingloom.llm.frames import hashed_sums, prepare, tidied
 
 SLOTS = 1 << 18
-WINDOW, STEP = 32, 8
+WINDOW = 32
+# An item shorter than the window gets the least of these that holds it.
+WIDTHS = (1, 2, 3, 4, 6, 8, 12, 16, 24, WINDOW)
 # The most passages of a space; it has as many dimensions.
 LATENT = 512
 OVERSAMPLE = 16
 POWER_ROUNDS = 1
-COSINE = 0.4
+COSINE = 0.35
 LCS_SHARE = 0.6
 ANSWER_WORDS, ANSWER_SHARE = 5, 0.6
 # An item block is held by every task, with LATENT numbers for each word at most. A single item may be longer.
@@ -102,9 +105,10 @@ class Space:
     """Latent space of some passages: the row of the basis of each term of the block, and the folded passages.
 
     Terms that no passage has share the last row, which is zero. ``peak`` is the largest weight that any passage gives to
-    the term of a row.
+    the term of a row. ``width`` is the least width of window for them.
     """
 
+    width: int
     row: np.ndarray
     basis: np.ndarray
     peak: np.ndarray
@@ -199,18 +203,22 @@ def randomised_svd(spark: SparkSession, rows: list[np.ndarray], weights: list[np
 def block(spark: SparkSession, items: list[Item], idf: np.ndarray) -> Block:
     """Items with the latent spaces of their passages."""
     known = np.unique(np.concatenate([i.terms for i in items]))
-    passages = []
+    passages: dict[int, list[tuple[np.ndarray, np.ndarray, int]]] = {}
     for number, item in enumerate(items):
         at = np.searchsorted(known, item.terms)
+        width = min([w for w in WIDTHS if w >= len(at)], default=WINDOW)
         for start in _cut(len(at)):
             term, n = np.unique(at[start : start + WINDOW], return_counts=True)
             weight = n * idf[slot(known[term])]
-            passages.append((term, weight / np.linalg.norm(weight), number))
-    spaces = [_space(spark, passages[lo : lo + LATENT], len(known)) for lo in range(0, len(passages), LATENT)]
+            passages.setdefault(width, []).append((term, weight / np.linalg.norm(weight), number))
+    spaces = [
+        _space(spark, width, alike[lo : lo + LATENT], len(known))
+        for width, alike in sorted(passages.items()) for lo in range(0, len(alike), LATENT)
+    ]
     return Block(idf, items, known, spaces)
 
 
-def _space(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndarray, int]], n_known: int) -> Space:
+def _space(spark: SparkSession, width: int, passages: list[tuple[np.ndarray, np.ndarray, int]], n_known: int) -> Space:
     """The space of passages given as terms, weights and item."""
     lists, weights, whose = zip(*passages)
     own = np.unique(np.concatenate(lists))
@@ -221,18 +229,19 @@ def _space(spark: SparkSession, passages: list[tuple[np.ndarray, np.ndarray, int
     row = np.full(n_known + 1, len(own), np.int32)
     row[own] = np.arange(len(own))
     basis = np.vstack([basis, np.zeros((1, basis.shape[1]), np.float32)])
-    return Space(row, basis, np.append(peak.clip(0), 0), folded, np.array(whose))
+    return Space(width, row, basis, np.append(peak.clip(0), 0), folded, np.array(whose))
 
 
-def _windows(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _windows(owner: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of the windows over the terms of each text; the last of a text ends with it."""
     per = T.counts(owner, n)
     begin = np.concatenate(([0], np.cumsum(per)))[:-1]
-    many = np.where(per > 0, np.maximum(0, -(-(per - WINDOW) // STEP)) + 1, 0)
+    step = max(1, width // 4)
+    many = np.where(per > 0, np.maximum(0, -(-(per - width) // step)) + 1, 0)
     whose = np.repeat(np.arange(n), many)
     rank = np.arange(len(whose)) - np.repeat(np.cumsum(many) - many, many)
-    start = np.minimum(rank * STEP, np.maximum(per[whose] - WINDOW, 0))
-    return begin[whose] + start, begin[whose] + np.minimum(start + WINDOW, per[whose])
+    start = np.minimum(rank * step, np.maximum(per[whose] - width, 0))
+    return begin[whose] + start, begin[whose] + np.minimum(start + width, per[whose])
 
 
 def subsequence_share(item: Item, words: np.ndarray) -> float:
@@ -253,35 +262,37 @@ def find(hashes: np.ndarray, owner: np.ndarray, n: int, where: Block) -> list[tu
     at = np.minimum(np.searchsorted(where.known, hashes), len(where.known) - 1)
     at = np.where(where.known[at] == hashes, at, len(where.known))
     mass = np.concatenate(([0.0], np.cumsum(weight.astype(np.float64) ** 2)))
-    first, last = _windows(owner, n)
-    whole = mass[last] - mass[first]
+    windows = {w: _windows(owner, n, w) for w in {WINDOW, *(s.width for s in where.spaces)}}
     best: dict[tuple[int, int, int], tuple[float, int]] = {}
     for space in where.spaces:
         row = space.row[at]
         held = np.where(row < len(space.peak) - 1, weight, 0).astype(np.float64)
         shared = np.concatenate(([0.0], np.cumsum(held**2)))
         most = np.concatenate(([0.0], np.cumsum(held * space.peak[row])))
-        able = (shared[last] - shared[first] >= COSINE**2 * whole) & (most[last] - most[first] >= COSINE * np.sqrt(whole) - 1e-3)
-        able = np.flatnonzero(able)
-        for lo in range(0, len(able), 256):
-            part = able[lo : lo + 256]
-            spots = first[part][:, None] + np.arange(WINDOW)
-            inside = spots < last[part][:, None]
-            spots = np.minimum(spots, len(hashes) - 1)
-            folded = np.einsum("ij,ijk->ik", np.where(inside, weight[spots], 0), space.basis[np.where(inside, row[spots], -1)])
-            cosine = folded @ space.passages.T / np.sqrt(whole[part])[:, None]
-            for i, j in zip(*np.nonzero(cosine >= COSINE)):
-                window = int(first[part[i]])
-                # Neighbouring windows of one match are checked once, at the best of them.
-                key = (int(owner[window]), int(space.passage_item[j]), window // WINDOW)
-                if cosine[i, j] > best.get(key, (0.0, 0))[0]:
-                    best[key] = (float(cosine[i, j]), window)
+        for width in sorted({space.width, WINDOW}):
+            first, last = windows[width]
+            whole = mass[last] - mass[first]
+            able = (shared[last] - shared[first] >= COSINE**2 * whole) & (most[last] - most[first] >= COSINE * np.sqrt(whole) - 1e-3)
+            able = np.flatnonzero(able)
+            for lo in range(0, len(able), 256):
+                part = able[lo : lo + 256]
+                spots = first[part][:, None] + np.arange(width)
+                inside = spots < last[part][:, None]
+                spots = np.minimum(spots, len(hashes) - 1)
+                folded = np.einsum("ij,ijk->ik", np.where(inside, weight[spots], 0), space.basis[np.where(inside, row[spots], -1)])
+                cosine = folded @ space.passages.T / np.sqrt(whole[part])[:, None]
+                for i, j in zip(*np.nonzero(cosine >= COSINE)):
+                    window = int(first[part[i]])
+                    # Neighbouring windows of one match are checked once, at the best of them.
+                    key = (int(owner[window]), int(space.passage_item[j]), window // space.width)
+                    if cosine[i, j] > best.get(key, (0.0, 0))[0]:
+                        best[key] = (float(cosine[i, j]), window)
     found: dict[tuple[int, int], tuple[float, float, int]] = {}
     begin = np.searchsorted(owner, np.arange(n + 1))
     for (t, number, _), (cosine, window) in best.items():
         item = where.items[number]
-        reach = len(item.terms)
-        words = hashes[max(begin[t], window - reach) : min(begin[t + 1], window + WINDOW + reach)]
+        reach = len(item.terms) + WINDOW
+        words = hashes[max(begin[t], window - reach) : min(begin[t + 1], window + reach)]
         if len(item.answer & set(words.tolist())) < ANSWER_SHARE * len(item.answer):
             continue
         share = subsequence_share(item, words)

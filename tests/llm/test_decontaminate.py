@@ -139,3 +139,8 @@ def hashed(text):
 def test_copies_are_found_in_a_large_benchmark(spark, n_items):
     must, missed = lost(*copied(spark, [24 + k * 7 % 36 for k in range(n_items)], 3))
     assert len(must) > n_items // 5 and not missed
+
+
+def test_copies_of_short_items_are_found(spark):
+    must, missed = lost(*copied(spark, [5 + k * 7 % 19 for k in range(800)], 4))
+    assert len(must) > 160 and not missed

@@ -6,6 +6,10 @@ blocks in page order with a Gaussian, fused by a product, and compared with a sh
 hold content. The article is the part of the page that holds the content blocks; its other blocks stay if they are
 headings or stand beside content, so short paragraphs are kept.
 
+Inside an article or main element the same limit decides: a path stays if the mean of its smoothed ratios and its own
+ratio both reach it. The element only restores what stands beside such a path without a box of its own, as short
+paragraphs, lists and tables do.
+
 Elements that are never article text (menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) are left out before by tag, role and class name.
 
@@ -45,6 +49,10 @@ _NEVER = frozenset(
 ) | _RAW
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ARTICLE = frozenset(("article", "main"))
+# Elements of running text; blocks in any other element have a box of their own.
+_TEXT = _HEADINGS | frozenset(
+    "p ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption header hgroup".split()
+)
 # An open element of the second set ends when the tag opens inside it.
 _P_ENDERS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -215,6 +223,11 @@ def blocks(page: str) -> list[_Block]:
 
 def path_scores(found: list[_Block]) -> np.ndarray:
     """Fused, smoothed tag-path ratio of each block."""
+    return _ratios(found)[0]
+
+
+def _ratios(found: list[_Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each block: the fused, smoothed ratio, its mean over the path, and the fused ratio of the path alone."""
     paths = {p: i for i, p in enumerate(dict.fromkeys(b.path for b in found))}
     which = np.array([paths[b.path] for b in found])
     size = np.array([len(b.text) - b.linked for b in found], dtype=float).clip(0)
@@ -229,7 +242,20 @@ def path_scores(found: list[_Block]) -> np.ndarray:
     def smooth(x: np.ndarray) -> np.ndarray:
         return np.convolve(x, kernel)[reach : reach + len(found)] / weight
 
-    return smooth(text_ratio) * (1 + smooth(mark_ratio))
+    fused = smooth(text_ratio) * (1 + smooth(mark_ratio))
+    return fused, (np.bincount(which, fused) / n)[which], text_ratio * (1 + mark_ratio)
+
+
+def _beside(found: list[_Block], chosen: np.ndarray) -> np.ndarray:
+    """Blocks that stand in running text of an element that holds a chosen block."""
+    hosts = {e for b, c in zip(found, chosen) if c for e in b.elements}
+
+    def stands(b: _Block) -> bool:
+        return any(h in hosts for h in b.elements) and all(
+            e in hosts or tag in _TEXT for e, tag in zip(b.elements, b.path.split("/"))
+        )
+
+    return np.array([stands(b) for b in found])
 
 
 def main_text(page: str | None) -> str:
@@ -237,22 +263,26 @@ def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    fused = path_scores(found)
-    content = fused >= THRESHOLD * max(fused.std(), fused.mean())
+    fused, path_mean, path_own = _ratios(found)
+    limit = THRESHOLD * max(fused.std(), fused.mean())
+    content = fused >= limit
     content &= np.array([b.linked <= LINK_SHARE * len(b.text) for b in found])
     if not content.any():
         content[:] = True
     inside = np.array([b.article for b in found])
     if (content & inside).any():
         part = inside
+        chosen = inside & (path_mean >= limit) & (path_own >= limit)
+        within = chosen | _beside(found, chosen) if chosen.any() else inside
     else:
         # The innermost element that holds all content blocks.
         shared = set.intersection(*[set(b.elements) for b, c in zip(found, content) if c])
         part = np.array([shared <= set(b.elements) for b in found])
-    good_paths = {b.path for b, c in zip(found, content) if c}
+        good_paths = {b.path for b, c in zip(found, content) if c}
+        within = np.array([b.path in good_paths for b in found])
     keep = [
-        p and (a or c or b.heading or b.path in good_paths) and b.linked <= LINK_SHARE * len(b.text)
-        for b, p, a, c in zip(found, part, inside, content)
+        p and (w or b.heading) and b.linked <= LINK_SHARE * len(b.text)
+        for b, p, w in zip(found, part, within)
     ]
     return "\n".join(b.text for b, k in zip(found, keep) if k)
 

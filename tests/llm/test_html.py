@@ -53,3 +53,20 @@ def test_frames(spark):
     sizes = sorted((r["page_id"] or 0, r["n_chars"], len(r["text"])) for r in found.collect())
     assert len(sizes) == 5 and all(n == m for _, n, m in sizes) and sizes[0] == (0, 0, 0)
     assert html.extract(pages.limit(0)).count() == 0
+
+
+LONG = " ".join(3 * ["A long paragraph, with many words in it; it goes on, and on, with marks. It ends here, after some more words."])
+
+
+def test_ratios_decide_inside_article_and_main():
+    box = '<div class="box"><p>Jane Doe writes here.</p></div>'
+    teasers = '<section><div class="card">' + "</div><div>".join(f"Teaser {i}" for i in range(8)) + "</div></section>"
+    for tag in ("article", "main"):
+        page = f"<body><{tag}><h1>Title</h1><p>{LONG}</p><p>Short.</p><ul><li>one</ul>{box}<p>{LONG}</p>{teasers}</{tag}></body>"
+        assert html.main_text(page).split("\n") == ["Title", LONG, "Short.", "one", LONG]
+
+
+def test_ratios_decide_without_article():
+    teasers = "".join(f"<li>Teaser {i}</li>" for i in range(12))
+    page = f"<body><ul>{teasers}</ul><div><div><h2>Title</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div></div></body>"
+    assert [line for line in html.main_text(page).split("\n") if not line.startswith("Teaser")] == ["Title", LONG, "Short.", LONG]

@@ -10,6 +10,9 @@ Inside an article or main element the same limit decides: a path stays if the me
 ratio both reach it. The element only restores what stands beside such a path without a box of its own, as short
 paragraphs, lists and tables do.
 
+Paths that are mostly links are no content. Headings, and blocks that stay inside an article or main element, are never
+left out for their links.
+
 Elements that are never article text (menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) are left out before by tag, role and class name.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -129,17 +133,21 @@ def blocks(page: str) -> list[_Block]:
     stack: list[_Element] = []
     open_inline: list[str] = []
     parts: list[str] = []
-    state = {"linked": 0, "number": 0}
+    linked: list[str] = []
+    state = {"number": 0}
+
+    def plain(raw: list[str]) -> str:
+        return " ".join(html.unescape("".join(raw)).split())
 
     def close_block() -> None:
-        text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
+        text = plain(parts) if parts else ""
         if text and not (stack and stack[-1].dropped):
             found.append(_Block(
                 text, stack[-1].path if stack else "", tuple(e.number for e in stack),
-                any(e.tag in _HEADINGS for e in stack), bool(stack and stack[-1].article), state["linked"],
+                any(e.tag in _HEADINGS for e in stack), bool(stack and stack[-1].article), len(plain(linked)),
             ))
         parts.clear()
-        state["linked"] = 0
+        linked.clear()
 
     def pop_to(depth: int) -> None:
         close_block()
@@ -149,7 +157,7 @@ def blocks(page: str) -> list[_Block]:
         if text and not (stack and stack[-1].dropped):
             parts.append(text)
             if "a" in open_inline:
-                state["linked"] += len(text)
+                linked.append(text)
 
     at, end = 0, len(page)
     while at < end:
@@ -266,7 +274,11 @@ def main_text(page: str | None) -> str:
     fused, path_mean, path_own = _ratios(found)
     limit = THRESHOLD * max(fused.std(), fused.mean())
     content = fused >= limit
-    content &= np.array([b.linked <= LINK_SHARE * len(b.text) for b in found])
+    size, links = Counter(), Counter()
+    for b in found:
+        size[b.path] += len(b.text)
+        links[b.path] += b.linked
+    content &= np.array([links[b.path] <= LINK_SHARE * size[b.path] for b in found])
     if not content.any():
         content[:] = True
     inside = np.array([b.article for b in found])
@@ -280,10 +292,7 @@ def main_text(page: str | None) -> str:
         part = np.array([shared <= set(b.elements) for b in found])
         good_paths = {b.path for b, c in zip(found, content) if c}
         within = np.array([b.path in good_paths for b in found])
-    keep = [
-        p and (w or b.heading) and b.linked <= LINK_SHARE * len(b.text)
-        for b, p, w in zip(found, part, within)
-    ]
+    keep = [p and (w or b.heading) for b, p, w in zip(found, part, within)]
     return "\n".join(b.text for b, k in zip(found, keep) if k)
 
 

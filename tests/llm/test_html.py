@@ -70,3 +70,18 @@ def test_ratios_decide_without_article():
     teasers = "".join(f"<li>Teaser {i}</li>" for i in range(12))
     page = f"<body><ul>{teasers}</ul><div><div><h2>Title</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div></div></body>"
     assert [line for line in html.main_text(page).split("\n") if not line.startswith("Teaser")] == ["Title", LONG, "Short.", LONG]
+
+
+def test_links_inside_the_article_stay():
+    page = (
+        f'<body><article><h1><a href="/t">Title</a></h1><p>{LONG}</p><p><a href="/x">One link.</a></p><p>{LONG}</p>'
+        '<ul><li><a href="/1">First source</a></li><li><a href="/2">Second source</a></li></ul></article></body>'
+    )
+    assert html.main_text(page).split("\n") == ["Title", LONG, "One link.", LONG, "First source", "Second source"]
+    page = f'<body><div><h1><a href="/t">Title</a></h1><p>{LONG}</p><p><a href="/x">One link.</a></p><p>{LONG}</p></div></body>'
+    assert html.main_text(page).split("\n") == ["Title", LONG, "One link.", LONG]
+
+
+def test_linked_text_is_counted_after_decoding():
+    (block,) = html.blocks('<p>some text <a href="/">a &amp;\n      b</a></p>')
+    assert block.text == "some text a & b" and block.linked == 5

@@ -25,8 +25,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def plan(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan
+from plan_text import plan
 from pingloom import schemas
 from pingloom.plans.fact import build_fact
 from pingloom.sources import fact_table, warehouse

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan
+from plan_text import plan
 from pingloom.operators import retention, trajectory
 from pingloom.operators.latest import last_n, latest, latest_by_rank
 

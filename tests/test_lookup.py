@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan
+from plan_text import plan
 from pingloom.functions import labels, motion
 from pingloom.operators import legacy, quality, serialize
 from pingloom.operators.latest import latest

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan
+from plan_text import plan
 from pingloom.functions import geo
 from pingloom.operators import near
 

@@ -2,7 +2,7 @@ from dataclasses import replace
 
 import pytest
 
-from conftest import plan
+from plan_text import plan
 from pingloom import schemas
 from pingloom.plans import network
 from pingloom.sources import network_tables

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import plan
+from plan_text import plan
 from testbed import queries
 
 SF = "/root/testdata/sf0.001"

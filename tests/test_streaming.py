@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from conftest import plan
+from plan_text import plan
 from pingloom import schemas
 from pingloom.operators import ingest
 from pingloom.operators.latest import latest

@@ -1,26 +1,7 @@
-import re
-
 import pytest
+from llm_helpers import CLASHES, read
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def lowered(text):
-    """ASCII capitals as small letters."""
-    return "".join(c.lower() if c.isascii() else c for c in text or "")
-
-
-def read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-# Names that operators use for what they add or for themselves.
-CLASHES = [
-    "kept", "block", "slot", "place", "n_words", "score", "component_id", "rep", "key", "n", "u", "v", "bucket", "training",
-    "start", "ids", "file", "record", "removed", "epoch", "text_u", "cosine", "item", "turns",
-]
-
 
 @pytest.fixture(scope="session")
 def odd_documents(spark):

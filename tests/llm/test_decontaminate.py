@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import read
+from llm_helpers import read
 
 from pingloom.llm import decontaminate
 

@@ -1,7 +1,7 @@
 import html as plain
 import re
 
-from conftest import read
+from llm_helpers import read
 
 from pingloom.llm import html
 

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import CLASHES
+from llm_helpers import CLASHES
 
 from pingloom.llm import mixing
 

@@ -1,46 +1,14 @@
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import WORD, lowered, read
+from llm_helpers import near_groups, read, smallest
 
 from pingloom.llm import near_dedup
 from pingloom.llm.components import components
 
 
-def smallest(nodes, edges):
-    up = {n: n for n in nodes}
-
-    def top(x):
-        while up[x] != x:
-            x = up[x]
-        return x
-
-    for a, b in edges:
-        a, b = top(a), top(b)
-        up[max(a, b)] = min(a, b)
-    return {n: top(n) for n in nodes}
-
-
-def shingles(text, width):
-    words = WORD.findall(lowered(text))
-    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset()
-
-
-def expected(rows, width):
-    sets = {i: shingles(t, width) for i, t in rows}
-    holders = defaultdict(list)
-    for i, s in sets.items():
-        for x in s:
-            holders[x].append(i)
-    links = []
-    for i, s in sets.items():
-        shared = Counter(j for x in s for j in holders[x] if j < i)
-        links += [(i, j) for j, n in shared.items() if 100 * n >= 80 * (len(s) + len(sets[j]) - n)]
-    return sets, smallest(sets, links)
-
-
 @pytest.mark.parametrize("width", [4, 5])
 def test_groups_match_brute_force(spark, width):
     extra = [
@@ -49,7 +17,7 @@ def test_groups_match_brute_force(spark, width):
     ]
     documents = read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
     documents = documents.union(spark.createDataFrame(extra, "doc_id long, text string"))
-    sets, first = expected([tuple(r) for r in documents.collect()], width)
+    sets, first = near_groups([tuple(r) for r in documents.collect()], width)
     for r in near_dedup.groups(documents, width).collect():
         i = r["doc_id"]
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets[i]), first[i], first[i] == i)
@@ -65,7 +33,7 @@ def test_chains_through_a_group_of_copies(spark):
         words[pick.randrange(120)] = f"new{i}"
         rows.append((i, " ".join(words)))
     rows += [(100 + i, " ".join(f"v{(i * 7 + k) % 40}" for k in range(60))) for i in range(40)]
-    _, first = expected(rows, 4)
+    _, first = near_groups(rows, 4)
     found = {r["doc_id"]: r["component_id"] for r in near_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == first
 
@@ -93,7 +61,7 @@ def test_sketches_estimate_similarity():
 def test_keeping_the_first(spark, sf_dir):
     documents = read(spark, sf_dir, "documents")
     kept = near_dedup.keep_first(documents)
-    _, first = expected([(r["doc_id"], r["text"]) for r in documents.collect()], 5)
+    _, first = near_groups([(r["doc_id"], r["text"]) for r in documents.collect()], 5)
     assert kept.columns == documents.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, c in first.items() if i == c)
 

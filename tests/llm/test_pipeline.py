@@ -5,8 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import read
-from test_near_dedup import expected as first_of_group
+from llm_helpers import near_groups as first_of_group, read
 from tokenizers import Tokenizer
 
 import corpus_pipeline

@@ -3,7 +3,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from conftest import WORD, lowered, read
+from llm_helpers import WORD, lowered, read
 
 from pingloom.llm import scoring
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import read
+from llm_helpers import read
 
 from pingloom.llm import exchange, run_index, substrings
 

@@ -6,7 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import zstandard
-from conftest import read
+from llm_helpers import read
 from tokenizers import Tokenizer
 
 from pingloom.llm import pretokens, token_files

@@ -61,7 +61,7 @@ def terms(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lead = np.concatenate(([False], raw[:-1] == 0xC3))
     low = low + (0x20 * (lead & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97))).astype(np.uint8)
     first, last, owner = T.runs(_TERM[raw], at)
-    return T.span_hashes(T.prefix_hashes(low), first, last), owner
+    return T.span_hashes(low, first, last), owner
 
 
 def slot(hashes: np.ndarray) -> np.ndarray:

@@ -49,7 +49,7 @@ def sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     raw, at = T.view(texts)
     raw = T.LOWER[raw]
     first, last, owner = T.words(raw, at)
-    return T.distinct(*T.shingles(T.span_hashes(T.prefix_hashes(raw), first, last), owner, len(at) - 1, width))
+    return T.distinct(*T.shingles(T.span_hashes(raw, first, last), owner, len(at) - 1, width))
 
 
 def minima(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:

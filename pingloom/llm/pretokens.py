@@ -3,7 +3,7 @@
 The split is the pattern of the byte-level pre-tokenizer,
 ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``, on arrays of code points. Merges
 never cross a pre-token, so the ids of a text are those of its pre-tokens in a row; the ids themselves always come from
-the tokenizer.
+the tokenizer. Pre-tokens are looked up by hash and then compared by their code points, so no two are ever mixed up.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from tokenizers import Tokenizer
 
 from pingloom.llm import text as T
 
-# Distinct pre-tokens a worker remembers; beyond that it starts afresh.
-REMEMBERED = 800_000
+# Distinct pre-tokens a worker remembers, and their code points; beyond that it starts afresh.
+REMEMBERED, REMEMBERED_CODES = 400_000, 4_000_000
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 0
 # The code points of the Unicode property White_Space.
 _WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -89,9 +89,11 @@ class Encoder:
         self.slots = np.empty(0, np.int32)
         self.begin = np.zeros(1, np.int64)
         self.ids = np.empty(0, np.uint32)
+        self.code_begin = np.zeros(1, np.int64)
+        self.codes = np.empty(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        """Remember the ids of new pre-tokens, given in the order of their hashes."""
+    def _learn(self, hashes: np.ndarray, words: list[bytes], codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        """Remember the ids of new pre-tokens, given in the order of their hashes, and their code points."""
         merge = self.tokenizer.model.tokenize
         lists = [[t.id for t in merge(w.decode("latin-1").translate(_LETTERS))] for w in words]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -100,6 +102,15 @@ class Encoder:
         self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, number)
         self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(size)))
         self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))))
+        self.code_begin = np.concatenate((self.code_begin, self.code_begin[-1] + np.cumsum(last - first)))
+        self.codes = np.concatenate((self.codes, *[codes[x:y] for x, y in zip(first, last)]))
+
+    def _same(self, slot: np.ndarray, codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> bool:
+        """Whether every pre-token, one after the other in a text, is the one remembered in its slot."""
+        size = last - first
+        if not np.array_equal(size, self.code_begin[slot + 1] - self.code_begin[slot]):
+            return False
+        return np.array_equal(codes, self.codes[np.arange(len(codes)) + np.repeat(self.code_begin[slot] - first, size)])
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash in the table, -1 for those that are not there."""
@@ -119,17 +130,17 @@ class Encoder:
         cuts = T.points(raw)[at]
         first = split(codes, cuts)
         last = np.append(first[1:], len(codes))
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(T.mix(codes.astype(np.uint64) + np.uint64(1)) * T.powers(T.BASE, len(codes)), out=sums[1:])
-        kinds, example, which = np.unique(T.span_hashes(sums, first, last), return_index=True, return_inverse=True)
-        if len(self.hashes) + len(kinds) > REMEMBERED:
+        kinds, example, which = np.unique(T.span_hashes(codes, first, last), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(kinds) > REMEMBERED or len(self.codes) > REMEMBERED_CODES:
             self._forget()
         new = np.flatnonzero(self._find(kinds) < 0)
         if len(new):
             begin = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
             a, b = first[example[new]], last[example[new]]
-            self._learn(kinds[new], [whole[x:y] for x, y in zip(begin[a].tolist(), begin[b].tolist())])
+            self._learn(kinds[new], [whole[x:y] for x, y in zip(begin[a].tolist(), begin[b].tolist())], codes, a, b)
         slot = self.slots[self._find(kinds)][which] if len(kinds) else np.empty(0, np.int32)
+        if not self._same(slot, codes, first, last):
+            return self._one_by_one(texts)
         start = self.begin[slot]
         length = self.begin[slot + 1] - start
         before = np.zeros(len(slot) + 1, np.int64)

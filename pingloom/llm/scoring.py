@@ -54,7 +54,7 @@ class Grams:
             raw, at = T.view(piece.column("text"))
             raw = T.LOWER[raw]
             first, last, own = T.words(raw, at)
-            hashes.append(T.span_hashes(T.prefix_hashes(raw), first, last))
+            hashes.append(T.span_hashes(raw, first, last))
             owner.append(own + done)
             done += piece.num_rows
         word, own = np.concatenate([np.empty(0, np.uint64), *hashes]), np.concatenate([np.empty(0, np.int64), *owner])

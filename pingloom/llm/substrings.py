@@ -91,7 +91,7 @@ class Segments:
             lo = int(g) * size
             sums = T.prefix_hashes(self.raw[lo : lo + size + 2 * WIDTH + REACH])
             first = self.first[chosen[rows]] - lo
-            out[rows] = T.span_hashes(sums, first, first + self.many[chosen[rows]] + WIDTH - 1)
+            out[rows] = T.short_hashes(sums, first, first + self.many[chosen[rows]] + WIDTH - 1)
         return out
 
 

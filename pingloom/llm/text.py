@@ -35,16 +35,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+# Numbers kept for places, and powers kept; what few long spans and buffers need beyond that is made for them.
+_KEPT, _KEPT_POWERS = 1 << 16, 1 << 20
+
+
+def _numbers(n: int) -> np.ndarray:
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 @cache
-def _table(base: int, size: int) -> np.ndarray:
-    powers = np.full(size, base, dtype=np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
+def _multipliers() -> np.ndarray:
+    return _numbers(_KEPT)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+@cache
+def _table(base: int) -> np.ndarray:
+    return _powers(base, _KEPT_POWERS)
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """The powers of a base modulo 2**64; tables double in size, so few are ever made."""
-    return _table(base, 1 << max(20, int(n - 1).bit_length()))[:n]
+    """The powers of a base modulo 2**64."""
+    return _table(base)[:n] if n <= _KEPT_POWERS else _powers(base, n)
 
 
 def view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,15 +119,44 @@ def points(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def multipliers(n: int) -> np.ndarray:
+    """The first ``n`` of a fixed sequence of 64-bit numbers without structure."""
+    return _multipliers()[:n] if n <= _KEPT else _numbers(n)
+
+
+def span_hashes(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes (or code points) of each span; equal ones give equal hashes wherever they stand.
+
+    A sum of the values times a number that stands for their place in the span. No texts collide by their make, as they do
+    with a polynomial modulo a power of two; two given different spans of bytes agree with probability 2**-56 at most.
+    """
+    size = last - first
+    out = np.zeros(len(size), np.uint64)
+    full = np.flatnonzero(size > 0)
+    if len(full):
+        begin = np.cumsum(size) - size
+        place = np.arange(begin[-1] + size[-1])
+        values = raw[place + np.repeat(first - begin, size)].astype(np.uint64)
+        place -= np.repeat(begin, size)
+        values += np.uint64(1)
+        values *= multipliers(int(size.max()))[place]
+        out[full] = np.add.reduceat(values, begin[full])
+    return mix(out + size.astype(np.uint64))
+
+
 def prefix_hashes(raw: np.ndarray) -> np.ndarray:
-    """n + 1 running sums from which the hash of any span follows by ``span_hashes``."""
+    """n + 1 running sums from which the hash of any short window follows by ``window_hashes`` and ``short_hashes``.
+
+    These are polynomials modulo 2**64, for which there are texts of 1024 bytes that collide by their make: windows must be
+    shorter than that.
+    """
     sums = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum(_CODES[raw] * powers(BASE, len(raw)), out=sums[1:])
     return sums
 
 
-def span_hashes(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span; equal bytes give equal hashes wherever they stand."""
+def short_hashes(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each of some short spans, which may overlap."""
     h = (sums[last] - sums[first]) * powers(_INVERSE, len(sums))[first]
     return mix(h + (last - first).astype(np.uint64))
 

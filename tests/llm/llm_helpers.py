@@ -22,6 +22,19 @@ CLASHES = [
 ]
 
 
+
+def twins(doublings):
+    """Two words of letters a and b whose polynomial hashes modulo 2**64 agree for every base from ten doublings on."""
+    word = "ab"
+    for _ in range(doublings - 1):
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+# One text per twin, for words, and one for runs of letters behind a blank.
+TWINS = [text for n in (10, 11, 12) for text in twins(n)]
+
+
 def smallest(nodes, edges):
     up = {n: n for n in nodes}
 

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from llm_helpers import near_groups, read, smallest
+from llm_helpers import TWINS, near_groups, read, smallest
 
 from pingloom.llm import near_dedup
 from pingloom.llm.components import components
@@ -15,6 +15,7 @@ def test_groups_match_brute_force(spark, width):
         (5000, "a b c d e"), (5001, "A B c D e"), (5004, " \n "), (5005, "one two"), (5006, "One  TWO"), (5007, "one"),
         (5008, "x " * 40), (5009, "x " * 50), (5010, "É b c d e f"), (5011, "é b c d e f"),
     ]
+    extra += [(6000 + k, t) for k, t in enumerate(TWINS)] + [(6100 + k, f"one {t} two {t} three") for k, t in enumerate(TWINS)]
     documents = read(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
     documents = documents.union(spark.createDataFrame(extra, "doc_id long, text string"))
     sets, first = near_groups([tuple(r) for r in documents.collect()], width)

@@ -3,7 +3,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from llm_helpers import WORD, lowered, read
+from llm_helpers import TWINS, WORD, lowered, read
 
 from pingloom.llm import scoring
 
@@ -41,6 +41,8 @@ def expected(rows, order, mass):
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_scores_match_brute_force(spark, sf_dir, odd_documents, order):
     documents = read(spark, sf_dir, "documents").select("doc_id", "text").unionByName(odd_documents.select("doc_id", "text"))
+    crafted = [(7000 + k, f"{t} and {t}") for k, t in enumerate(TWINS)]
+    documents = documents.unionByName(spark.createDataFrame(crafted, "doc_id long, text string"))
     rows = scoring.score(documents, order=order, mass=20.0).collect()
     found = sorted([(*r[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in rows], key=str)
     wanted = expected([tuple(r) for r in documents.collect()], order, 20.0)

@@ -6,7 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import zstandard
-from llm_helpers import read
+from llm_helpers import TWINS, read
 from tokenizers import Tokenizer
 
 from pingloom.llm import pretokens, token_files
@@ -33,6 +33,25 @@ def test_encoder_agrees_with_the_tokenizer(tokenizer, known):
             assert ids[at[k] : at[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_texts_of_equal_polynomials_are_told_apart(tokenizer):
+    encoder = pretokens.Encoder(PATH)
+    for texts in (TWINS, [" ".join(TWINS), " ".join(reversed(TWINS))]):
+        ids, at = encoder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [
+            tokenizer.encode(t, add_special_tokens=False).ids for t in texts
+        ]
+
+
+def test_equal_hashes_do_not_mix_up_texts(tokenizer, monkeypatch):
+    """Every pre-token gets the same hash; what is remembered is compared and the tokenizer asked."""
+    monkeypatch.setattr(pretokens.T, "span_hashes", lambda codes, first, last: np.zeros(len(first), np.uint64))
+    encoder = object.__new__(pretokens.Encoder)
+    encoder.tokenizer, encoder.special = tokenizer, []
+    encoder._forget()
+    for text in ("aaa", "bbb", "one two"):
+        assert encoder.encode(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_encoder_forgets_and_goes_on(tokenizer, monkeypatch):
     monkeypatch.setattr(pretokens, "REMEMBERED", 30)
     encoder = pretokens.Encoder(PATH)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingloom.llm import chat, decontaminate, html, mixing, near_dedup, rules, scoring, secrets, substrings, token_files
+from pingloom.llm import (
+    chat, clustering, decontaminate, html, mixing, near_dedup, pii, rules, scoring, secrets, substrings, token_files, variants,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
@@ -86,15 +88,80 @@ def op10_run_index(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_anchor_expansion(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(_table(spark, sf, "documents"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    fixed = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(joined(fixed), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(fixed)).cast("long").alias("n_added"),
+    )
+
+
+def op12_subvector_dictionaries(spark: SparkSession, sf: str) -> DataFrame:
+    return clustering.described(clustering.cluster(_table(spark, sf, "embeddings")))
+
+
+def op13_partenum_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.group(_table(spark, sf, "documents"))
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_pfair_mix, op2_latent_leaks, op3_tag_paths, op4_quality_rules, op5_chat_format,
         op6_backoff_automaton, op7_secret_formats, op8_odd_sketches, op9_token_files, op10_run_index,
+        op11_anchor_expansion, op12_subvector_dictionaries, op13_partenum_variants,
     )
 }
 
+
+
+def _clustering_sql(k: int, rounds: int, dimensions: int, scale: int) -> str:
+    """Lloyd's rounds over whole-number vectors, one pair of statements a round."""
+    apart = f"list_sum(list_transform(range(1, {dimensions + 1}), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i])))"
+    parts = [f"""
+        WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dimensions} AND len(embedding) = {dimensions}
+        ), centroids0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v
+            FROM kept QUALIFY c < {k}
+        )"""]
+    for n in range(rounds + 1):
+        parts.append(f"""assigned{n} AS (
+            SELECT p.r, p.vec_id, p.v, min(row({apart}, c.c)) AS best
+            FROM kept AS p CROSS JOIN centroids{n} AS c GROUP BY p.r, p.vec_id, p.v
+        )""")
+        if n < rounds:
+            parts.append(f"""centroids{n + 1} AS (
+            SELECT c.c, coalesce(m.v, c.v) AS v FROM centroids{n} AS c LEFT JOIN (
+                SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+                    SELECT best[2] AS c, i, sum(v[i]) AS s, count(*) AS n
+                    FROM assigned{n}, range(1, {dimensions + 1}) AS t (i) GROUP BY best[2], i
+                ) GROUP BY c
+            ) AS m ON m.c = c.c
+        )""")
+    return ",".join(parts) + f"""
+        SELECT a.vec_id, CAST(a.best[2] AS INTEGER) AS cluster, CAST(a.best[1] AS BIGINT) AS distance,
+            CAST(sum(a.best[1]) OVER (PARTITION BY a.best[2]) AS BIGINT) AS cluster_inertia,
+            CAST(sum(a.best[1]) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM assigned{rounds} AS a JOIN centroids{rounds} AS c ON c.c = a.best[2]
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op12_subvector_dictionaries": _clustering_sql(clustering.K, clustering.ROUNDS, clustering.DIMENSIONS, clustering.SCALE),
     "op5_chat_format": r"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -17,6 +17,8 @@ def test_names_and_columns(spark, sf_dir):
         6: "doc_id held_out n_tokens n_known train_tokens base_score score",
         7: "doc_id n_assign n_access n_hex base_sha256 spans", 8: "doc_id n_shingles component_id kept",
         9: "doc_id start n_tokens ids_crc32", 10: "doc_id n_bytes n_removed n_spans kept_sha256",
+        11: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+        12: "vec_id cluster distance cluster_inertia inertia centroid_sha256", 13: "word form root n n_near form_n",
     }
     by_number = {int(n.split("_")[0][2:]): q for n, q in queries.ALL.items()}
     assert set(by_number) == set(wanted)

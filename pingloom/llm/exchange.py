@@ -11,11 +11,16 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from pingloom.llm.frames import dealt
 
-def bucket_bounds(keys: np.ndarray, n: int) -> np.ndarray:
-    """Where each of ``n`` equal ranges of the key space begins in sorted keys, and the end."""
-    edges = np.array([(b << 64) // n for b in range(1, n)], dtype=np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
+
+def bucket_runs(keys: np.ndarray, n: int) -> list[tuple[int, slice]]:
+    """The buckets that sorted keys fall into, of ``n`` equal ranges of the key space, and which keys each gets."""
+    if len(keys) == 0:
+        return []
+    bucket = ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]))
+    return [(int(bucket[x]), slice(x, y)) for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -47,12 +52,10 @@ TOLD_SQL = "block int, keys binary"
 
 def key_rows(block: int, keys: np.ndarray, several: np.ndarray, n_buckets: int) -> pa.Table:
     """A block's distinct sorted keys, dealt to buckets, with a mark on those that several of its documents have."""
-    bounds = bucket_bounds(keys, n_buckets)
-    full = np.flatnonzero(np.diff(bounds))
-    own = [slice(bounds[b], bounds[b + 1]) for b in full]
+    full = bucket_runs(keys, n_buckets)
     return pa.table({
-        "bucket": full, "block": np.full(len(full), block), "keys": [pack_sorted(keys[s]) for s in own],
-        "several": [np.packbits(several[s]).tobytes() for s in own],
+        "bucket": [b for b, _ in full], "block": np.full(len(full), block), "keys": [pack_sorted(keys[s]) for _, s in full],
+        "several": [np.packbits(several[s]).tobytes() for _, s in full],
     }, KEYS)
 
 
@@ -70,9 +73,9 @@ def _tell_shared(table: pa.Table) -> pa.Table:
     return pa.table({"block": [b for b, _ in rows], "keys": [k for _, k in rows]}, TOLD)
 
 
-def shared_keys(sent: DataFrame) -> DataFrame:
+def shared_keys(sent: DataFrame, n_buckets: int) -> DataFrame:
     """Tell each block which of the keys it sent occur in several documents of the corpus."""
-    return sent.groupBy("bucket").applyInArrow(_tell_shared, TOLD_SQL)
+    return dealt(sent, "bucket", n_buckets).groupBy("bucket").applyInArrow(_tell_shared, TOLD_SQL)
 
 
 def read_keys(told: pa.Table) -> np.ndarray:

@@ -78,9 +78,17 @@ def block_count(df: DataFrame, block_bytes: int = BLOCK_BYTES, column: str = "te
     return max(shuffle_partitions(df.sparkSession), math.ceil(plain / block_bytes))
 
 
-def block_of(n: int, *keys: str) -> Column:
+def block_of(n: int | Column, *keys: str) -> Column:
     """Block number of a row, by a hash of some columns."""
-    return F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+    return F.pmod(F.xxhash64(*keys), n if isinstance(n, Column) else F.lit(n)).cast("int")
+
+
+def dealt(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows gathered by a number from 0 to n - 1 into so many partitions that one holds about one number.
+
+    A grouped function over ``key`` uses this partitioning, whatever ``spark.sql.shuffle.partitions`` says.
+    """
+    return rows.repartition(max(n, shuffle_partitions(rows.sparkSession)), key)
 
 
 def hashed_sums(parts: DataFrame, size: int, *names: str) -> dict[str, np.ndarray]:

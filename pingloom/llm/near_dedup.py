@@ -10,11 +10,19 @@ others are confirmed on the full sets.
 Buckets are never expanded into all pairs. Of the documents in any bucket it is counted how many of their shingles
 another such document has at all, which bounds what they can share with anyone. First every member of a bucket is compared
 with one leader, the member with the largest share of such shingles, and then with another from outside of the largest
-component, which gathers groups of copies. Then the members outside of a bucket's largest component are compared with the
-members of other components, as far as sizes, bound and sketches allow a link, each pair in the first bucket it shares. So
-each pair that may still join two components is looked at, and pairs inside a component never are.
+component, which gathers groups of copies. Pairs inside a component are never looked at again; what is left are the members
+outside of a bucket's largest component, against those of other components:
 
-Defined cases: a null or empty text, or one without words, has no shingles and no links; a text with fewer words than a
+* in a bucket of at most ``SMALL`` members, pair by pair, as far as sizes, bound and sketches allow a link, each pair in the
+  first bucket it shares;
+* in a larger one, blocks of whole sets against blocks: all intersections of two blocks are counted at once, in one task of
+  bounded size, and only links come out. So a group of thousands of copies that are similar to each other, but not enough,
+  makes no rows of pairs; a member is sent to as many tasks as its bucket has blocks of ``BLOCK_SHINGLES``. The counting itself
+  is quadratic in what two leaders have left of a bucket; for that part there is no exact way around it.
+
+Every link is confirmed on full sets.
+
+Defined cases: a null or empty text, or one without words, has no shingles and no links; very long texts are handled whole; a text with fewer words than a
 shingle is one shingle; a null ``doc_id`` has no links, a null component and is kept; rows of equal id count as linked to
 each other's classes; extra columns are ignored by ``groups`` and kept by ``keep_first``; no rows give no rows.
 """
@@ -25,19 +33,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
 from pingloom.llm.components import components
 from pingloom.llm.exchange import KEYS_SQL, is_among, key_rows, read_keys, shared_keys
-from pingloom.llm.frames import block_count, block_of, prepare, tidied
+from pingloom.llm.frames import block_count, block_of, dealt, prepare, tidied
 from pingloom.session import spool
 
 BANDS, ROWS = 32, 4
 SAMPLES = 384
 SKETCH_BITS = 1536
 SURE = 0.69
+# Members of a bucket that is expanded into pairs; shingles in a block of a larger one.
+SMALL, BLOCK_SHINGLES = 64, 1 << 18
 _RANDOM = np.random.default_rng(20240811)
 _FACTORS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
@@ -124,31 +135,54 @@ def _sided(nodes: DataFrame, side: str, *more: str) -> DataFrame:
     return nodes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "common", "sketch", *more)])
 
 
-def _common(texts: DataFrame, width: int) -> DataFrame:
+def packed_sets(texts: DataFrame, width: int) -> DataFrame:
+    """``doc_id`` and its sorted distinct shingle hashes as bytes."""
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in T.pieces(batch):
+                hashes, owner = sets(piece.column("text"), width)
+                at = 8 * np.searchsorted(owner, np.arange(piece.num_rows + 1))
+                packed = pa.Array.from_buffers(
+                    pa.binary(), piece.num_rows, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(hashes.tobytes())]
+                )
+                yield pa.RecordBatch.from_pydict({"doc_id": piece.column("doc_id"), "hashes": packed})
+
+    return texts.mapInArrow(run, "doc_id long, hashes binary")
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all sets in a row, and the row number of each."""
+    raw, at = T.view(column)
+    return np.frombuffer(raw.tobytes(), np.uint64), np.repeat(np.arange(len(at) - 1), np.diff(at) // 8)
+
+
+def _common(held: DataFrame) -> DataFrame:
     """``rep`` and ``common``: how many shingles of each document some other document of the table has."""
-    n = block_count(texts)
-    blocks = texts.select(block_of(n, "doc_id").alias("block"), "doc_id", "text").groupBy("block")
+    n = block_count(held, column="hashes")
+    blocks = dealt(held.select(block_of(n, "doc_id").alias("block"), "doc_id", "hashes"), "block", n).groupBy("block")
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
-        hashes, _ = sets(table["text"], width)
+        hashes, _ = unpacked(table["hashes"])
         kinds, times = np.unique(hashes, return_counts=True)
         return key_rows(key[0].as_py(), kinds, times > 1, n)
 
     def count(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         if table.num_rows == 0:
             return pa.table({"rep": pa.array([], pa.int64()), "common": pa.array([], pa.int64())})
-        hashes, owner = sets(table["text"], width)
+        hashes, owner = unpacked(table["hashes"])
         return pa.table({"rep": table["doc_id"], "common": T.counts(owner, table.num_rows, is_among(hashes, read_keys(told)))})
 
-    told = shared_keys(blocks.applyInArrow(send, KEYS_SQL))
+    told = shared_keys(blocks.applyInArrow(send, KEYS_SQL), n)
     return blocks.cogroup(told.groupBy("block")).applyInArrow(count, "rep long, common long")
 
 
-def _confirmed(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(held: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (``u``, ``v``) of documents whose full sets are similar enough."""
     both = (
-        pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
-        .join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
+        pairs.join(held.select(F.col("doc_id").alias("u"), F.col("hashes").alias("set_u")), "u")
+        .join(held.select(F.col("doc_id").alias("v"), F.col("hashes").alias("set_v")), "v")
     )
 
     @tidied
@@ -156,8 +190,8 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, width: int, percent: int) ->
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                h, t = sets(part.column("text_u"), width)
-                g, s = sets(part.column("text_v"), width)
+                h, t = unpacked(part.column("set_u"))
+                g, s = unpacked(part.column("set_v"))
                 n, m = T.counts(t, part.num_rows), T.counts(s, part.num_rows)
                 hashes, owner = np.concatenate((h, g)), np.concatenate((t, s))
                 order = np.lexsort((hashes, owner))
@@ -166,7 +200,89 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, width: int, percent: int) ->
                 linked = pa.array(100 * shared >= percent * (n + m - shared))
                 yield pa.RecordBatch.from_pydict({"u": part.column("u").filter(linked), "v": part.column("v").filter(linked)})
 
-    return both.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
+    return both.select("u", "v", "set_u", "set_v").mapInArrow(run, LINKS)
+
+
+LINKS = "u long, v long"
+
+
+def intersections(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+    """Sizes of the intersections of the sets of two blocks, each given as hashes, set numbers and number of sets.
+
+    Hashes that many sets of both blocks have are counted by a product of matrices, the others one by one.
+    """
+    (h, t, n), (g, s, m) = a, b
+    out = np.zeros(n * m, np.float32)
+    kinds = np.intersect1d(h, g)
+    if len(kinds) == 0:
+        return out.reshape(n, m)
+    sides = []
+    for hashes, owner in ((h, t), (g, s)):
+        own = is_among(hashes, kinds)
+        which, owner = np.searchsorted(kinds, hashes[own]), owner[own]
+        order = np.argsort(which, kind="stable")
+        sides.append((which[order], owner[order], np.bincount(which, minlength=len(kinds))))
+    (x, t, times), (y, s, others) = sides
+    dense = times * others * 100 > n * m
+    for lo in range(0, int(dense.sum()), 1024):
+        chosen = np.flatnonzero(dense)[lo : lo + 1024]
+        place = np.full(len(kinds), -1)
+        place[chosen] = np.arange(len(chosen))
+        left, right = np.zeros((n, len(chosen)), np.float32), np.zeros((m, len(chosen)), np.float32)
+        for matrix, which, owner in ((left, x, t), (right, y, s)):
+            inside = place[which] >= 0
+            matrix[owner[inside], place[which[inside]]] = 1
+        out += (left @ right.T).ravel()
+    rare = ~dense[x]
+    x, t = x[rare], t[rare]
+    many = others[x]
+    begin = np.cumsum(others) - others
+    for lo, hi in _runs_of(many, 1 << 20):
+        size = many[lo:hi]
+        ends = np.cumsum(size)
+        partner = np.arange(ends[-1]) + np.repeat(begin[x[lo:hi]] - (ends - size), size)
+        out += np.bincount(np.repeat(t[lo:hi], size) * m + s[partner], minlength=n * m).astype(np.float32)
+    return out.reshape(n, m)
+
+
+def _runs_of(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of entries whose sizes add up to about ``most``."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(sizes):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def _linked_blocks(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Links of the members of one block that are outside of the main component with the members of another."""
+        left, right = table.filter(table["left"]), table.filter(pc.invert(table["left"]))
+        rep_a, rep_b = left["rep"].to_numpy(), right["rep"].to_numpy()
+        if left.num_rows == 0 or right.num_rows == 0:
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        h, t = unpacked(left["hashes"])
+        g, s = unpacked(right["hashes"])
+        n, m = T.counts(t, len(rep_a)), T.counts(s, len(rep_b))
+        shared = intersections((h, t, len(rep_a)), (g, s, len(rep_b)))
+        linked = 100 * shared >= percent * (n[:, None] + m[None] - shared)
+        linked &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None]
+        a, b = np.nonzero(linked)
+        return pa.table({"u": np.maximum(rep_a[a], rep_b[b]), "v": np.minimum(rep_a[a], rep_b[b])})
+
+    return run
+
+
+def _links_in_blocks(open_buckets: DataFrame, held: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between members outside of the main component of a bucket and members of other components."""
+    members = open_buckets.join(nodes.select("rep", "n"), "rep")
+    sized = members.groupBy("key").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    members = members.join(sized, "key").withColumn("cell", block_of(F.col("blocks"), "rep"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    outside = members.filter("component != main").select("key", F.col("cell").alias("i"), other.alias("j"), "rep", "component", F.lit(True).alias("left"))
+    everyone = members.select("key", other.alias("i"), F.col("cell").alias("j"), "rep", "component", F.lit(False).alias("left"))
+    sent = outside.unionByName(everyone).join(held.withColumnRenamed("doc_id", "rep"), "rep")
+    return sent.groupBy("key", "i", "j").applyInArrow(_linked_blocks(percent), LINKS).distinct()
 
 
 def _in_buckets(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -192,9 +308,9 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 80) -> DataFrame
     buckets = spool(members.join(crowded.select("key"), "key", "left_semi"), "buckets")
     wanted = spool(buckets.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = spool(rows.join(wanted, "doc_id", "left_semi"), "texts")
+    held_sets = spool(packed_sets(rows.join(wanted, "doc_id", "left_semi"), width), "shingles")
     sizes = first.select("rep", F.col("n_shingles").alias("n"), "sketch", "bands").dropDuplicates(["rep", "n"])
-    nodes = spool(sizes.join(_common(texts, width), "rep"), "nodes")
+    nodes = spool(sizes.join(_common(held_sets), "rep"), "nodes")
     # The larger the share of a member's shingles that others have, the nearer it is to the middle of a group.
     buckets = spool(
         buckets.join(nodes.select("rep", (F.col("common") * 1_000_000 / F.col("n")).cast("long").alias("middle")), "rep"), "buckets"
@@ -222,7 +338,10 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 80) -> DataFrame
             pairs = held.join(others.groupBy("key").agg(lead), "key").filter("component != lead.component")
             pairs = pairs.select(F.col("rep").alias("rep_a"), (-F.col("lead.minus")).alias("rep_b"))
         else:
-            left = others.select("key", F.col("component").alias("c_a"), "rep")
+            sized = spool(held.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "sizes")
+            large = held.join(sized.filter(F.col("members") > SMALL).select("key"), "key", "left_semi")
+            held = held.join(sized.filter(F.col("members") <= SMALL).select("key"), "key", "left_semi")
+            left = held.filter("component != main").select("key", F.col("component").alias("c_a"), "rep")
             right = held.select("key", F.col("component").alias("c_b"), "main", "rep")
             left = left.join(_sided(nodes, "a", "bands"), F.col("rep") == F.col("rep_a")).drop("rep")
             right = right.join(_sided(nodes, "b", "bands"), F.col("rep") == F.col("rep_b")).drop("rep")
@@ -231,7 +350,10 @@ def groups(documents: DataFrame, width: int = 4, percent: int = 80) -> DataFrame
             pairs = left.join(right, "key").filter(apart & _may_link(percent) & first_shared)
         chosen = spool(worth_testing(pairs, tested), "pairs")
         tested = chosen if tested is None else tested.unionByName(chosen)
-        found = spool(_confirmed(texts, chosen, width, percent), "links")
+        found = _confirmed(held_sets, chosen, percent)
+        if stage == "rest":
+            found = found.unionByName(_links_in_blocks(large, held_sets, nodes, percent))
+        found = spool(found, "links")
         if links is None or found.take(1):
             links = found if links is None else links.unionByName(found)
             labels = components(links)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
-from pingloom.llm.exchange import KEYS_SQL, bucket_bounds, is_among, key_rows, pack, read_keys, shared_keys, unpack
+from pingloom.llm.exchange import KEYS_SQL, bucket_runs, is_among, key_rows, pack, read_keys, shared_keys, unpack
 from pingloom.llm.frames import block_count, block_of, prepare
 from pingloom.llm.run_index import build, window_classes
 
@@ -167,9 +167,7 @@ def _send_segments(n_buckets: int):
         one = chosen[example]
         order = np.argsort(found.anchor[one], kind="stable")
         one, digests, least = one[order], digests[order], least[order]
-        bounds = bucket_bounds(found.anchor[one], n_buckets)
-        for b in np.flatnonzero(np.diff(bounds)):
-            own = slice(bounds[b], bounds[b + 1])
+        for b, own in bucket_runs(found.anchor[one], n_buckets):
             many = found.many[one[own]]
             _put(
                 rows, b, key[0].as_py(), pack(digests[own]), pack(many.astype(np.uint8)), pack(least[own]),
@@ -291,7 +289,7 @@ def deduplicate(documents: DataFrame) -> DataFrame:
     n = block_count(rows, BLOCK_BYTES)
     blocks = rows.select(block_of(n, "doc_id", "text").alias("block"), "doc_id", "text")
     by_block = blocks.groupBy("block")
-    shared = shared_keys(by_block.applyInArrow(_send_anchors(n), KEYS_SQL))
+    shared = shared_keys(by_block.applyInArrow(_send_anchors(n), KEYS_SQL), n)
     segments = by_block.cogroup(shared.groupBy("block")).applyInArrow(_send_segments(n * BUCKETS_PER_BLOCK), _sql(SEGMENTS))
     told = segments.groupBy("bucket").applyInArrow(_match, _sql(TOLD))
     return by_block.cogroup(told.groupBy("block")).applyInArrow(_mark, _sql(KEPT))

@@ -39,6 +39,31 @@ def test_chains_through_a_group_of_copies(spark):
     assert found == first
 
 
+def test_groups_of_copies_in_several_components(spark, monkeypatch):
+    """Three hundred copies of a text without some of its words: most are similar, few enough to link."""
+    monkeypatch.setattr(near_dedup, "SMALL", 20)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 2000)
+    pick = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        dropped = set(pick.sample(range(150), pick.randint(0, 10)))
+        rows.append((i, " ".join(w for k, w in enumerate(base) if k not in dropped)))
+    _, first = near_groups(rows, 4)
+    assert len(set(first.values())) > 100
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == first
+
+
+def test_intersections_of_blocks():
+    pick = np.random.default_rng(3)
+    for n, m, kinds in ((5, 7, 20), (300, 200, 60), (40, 1, 400)):
+        a = [np.unique(pick.integers(0, kinds, 40)) for _ in range(n)] + [np.empty(0, np.int64)]
+        b = [np.unique(np.concatenate((pick.integers(0, kinds, 30), pick.integers(1000, 3000, 30)))) for _ in range(m)]
+        sides = [(np.concatenate(x).astype(np.uint64), np.repeat(np.arange(len(x)), [len(y) for y in x]), len(x)) for x in (a, b)]
+        assert near_dedup.intersections(*sides).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
+
+
 def test_components(spark):
     pick = random.Random(6)
     edges = [(pick.randrange(80), pick.randrange(80)) for _ in range(60)] + [(200 + i, 201 + i) for i in range(40)] + [(300, 300)]

@@ -209,48 +209,62 @@ LINKS = "u long, v long"
 def intersections(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
     """Sizes of the intersections of the sets of two blocks, each given as hashes, set numbers and number of sets.
 
-    Hashes that many sets of both blocks have are counted by a product of matrices, the others one by one.
+    A hash that few sets have is counted by the pairs of sets that have it, one that most sets have by the pairs that both
+    lack it, and those in between by a product of matrices.
     """
     (h, t, n), (g, s, m) = a, b
-    out = np.zeros(n * m, np.float32)
     kinds = np.intersect1d(h, g)
-    if len(kinds) == 0:
-        return out.reshape(n, m)
     sides = []
     for hashes, owner in ((h, t), (g, s)):
         own = is_among(hashes, kinds)
         which, owner = np.searchsorted(kinds, hashes[own]), owner[own]
         order = np.argsort(which, kind="stable")
         sides.append((which[order], owner[order], np.bincount(which, minlength=len(kinds))))
-    (x, t, times), (y, s, others) = sides
-    dense = times * others * 100 > n * m
+    (_, _, times), (_, _, others) = sides
+    having, lacking = times * others, (n - times) * (m - others)
+    dense = np.minimum(having, lacking) * 50 > n * m
+    flipped = ~dense & (lacking < having)
+    out = np.zeros((n, m), np.float32)
     for lo in range(0, int(dense.sum()), 1024):
-        chosen = np.flatnonzero(dense)[lo : lo + 1024]
-        place = np.full(len(kinds), -1)
-        place[chosen] = np.arange(len(chosen))
-        left, right = np.zeros((n, len(chosen)), np.float32), np.zeros((m, len(chosen)), np.float32)
-        for matrix, which, owner in ((left, x, t), (right, y, s)):
-            inside = place[which] >= 0
-            matrix[owner[inside], place[which[inside]]] = 1
-        out += (left @ right.T).ravel()
-    rare = ~dense[x]
-    x, t = x[rare], t[rare]
-    many = others[x]
-    begin = np.cumsum(others) - others
-    for lo, hi in _runs_of(many, 1 << 20):
+        left, right = (_matrix(*side[:2], np.flatnonzero(dense)[lo : lo + 1024], size) for side, size in zip(sides, (n, m)))
+        out += left.astype(np.float32) @ right.astype(np.float32).T
+    _count_pairs(out, *[_of(which, owner, ~dense & ~flipped) for which, owner, _ in sides])
+    # |a and b| = all - those a lacks - those b lacks + those both lack
+    for lo in range(0, int(flipped.sum()), 1024):
+        chosen = np.flatnonzero(flipped)[lo : lo + 1024]
+        missing = [~_matrix(*side[:2], chosen, size) for side, size in zip(sides, (n, m))]
+        out += len(chosen) - missing[0].sum(axis=1, dtype=np.float32)[:, None] - missing[1].sum(axis=1, dtype=np.float32)[None]
+        _count_pairs(out, *[np.nonzero(x.T) for x in missing])
+    return out
+
+
+def _of(which: np.ndarray, owner: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    own = chosen[which]
+    return which[own], owner[own]
+
+
+def _matrix(which: np.ndarray, owner: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` sets have each of some hashes."""
+    place = np.full(max(int(which.max(initial=0)), int(chosen.max(initial=0))) + 1, -1)
+    place[chosen] = np.arange(len(chosen))
+    inside = place[which] >= 0
+    out = np.zeros((n, len(chosen)), dtype=bool)
+    out[owner[inside], place[which[inside]]] = True
+    return out
+
+
+def _count_pairs(out: np.ndarray, left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> None:
+    """Add one for every pair of a left and a right set with the same hash; both sides are sorted by hash."""
+    (x, t), (y, s) = left, right
+    low, high = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+    many = high - low
+    ends, lo, flat = np.cumsum(many), 0, out.reshape(-1)
+    while lo < len(x):
+        done = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + (1 << 20), "right")))
         size = many[lo:hi]
-        ends = np.cumsum(size)
-        partner = np.arange(ends[-1]) + np.repeat(begin[x[lo:hi]] - (ends - size), size)
-        out += np.bincount(np.repeat(t[lo:hi], size) * m + s[partner], minlength=n * m).astype(np.float32)
-    return out.reshape(n, m)
-
-
-def _runs_of(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Runs of entries whose sizes add up to about ``most``."""
-    ends, lo = np.cumsum(sizes), 0
-    while lo < len(sizes):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
-        yield lo, hi
+        partner = np.arange(int(ends[hi - 1]) - done) + np.repeat(low[lo:hi] - (ends[lo:hi] - size - done), size)
+        np.add.at(flat, np.repeat(t[lo:hi] * out.shape[1], size) + s[partner], np.float32(1))
         lo = hi
 
 

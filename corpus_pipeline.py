@@ -6,6 +6,13 @@ in the order of the mix, and the token files are written in that order.
 
 The order of the mix is that of the rows in the files of its stage: file by file, and row by row in a file. Documents
 that do not come from files are written by ascending ``doc_id``.
+
+Defined cases: a document with a null or empty text is rejected by the quality rules; one with a null ``doc_id`` passes all
+stages, since it is a copy of none, and is dropped only for what its own text holds; very long texts are handled whole;
+rows that repeat count as copies, of which the mix and the files get what the near-duplicate stage keeps (rows of one id
+are kept or dropped together); a null source is a source of its own; ties are decided as the stages say; all but the
+last stage keep extra columns, whatever their names; an empty table gives no rows, and so does an empty benchmark
+drop none.
 """
 
 from __future__ import annotations

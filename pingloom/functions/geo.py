@@ -77,3 +77,25 @@ def geojson_point(lon: Column, lat: Column) -> Column:
 def lat_lon(coordinates: Column) -> Column:
     """``[lon, lat]`` turned into ``[lat, lon]`` for map display."""
     return F.reverse(coordinates)
+
+
+# Bits of a coordinate in a curve key; a cell is about two metres high.
+CURVE_BITS = 23
+# Steps that move the bits of a number apart: how far, and which bits are left in place.
+_SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+
+
+def _spread_bits(value: Column) -> Column:
+    for step, mask in _SPREAD:
+        value = value.bitwiseOR(F.shiftleft(value, step)).bitwiseAND(F.lit(mask))
+    return value
+
+
+def curve_key(lat: Column, lon: Column) -> Column:
+    """Place on a space-filling curve: the bits of both coordinates by turns. Near keys are near places; null without a place."""
+    cells = 1 << CURVE_BITS
+    row, column = (
+        F.least(F.greatest(F.floor((value + half) / (2 * half) * cells), F.lit(0)), F.lit(cells - 1)).cast("bigint")
+        for value, half in ((lat, 90.0), (lon, 180.0))
+    )
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.shiftleft(_spread_bits(row), 1).bitwiseOR(_spread_bits(column)))

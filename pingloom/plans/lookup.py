@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,16 +21,21 @@ class StationNotFound(LookupError):
     """No station with the requested id."""
 
 
-@dataclass(frozen=True)
 class Positions:
     """What lookups read: ``latest`` (one row per vehicle), ``history`` and ``stations``.
 
-    ``stations`` has ``id, nombre, latitud, longitud, tipo``.
+    ``stations`` has ``id, nombre, latitud, longitud, tipo``. The latest positions may be given as a function, which is
+    called for the first lookup that needs them.
     """
 
-    latest: DataFrame
-    history: DataFrame
-    stations: DataFrame
+    def __init__(self, latest: DataFrame | Callable[[], DataFrame], history: DataFrame, stations: DataFrame):
+        self._latest = latest
+        self.history = history
+        self.stations = stations
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        return self._latest if isinstance(self._latest, DataFrame) else self._latest()
 
     def lookup(self, mode: str, **params) -> DataFrame:
         """Run one mode by name; parameters may be given as text."""

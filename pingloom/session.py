@@ -79,17 +79,25 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def finished_folders(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the folders inside one that a job has finished, which its success mark tells.
+def folders(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the folders inside one.
 
     Neither this nor :func:`remove` can be said with readers and writers, so both ask the file system.
     """
     files, target = _file_system(spark, folder)
     if not files.exists(target):
         return []
-    found = [status.getPath() for status in files.listStatus(target) if status.isDirectory()]
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return [path.toString() for path in found if files.exists(mark(path, "_SUCCESS"))]
+    return [status.getPath().toString() for status in files.listStatus(target) if status.isDirectory()]
+
+
+def finished_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the folders inside one that a job has finished, which its success mark tells."""
+
+    def is_finished(path: str) -> bool:
+        files, mark = _file_system(spark, f"{path}/_SUCCESS")
+        return files.exists(mark)
+
+    return [path for path in folders(spark, folder) if is_finished(path)]
 
 
 def remove(spark: SparkSession, folder: str) -> None:

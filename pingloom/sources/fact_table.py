@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pingloom import schemas
-from pingloom.session import spool
+from pingloom.session import finished_folders, folders, remove, spool
 
 PARTITION = "fecha"
 
@@ -80,3 +80,38 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(schemas.struct(schemas.FACT)).parquet(path).select(*schemas.columns(schemas.FACT))
     )
+
+
+def _versions(paths: list[str]) -> list[int]:
+    return sorted(int(p.rpartition("=")[2]) for p in paths if p.rpartition("/")[2].startswith("v="))
+
+
+def publish_fact(fact: DataFrame, root: str, keep: int = 2) -> int:
+    """Write a whole new version of the table beside the old ones, then switch to it; its number.
+
+    The switch is a small table whose success mark names the version, written when the data is complete. Until then, and
+    after a failure, readers get the version before. Versions that are older than the last ``keep`` are deleted afterwards, so
+    readers of the version before go on undisturbed.
+    """
+    spark = fact.sparkSession
+    version = max(_versions(folders(spark, f"{root}/data")), default=0) + 1
+    _laid_out(fact).write.partitionBy(PARTITION).parquet(f"{root}/data/v={version}")
+    spark.range(1).coalesce(1).write.parquet(f"{root}/current/v={version}")
+    published = _versions(finished_folders(spark, f"{root}/current"))
+    for old in _versions(folders(spark, f"{root}/data")):
+        if old < version and old not in published[-keep:]:
+            remove(spark, f"{root}/current/v={old}")
+            remove(spark, f"{root}/data/v={old}")
+    return version
+
+
+def published_version(spark: SparkSession, root: str) -> int | None:
+    """The version that readers get."""
+    return max(_versions(finished_folders(spark, f"{root}/current")), default=None)
+
+
+def read_published(spark: SparkSession, root: str) -> DataFrame:
+    version = published_version(spark, root)
+    if version is None:
+        return spark.createDataFrame([], schemas.struct(schemas.FACT))
+    return read_fact(spark, f"{root}/data/v={version}")

@@ -50,8 +50,7 @@ def _metres(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
       + cos(radians({lat1})) * cos(radians({lat2})) * power(sin(radians({lon2} - {lon1}) / 2e0), 2e0))))"""
 
 
-_FACT = f"""WITH {_POS}
-SELECT bus_id, ruta, escenario, estado, "timestamp" AS ts_evento, ingested_at AS ts_ingesta,
+_FACT_COLUMNS = """bus_id, ruta, escenario, estado, "timestamp" AS ts_evento, ingested_at AS ts_ingesta,
        cast(floor(epoch(ingested_at)) AS bigint) - cast(floor(epoch("timestamp")) AS bigint) AS latencia_seg,
        cast("timestamp" AS date) AS fecha,
        cast(hour("timestamp") AS int) AS hora,
@@ -62,8 +61,8 @@ SELECT bus_id, ruta, escenario, estado, "timestamp" AS ts_evento, ingested_at AS
        tramo_inicio, tramo_fin,
        steps_per_segment AS steps_per_segment_num,
        current_step AS current_step_num,
-       cast(greatest(steps_per_segment - current_step, 0) AS int) AS steps_remaining_num
-FROM hist"""
+       cast(greatest(steps_per_segment - current_step, 0) AS int) AS steps_remaining_num"""
+_FACT = f"WITH {_POS} SELECT {_FACT_COLUMNS} FROM hist"
 
 
 def _listing(where: str = "true", table: str = "latest", source: str = _LATEST) -> str:
@@ -294,6 +293,13 @@ ALL: dict[str, str] = {
         ORDER BY "timestamp" DESC, arrival_seq DESC LIMIT 20""",
     "stored_unexpired": f"""WITH {_JUDGED} SELECT {_FLAT} FROM good
         WHERE "timestamp" > TIMESTAMP '{q.AS_OF}' - INTERVAL 24 HOUR""",
+    "stream_ingest_distinct": f"""WITH {_JUDGED} SELECT {_ACCEPTED_COLUMNS} FROM good
+        QUALIFY row_number() OVER (PARTITION BY bus_id, "timestamp", ingested_at ORDER BY arrival_seq) = 1""",
+    "fact_from_store": f"""WITH {_JUDGED}
+        SELECT {_FACT_COLUMNS} FROM (
+            SELECT * FROM good
+            UNION ALL SELECT * REPLACE (replace(bus_id, 'B', 'C') AS bus_id) FROM good)""",
+    "fact_published": _FACT,
     "documents_additive": f"""WITH {_POS}
         SELECT bus_id, arrival_seq, CASE WHEN arrival_seq % 20 = 12 THEN 'v2' END AS firmware FROM hist""",
     "buses_by_route": _BUSES + " ORDER BY 1, 4",

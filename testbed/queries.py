@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +15,7 @@ from pingloom.operators import ingest, legacy, near, quality, retention, seriali
 from pingloom.operators.latest import last_n, latest, latest_by_rank
 from pingloom.plans import fact, network, routes
 from pingloom.plans.lookup import Positions, with_eta
-from pingloom.session import scratch_path
+from pingloom.session import scratch_path, spool
 from pingloom.sources import fact_table, pings
 from pingloom.streaming import incremental, keyed, landing
 from testbed import tables
@@ -52,13 +53,23 @@ def _flat(df: DataFrame) -> DataFrame:
 
 def ranked(rows: DataFrame) -> DataFrame:
     """Rows numbered in the order in which they come, so that a comparison sees their order."""
-    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
-    return numbered.withColumn("puesto", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+    spark = rows.sparkSession
+    # written out, so that the borders of the sorted partitions are the same for both uses
+    placed = spool(rows.withColumn("_at", F.monotonically_increasing_id()), "listing").withColumn("_part", F.shiftright("_at", 33))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    # one number per partition of the listing
+    before, offsets = 0, []
+    for part, n in sorted(sizes.collect()):
+        offsets.append((part, before))
+        before += n
+    first = spark.createDataFrame(offsets, "_part bigint, _before bigint")
+    at = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(F.broadcast(first), "_part").withColumn("puesto", at.cast("int")).drop("_at", "_part", "_before")
 
 
 def _positions(spark: SparkSession, sf: str) -> Positions:
     history = tables.history(spark, sf)
-    return Positions(latest=latest(history), history=history, stations=tables.stations(spark, sf))
+    return Positions(latest=lambda: latest(history), history=history, stations=tables.stations(spark, sf))
 
 
 # -- fact ----------------------------------------------------------------------
@@ -323,6 +334,46 @@ def stored_unexpired(spark, sf):
     return _flat(store.history(spark))
 
 
+def stream_ingest_distinct(spark, sf):
+    """Every file is delivered twice, the second time under another name; a repeat is not stored again."""
+    folder, _ = _landed(spark, sf)
+    store, again = landing.Store(scratch_path(spark, "store")), scratch_path(spark, "again")
+    spark.read.text(folder).write.text(again)
+    for landed in (folder, again):
+        found = landing.raw_stream(spark, landed)
+        store.checkpoint = scratch_path(spark, "checkpoint")
+        if landed == again:
+            # a new reader starts to count at 0; the store goes on
+            decoded = ingest.decode(spark.read.schema(found.schema).json(landed), "value", "arrived_at", "seq")
+            store.write_batch(decoded, store.last_batch(spark) + 1, repeats=timedelta(days=365))
+        else:
+            landing.start_ingest(found, store, repeats=timedelta(days=365)).awaitTermination()
+    return _accepted_columns(store.history(spark))
+
+
+def fact_from_store(spark, sf):
+    """Facts loaded batch by batch from the store, which is compacted between two loads."""
+    folder, half = _landed(spark, sf)
+    store, facts = landing.Store(scratch_path(spark, "store")), scratch_path(spark, "facts")
+    landing.start_ingest(landing.raw_stream(spark, folder, half), store).awaitTermination()
+    incremental.load_store(spark, store, facts)
+    store.compact(spark, "2000-01-01 00:00:00")
+    # the same pings of other vehicles; in a wrapped body the quotes are escaped
+    later = tables.raw_pings(spark, sf).withColumn("value", F.regexp_replace("value", r'(bus_id\\*":\\*")B', "$1C"))
+    store.write_batch(ingest.decode(later.selectExpr("value", "arrived_at", "seq"), seq="seq"), store.last_batch(spark) + 1)
+    for _ in range(2):
+        incremental.load_store(spark, store, facts)
+    return shown(incremental.read_loaded(spark, facts))
+
+
+def fact_published(spark, sf):
+    """The fact as a version beside an older one that readers had before the switch."""
+    root, rows = scratch_path(spark, "versions"), fact.build_fact(tables.documents(spark, sf))
+    fact_table.publish_fact(rows.filter("ts_evento < timestamp'2024-01-10'"), root)
+    fact_table.publish_fact(rows, root)
+    return shown(fact_table.read_published(spark, root))
+
+
 def documents_additive(spark, sf):
     """A collection whose documents have gained fields, read with the registered schema and what was added."""
     path = scratch_path(spark, "documents")
@@ -538,6 +589,7 @@ ALL: dict[str, Query] = {
         accepted_positions, rejected_positions,
         stream_ingest_accepted, stream_ingest_rejected, stream_ingest_latest, stream_latest, stream_bodies,
         stored_by_route, stored_near_station, stored_history, stored_unexpired, documents_additive,
+        stream_ingest_distinct, fact_from_store, fact_published,
         buses_by_route, buses_of_route, stations_by_route, official_stops, official_stops_of_route,
         route_origin_destination, bus_count_per_route,
         user_total, users_by_status, users_by_person_type, users_by_document_type, user_listing,

@@ -166,3 +166,29 @@ def test_accumulating_many_dates_collects_nothing(spark, tmp_path, monkeypatch):
         fact_table.write_fact(full.filter("fecha > date'2024-01-20'").withColumn("hora", F.lit(7)), path, "accumulate")
     stored = fact_table.read_fact(spark, path)
     assert stored.count() == 60 and stored.filter("hora = 7").count() == stored.filter("fecha > date'2024-01-20'").count() == 40
+
+
+def test_a_new_version_is_switched_to_when_it_is_complete(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "fact")
+    assert fact_table.read_published(spark, root).count() == 0
+    old, new = ([("B1", f"2024-01-0{d} 10:00:00", f"2024-01-0{d} 10:00:01") for d in days] for days in ((1, 2), (1, 2, 3)))
+    assert fact_table.publish_fact(facts(spark, old), root) == 1
+    before = fact_table.read_published(spark, root)
+
+    class Stopped(Exception):
+        pass
+
+    def fail(*_):
+        raise Stopped
+
+    # the job dies between writing the data and switching to it
+    with monkeypatch.context() as broken, pytest.raises(Stopped):
+        broken.setattr(type(spark), "range", fail)
+        fact_table.publish_fact(facts(spark, new), root)
+    assert fact_table.published_version(spark, root) == 1 and fact_table.read_published(spark, root).count() == 2
+    assert fact_table.publish_fact(facts(spark, new), root) == 3
+    assert fact_table.read_published(spark, root).count() == 3
+    # a reader of the version before is undisturbed, and what a failed job left is gone
+    assert before.count() == 2 and sorted(p.name for p in (tmp_path / "fact" / "data").iterdir()) == ["v=1", "v=3"]
+    fact_table.publish_fact(facts(spark, old), root)
+    assert sorted(p.name for p in (tmp_path / "fact" / "current").iterdir()) == ["v=3", "v=4"]

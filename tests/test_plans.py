@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 COMPILED_LIMIT = 8000
 
 # Queries that write tables on their way take long and are read back by plain scans.
-WRITING = ("stream", "stored", "fact_roundtrip", "fact_from", "fact_of", "fact_accumulated", "fact_incremental", "documents_additive")
+WRITING = ("stream", "stored", "fact_roundtrip", "fact_from", "fact_of", "fact_accumulated", "fact_incremental", "fact_published", "documents_additive")
 BATCH = sorted(n for n in queries.ALL if not n.startswith(WRITING))
 
 
@@ -38,6 +38,17 @@ def test_generated_code_can_be_compiled(spark, static_plans, name):
     assert max(sizes) < COMPILED_LIMIT
 
 
+@pytest.mark.parametrize("name", ["station_list", "bus_history", "bus_history_unlimited"])
+def test_lookups_without_latest_positions_run_no_job_before(spark, monkeypatch, name):
+    monkeypatch.setattr(queries, "latest", lambda *_: pytest.fail("not needed"))
+    queries.ALL[name](spark, SF)
+
+
+@pytest.mark.parametrize("name", ["positions_all", "near_point", "near_station_eta", "buses_by_route", "buses_of_route"])
+def test_listings_are_not_numbered_in_one_task(static_plans, name):
+    assert "SinglePartition" not in plan(static_plans[name]) and "Window" not in plan(static_plans[name])
+
+
 def test_only_needed_columns_are_read(static_plans):
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan(static_plans["usable_routes"])
     assert "props" not in plan(static_plans["geojson_points"]).split("ReadSchema")[1]

@@ -1,15 +1,19 @@
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
-
 from plan_text import plan
+from pyarrow import parquet
+from pyspark.sql import functions as F
+
 from pingloom import schemas
+from pingloom.functions import geo
 from pingloom.operators import ingest
 from pingloom.operators.latest import latest
 from pingloom.plans.fact import build_fact
 from pingloom.sources import fact_table, pings
-from pingloom.streaming import incremental, keyed, landing
+from pingloom.streaming import incremental, keyed, landing, snapshot
 
 T0 = datetime(2024, 1, 1)
 
@@ -108,7 +112,8 @@ def test_compaction_drops_the_expired_and_what_it_replaces(spark, tmp_path):
     assert sorted(r["arrival_seq"] for r in store.history(spark).collect()) == [1, 3, 3]
     assert store.rejects(spark).count() == 1
     assert sorted(r["bus_id"] for r in store.current(spark).collect()) == before
-    assert [p.name for p in (tmp_path / "store" / "latest").iterdir()] == ["batch_id=2"]
+    # of the three batches, those whose buckets are still the newest
+    assert sorted(p.name for p in (tmp_path / "store" / "latest").iterdir()) in (["batch_id=2"], ["batch_id=0", "batch_id=2"])
     assert list((tmp_path / "store" / "pings").iterdir()) == []
     # an ingest goes on where it was
     drop(folder, 3, [line(7, "d", 1500, 1500)])
@@ -146,6 +151,155 @@ def test_the_order_in_a_landed_file_decides(spark, tmp_path):
     assert [r["lat"] for r in found.collect()] == [4.7999]
 
 
+def fleet(spark, n, start=0):
+    """Positions of ``n`` vehicles spread over the service area."""
+    rows = spark.range(start, start + n).selectExpr(
+        "concat('v', id) AS bus_id", "timestamp'2024-01-01 00:00:00' AS timestamp", "timestamp'2024-01-01 00:00:01' AS ingested_at",
+        "id AS arrival_seq", "-74.3e0 + (id * 104729 % 40001) / 1e5 AS lon", "4.45e0 + (id * 7919 % 40001) / 1e5 AS lat",
+    )
+    missing = [f for f in schemas.struct(schemas.POSITION) if f.name not in rows.columns]
+    return rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]).select(*schemas.columns(schemas.POSITION))
+
+
+def size(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+
+def test_a_batch_writes_the_buckets_it_touches(spark, tmp_path):
+    table = snapshot.Snapshot(str(tmp_path / "latest"), buckets=16)
+    table.merge(fleet(spark, 8000), 0)
+    changed = fleet(spark, 1, 5).withColumn("arrival_seq", F.lit(90_000).cast("long"))
+    table.merge(changed, 1)
+    assert len(list(Path(table.folder(1)).glob("bucket=*"))) == 1
+    assert size(table.folder(1)) * 8 < size(table.folder(0))
+    now = {r["bus_id"]: r["arrival_seq"] for r in table.read(spark).collect()}
+    assert now == {f"v{i}": 90_000 if i == 5 else i for i in range(8000)}
+    # the state before is still there, and an older ping changes nothing
+    assert table.read(spark, 0).filter("bus_id = 'v5'").first()["arrival_seq"] == 5
+    table.merge(fleet(spark, 1, 5), 2)
+    assert table.read(spark).filter("bus_id = 'v5'").first()["arrival_seq"] == 90_000
+    table.forget(spark, 1)
+    assert {r["bus_id"]: r["arrival_seq"] for r in table.read(spark).collect()} == now
+    assert len(list(Path(table.folder(0)).glob("bucket=*"))) == 15 and not Path(table.folder(1)).exists()
+
+
+def test_an_unfinished_batch_is_not_seen(spark, tmp_path):
+    table = snapshot.Snapshot(str(tmp_path / "latest"), buckets=4)
+    table.merge(fleet(spark, 100), 0)
+    table.merge(fleet(spark, 100, 100), 1)
+    (Path(table.folder(1)) / "_SUCCESS").unlink()
+    assert table.read(spark).count() == 100
+    table.merge(fleet(spark, 100, 100), 1)
+    assert table.read(spark).count() == 200
+
+
+def test_a_near_lookup_opens_few_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshot, "ROW_GROUP_BYTES", 48 << 10)
+    table = snapshot.Snapshot(str(tmp_path / "latest"), buckets=2)
+    table.merge(fleet(spark, 60_000), 0)
+    lat, lon, side = 4.6, -74.1, 0.01
+    hit = total = 0
+    for file in Path(table.folder(0)).rglob("*.parquet"):
+        meta = parquet.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            stats = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(meta.num_columns)}
+            total += 1
+            hit += all(stats[n].min <= at + side and stats[n].max >= at - side for n, at in (("lat", lat), ("lon", lon)))
+    assert total >= 40 and hit <= total / 4
+
+
+def test_curve_keys_interleave_the_bits(spark):
+    points = [(-90.0, -180.0), (90.0, 180.0), (0.0, 0.0), (12.34, -56.78), (None, 1.0)]
+    rows = spark.createDataFrame(points, "lat double, lon double").select("lat", "lon", geo.curve_key(F.col("lat"), F.col("lon")).alias("key"))
+
+    def cell(value, half):
+        return min(int((value + half) / (2 * half) * 2**geo.CURVE_BITS), 2**geo.CURVE_BITS - 1)
+
+    for lat, lon, key in rows.collect():
+        if lat is None:
+            assert key is None
+        else:
+            bits = [(cell(lat, 90) >> k & 1) << 1 | cell(lon, 180) >> k & 1 for k in range(geo.CURVE_BITS)]
+            assert key == sum(b << 2 * k for k, b in enumerate(bits))
+
+
+def rows_read(df):
+    """Rows that the scans of a plan have handed on."""
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().get("numOutputRows").get().value()
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_a_lookup_of_an_absent_vehicle_reads_no_row_group(spark, tmp_path):
+    store = landing.Store(str(tmp_path / "store"))
+    rows = [(x["value"], datetime.fromisoformat(x["arrived_at"]), x["seq"]) for x in (line(i, f"b{2 * i:05d}", 1, 1) for i in range(3000))]
+    store.write_batch(ingest.decode(spark.createDataFrame(rows, landing.RAW), seq="seq"), 0)
+    store.compact(spark, T0)
+    assert rows_read(store.history(spark).filter("bus_id = 'b00100'")) > 0
+    # between the least and the greatest of the stored ones, so that statistics alone would not tell
+    assert rows_read(store.history(spark).filter("bus_id = 'b00101'")) == 0
+
+
+def raw_frame(spark, lines):
+    return ingest.decode(spark.createDataFrame([(x["value"], datetime.fromisoformat(x["arrived_at"]), x["seq"]) for x in lines], landing.RAW), seq="seq")
+
+
+def test_replayed_files_add_no_row(spark, tmp_path):
+    folder, store = tmp_path / "in", landing.Store(str(tmp_path / "store"))
+    for number, lines in enumerate(FILES):
+        drop(folder, number, lines)
+        drop(folder, 10 + number, lines)
+    landing.start_ingest(landing.raw_stream(spark, str(folder), 1), store, repeats=timedelta(hours=1)).awaitTermination()
+    assert sorted(r["arrival_seq"] for r in store.history(spark).collect()) == [1, 2, 3, 4, 6]
+    assert store.rejects(spark).count() == 2
+    assert sorted((r["bus_id"], r["arrival_seq"]) for r in store.current(spark).collect()) == [("a", 4), ("b", 2)]
+    store.compact(spark, T0)
+    store.write_batch(raw_frame(spark, FILES[0]), 9, repeats=timedelta(hours=1))
+    assert store.history(spark).count() == 5
+
+
+def test_pings_behind_the_horizon_stay_and_memory_is_bounded(spark, tmp_path):
+    store, hour = landing.Store(str(tmp_path / "store")), timedelta(hours=1)
+    for day in range(6):
+        store.write_batch(raw_frame(spark, [line(100 * day + i, f"b{i}", 1440 * day + i, 1440 * day + i) for i in range(10)]), day, repeats=hour)
+    # the memory holds the last hour, however long the ingest goes on, and opens its dates only
+    seen = store.remembered(spark, 6, hour)
+    assert seen.count() == 10 and "fecha" in plan(seen).split("PartitionFilters: [")[1].split("]")[0]
+    late = [line(900, "b1", 1, 1), line(901, "b2", 1440 * 5 + 2, 1440 * 5 + 2), line(902, "new", 3, 1440 * 5)]
+    store.write_batch(raw_frame(spark, late), 6, repeats=hour)
+    assert sorted(r["arrival_seq"] for r in store.history(spark).filter("arrival_seq >= 900").collect()) == [900, 902]
+    # a clock that is ahead does not move the horizon
+    store.write_batch(raw_frame(spark, [line(950, "z", 10**7, 1440 * 5 + 9)]), 7, repeats=hour)
+    assert store.remembered(spark, 8, hour).filter("bus_id = 'b9'").count() == 1
+
+
+def test_facts_follow_the_store_over_a_compaction(spark, tmp_path):
+    store, facts = landing.Store(str(tmp_path / "store")), str(tmp_path / "facts")
+    assert incremental.load_store(spark, store, facts) is None and incremental.read_loaded(spark, facts).count() == 0
+    store.write_batch(raw_frame(spark, FILES[0]), 0)
+    assert incremental.load_store(spark, store, facts) == 0
+    store.write_batch(raw_frame(spark, FILES[1]), 1)
+    store.compact(spark, T0)
+    store.write_batch(raw_frame(spark, FILES[2]), 2)
+    # a load that did not end is done again
+    (tmp_path / "facts" / "upto=1").mkdir()
+    assert incremental.load_store(spark, store, facts) == 2
+    assert incremental.load_store(spark, store, facts) is None
+    loaded = incremental.read_loaded(spark, facts)
+    assert sorted((r["bus_id"], r["ts_evento"].minute) for r in loaded.collect()) == [("a", 5), ("a", 10), ("a", 20), ("a", 20), ("b", 0), ("b", 1)]
+    assert loaded.dtypes == build_fact(store.history(spark)).dtypes
+
+
 def test_history_is_pruned_by_date_and_outcome(spark, tmp_path):
     folder, store = tmp_path / "in", landing.Store(str(tmp_path / "store"))
     drop(folder, 0, FILES[0])

@@ -61,7 +61,8 @@ _FACT_COLUMNS = """bus_id, ruta, escenario, estado, "timestamp" AS ts_evento, in
        tramo_inicio, tramo_fin,
        steps_per_segment AS steps_per_segment_num,
        current_step AS current_step_num,
-       cast(greatest(steps_per_segment - current_step, 0) AS int) AS steps_remaining_num"""
+       CASE WHEN steps_per_segment IS NOT NULL THEN cast(greatest(steps_per_segment - current_step, 0) AS int) END
+           AS steps_remaining_num"""
 _FACT = f"WITH {_POS} SELECT {_FACT_COLUMNS} FROM hist"
 
 

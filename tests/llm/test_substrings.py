@@ -32,9 +32,11 @@ def test_repetitive_text_has_few_runs():
 def test_packed_keys_come_back():
     keys = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2))
     assert (exchange.unpack_sorted(exchange.pack_sorted(keys)) == keys).all()
-    bounds = exchange.bucket_bounds(keys, 7)
-    assert bounds[0] == 0 and bounds[-1] == 1000 and (np.diff(bounds) > 0).all()
+    parts = exchange.bucket_runs(keys, 7)
+    assert [b for b, _ in parts] == list(range(7)) and np.concatenate([keys[own] for _, own in parts]).tolist() == keys.tolist()
+    assert all(int(k) * 7 >> 64 == b for b, own in parts for k in keys[own])
     empty = np.empty(0, np.uint64)
+    assert exchange.bucket_runs(empty, 7) == []
     assert len(exchange.unpack_sorted(exchange.pack_sorted(empty))) == 0
 
 

@@ -14,10 +14,15 @@ Paths that are mostly links are no content. Headings, and blocks that stay insid
 left out for their links.
 
 Elements that are never article text (menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) are left out before by tag, role and class name.
+styles, reader comments) are left out before by tag, role and state. Names leave out only where they say the same
+plainly: a class such as ``ad`` or ``comments`` anywhere, and the words of ``_DOUBTFUL`` outside of the article. Inside
+of an article or main element a doubtful name gives the element paths of its own and lowers their ratios to ``NAMED`` of
+them, so that the ratios decide; an id counts there only if it is the plain word, since ids name chapters; headings are
+never left out for their own name, nor a header that is the header of the post.
 
 Defined cases: a null or empty page gives an empty text; a page without markup is one block; unclosed, stray and
-cut-off tags do not fail; extra columns are ignored; repeated rows stay; no rows give no rows.
+cut-off tags do not fail; a very long page is read whole, one page at a time; extra columns are ignored; repeated rows
+stay; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -72,14 +77,26 @@ _CLOSES = {
 }
 _SCOPE = frozenset("ul ol dl table body html div section article main".split())
 
-_WORD = (
-    "ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promoted|promotion|banner|cookie|cookies|"
+# Names of what is no article text; the second list also names chapters and parts of articles.
+_PLAIN = (
+    "ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promoted|banner|cookie|cookies|"
     "consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|paywall|newsletter|subscribe|subscription|signup|"
-    "sidebar|side|widget|widgets|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|pagination|pager|footer|header|masthead|"
-    "comment|comments|reply|replies|disqus|discussion|respond|responses|related|recommended|recommendations|"
-    "share|sharing|social|toolbar|skip|login|search|toc|tags|taglist|byline-box|copyright|legal|disclaimer"
+    "sidebar|widget|widgets|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|pagination|pager|footer|masthead|"
+    "comment|comments|disqus|respond|share|sharing|social|toolbar|login"
 )
-_BOILERPLATE = re.compile(rf"(?:^|[-_])(?:{_WORD})$|^(?:{_WORD})(?:[-_]|$)", re.I)
+_DOUBTFUL = (
+    "promotion|side|header|reply|replies|discussion|responses|related|recommended|recommendations|skip|search|toc|tags|"
+    "taglist|byline-box|copyright|legal|disclaimer"
+)
+
+
+def _named(words: str) -> re.Pattern[str]:
+    return re.compile(rf"(?:^|[-_])(?:{words})$|^(?:{words})(?:[-_]|$)", re.I)
+
+
+_PLAIN_NAME, _DOUBTFUL_NAME = _named(_PLAIN), _named(_DOUBTFUL)
+_PLAIN_WORD = re.compile(_PLAIN, re.I)
+_POST_HEADER = re.compile(r"^(?:post|entry|article|story|content|chapter|section)[-_]header$", re.I)
 _STATE = re.compile(r"^(?:has|with|no|without|is)[-_]", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _PUNCTUATION = re.compile(r"[.,;:!?…。,、;:!?¿¡»«“”\"()—–]")
@@ -87,6 +104,9 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。,、;:!?¿¡»«“”\"()—–]")
 THRESHOLD = 0.1
 SIGMA = 1.0
 LINK_SHARE = 0.6
+# What is left of the ratio of a path under a doubtful name.
+NAMED = 0.5
+_LOWERED = "~"
 
 
 @dataclass
@@ -96,6 +116,7 @@ class _Element:
     dropped: bool
     article: bool
     path: str
+    bare: bool
 
 
 @dataclass
@@ -106,25 +127,40 @@ class _Block:
     heading: bool
     article: bool
     linked: int
+    # Numbers of those of its elements that have no attributes.
+    bare: frozenset[int]
 
 
-def _is_boilerplate(tag: str, rest: str, in_article: bool) -> bool:
+def _verdict(tag: str, rest: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is left out, and whether its paths are lowered."""
     if tag in _NEVER or (tag == "header" and not in_article):
-        return True
+        return True, False
     if "=" not in rest and "hidden" not in rest:
-        return False
+        return False, False
+    lowered = False
     for name, value in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return True, False
         if name == "role" and value.lower() in _ROLES:
-            return True
-        if name in ("class", "id", "itemprop") and tag not in ("html", "body", "main"):
-            if any(_BOILERPLATE.search(w) and not _STATE.match(w) for w in value.split()):
-                return tag != "article" or bool(re.search(r"(?i)\b(comment|reply)", value))
-    return False
+            return True, False
+        if name not in ("class", "id", "itemprop") or tag in ("html", "body", "main") or tag in _HEADINGS:
+            continue
+        words = [w for w in value.split() if not _STATE.match(w) and not _POST_HEADER.match(w)]
+        if tag == "article":
+            if any(_PLAIN_NAME.search(w) or _DOUBTFUL_NAME.search(w) for w in words) and re.search(r"(?i)\b(comment|reply)", value):
+                return True, False
+            continue
+        plainly = _PLAIN_WORD.fullmatch if name == "id" and in_article else _PLAIN_NAME.search
+        if any(plainly(w) for w in words):
+            return True, False
+        if any(_DOUBTFUL_NAME.search(w) or _PLAIN_NAME.search(w) for w in words):
+            if not in_article:
+                return True, False
+            lowered = True
+    return False, lowered
 
 
 def blocks(page: str) -> list[_Block]:
@@ -145,6 +181,7 @@ def blocks(page: str) -> list[_Block]:
             found.append(_Block(
                 text, stack[-1].path if stack else "", tuple(e.number for e in stack),
                 any(e.tag in _HEADINGS for e in stack), bool(stack and stack[-1].article), len(plain(linked)),
+                frozenset(e.number for e in stack if e.bare),
             ))
         parts.clear()
         linked.clear()
@@ -179,7 +216,7 @@ def blocks(page: str) -> list[_Block]:
                 open_inline.remove(tag)
                 open_inline.reverse()
             rest = m["rest"] or m["rest2"] or ""
-            if not closing and tag not in _VOID and "=" in rest and _is_boilerplate(tag, rest, True):
+            if not closing and tag not in _VOID and "=" in rest and _verdict(tag, rest, bool(stack and stack[-1].article))[0]:
                 # An inline element that is no article text: skip to its end tag, if it has one.
                 stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 if stop:
@@ -219,11 +256,13 @@ def blocks(page: str) -> list[_Block]:
                 break
         above = stack[-1] if stack else None
         in_article = bool(above and above.article)
-        dropped = bool(above and above.dropped) or _is_boilerplate(tag, rest, in_article)
+        out, lowered = _verdict(tag, rest, in_article)
+        dropped = bool(above and above.dropped) or out
         state["number"] += 1
+        name = tag + _LOWERED * lowered
         stack.append(_Element(
             tag, state["number"], dropped, in_article or (tag in _ARTICLE and not dropped),
-            f"{above.path}/{tag}" if above else tag,
+            f"{above.path}/{name}" if above else name, not _ATTRIBUTE.search(rest),
         ))
     close_block()
     return found
@@ -250,17 +289,23 @@ def _ratios(found: list[_Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     def smooth(x: np.ndarray) -> np.ndarray:
         return np.convolve(x, kernel)[reach : reach + len(found)] / weight
 
-    fused = smooth(text_ratio) * (1 + smooth(mark_ratio))
-    return fused, (np.bincount(which, fused) / n)[which], text_ratio * (1 + mark_ratio)
+    share = np.array([NAMED if _LOWERED in b.path else 1.0 for b in found])
+    fused = smooth(text_ratio) * (1 + smooth(mark_ratio)) * share
+    return fused, (np.bincount(which, fused) / n)[which], text_ratio * (1 + mark_ratio) * share
 
 
 def _beside(found: list[_Block], chosen: np.ndarray) -> np.ndarray:
-    """Blocks that stand in running text of an element that holds a chosen block."""
+    """Blocks that stand in running text of an element that holds a chosen block.
+
+    An element without attributes counts as running text for a block that is a sentence and not mostly a link.
+    """
     hosts = {e for b, c in zip(found, chosen) if c for e in b.elements}
 
     def stands(b: _Block) -> bool:
+        sentence = b.linked <= LINK_SHARE * len(b.text) and bool(_PUNCTUATION.search(b.text))
         return any(h in hosts for h in b.elements) and all(
-            e in hosts or tag in _TEXT for e, tag in zip(b.elements, b.path.split("/"))
+            e in hosts or tag in _TEXT or (sentence and e in b.bare and not tag.endswith(_LOWERED))
+            for e, tag in zip(b.elements, b.path.split("/"))
         )
 
     return np.array([stands(b) for b in found])

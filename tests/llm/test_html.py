@@ -69,7 +69,34 @@ def test_ratios_decide_inside_article_and_main():
 def test_ratios_decide_without_article():
     teasers = "".join(f"<li>Teaser {i}</li>" for i in range(12))
     page = f"<body><ul>{teasers}</ul><div><div><h2>Title</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div></div></body>"
-    assert [line for line in html.main_text(page).split("\n") if not line.startswith("Teaser")] == ["Title", LONG, "Short.", LONG]
+    assert html.main_text(page).split("\n") == ["Title", LONG, "Short.", LONG]
+
+
+def test_names_do_not_decide_inside_the_article():
+    for header in ('<header class="entry-header">', '<div class="post-header">', '<div class="header">'):
+        end = "</header>" if header.startswith("<header") else "</div>"
+        page = f"<body><article>{header}<h1>Title</h1>{end}<p>{LONG}</p></article></body>"
+        assert html.main_text(page).split("\n") == ["Title", LONG]
+    for part in (f'<section id="related-work"><h2>Related work</h2><p>{LONG}</p></section>',
+                 f'<section id="comments-on-method"><h2 id="comments">Related work</h2><p>{LONG}</p></section>',
+                 f'<h2>Related work</h2><p class="discussion">{LONG}</p>'):
+        page = f"<body><article><h1>Title</h1><p>{LONG}</p>{part}</article></body>"
+        assert html.main_text(page).split("\n") == ["Title", LONG, "Related work", LONG]
+    page = f"<body><article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><section><div>A last word, in a box.</div></section></article></body>"
+    assert html.main_text(page).split("\n") == ["Title", LONG, LONG, "A last word, in a box."]
+
+
+def test_ratios_decide_under_doubtful_names():
+    links = "".join(f'<a href="/{i}">Post {i}</a><br>' for i in range(6))
+    page = f'<body><article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><div class="related">{links}</div></article></body>'
+    assert html.main_text(page).split("\n") == ["Title", LONG, LONG]
+
+
+def test_plain_names_leave_out_everywhere():
+    for name in ("comments", "ad", "newsletter-box", "cookie-notice", "share"):
+        box = f'<div class="{name}"><h3>Box</h3><p>{LONG}</p></div>'
+        for page in (f"<body><article><h1>Title</h1><p>{LONG}</p>{box}</article></body>", f"<body><div><h1>Title</h1><p>{LONG}</p></div>{box}</body>"):
+            assert html.main_text(page).split("\n") == ["Title", LONG]
 
 
 def test_links_inside_the_article_stay():

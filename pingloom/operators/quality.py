@@ -23,17 +23,17 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
-def _registered(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
+def registered_fields(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
     """(path, JSON kind) for every leaf and object of a schema."""
     kinds = []
     for field in schema:
         path = prefix + field.name
         if isinstance(field.dataType, T.StructType):
             kinds.append((path, "OBJECT"))
-            kinds += _registered(field.dataType, path + ".")
+            kinds += registered_fields(field.dataType, path + ".")
         elif isinstance(field.dataType, T.ArrayType):
             kinds.append((path, "ARRAY"))
-            kinds += _registered(T.StructType([T.StructField("[]", field.dataType.elementType)]), path)
+            kinds += registered_fields(T.StructType([T.StructField("[]", field.dataType.elementType)]), path)
         elif isinstance(field.dataType, T.BooleanType):
             kinds.append((path, "BOOLEAN"))
         elif isinstance(field.dataType, T.NumericType):
@@ -69,16 +69,16 @@ def _kind(value: Column) -> Column:
 def _taken_apart(rows: DataFrame) -> DataFrame:
     """Every value on the next ``LEVELS`` levels below ``value``: its path, and whether its own children are still inside.
 
-    A row without a value stays, without a path. The outer form of explode keeps Spark from parsing each document twice,
+    ``n`` says for how many equal values a row stands. A row without a value stays, without a path. The outer form of explode keeps Spark from parsing each document twice,
     first to skip the empty ones.
     """
-    found = rows.select("path", F.explode_outer(_children(F.col("value"))).alias("f"), F.col("value").isNull().alias("unreadable"))
-    found = found.select(F.concat("path", "f.key").alias("path"), F.col("f.value").alias("value"), F.lit(True).alias("open"), "unreadable")
+    found = rows.select("path", "n", F.explode_outer(_children(F.col("value"))).alias("f"), F.col("value").isNull().alias("unreadable"))
+    found = found.select(F.concat("path", "f.key").alias("path"), F.col("f.value").alias("value"), F.lit(True).alias("open"), "unreadable", "n")
     for _ in range(LEVELS - 1):
         itself = F.array(F.struct(F.lit("").alias("key"), F.col("value").alias("value"), F.lit(False).alias("open")))
         below = F.transform(_children(F.col("value")), lambda c: F.struct(c["key"], c["value"], F.lit(True).alias("open")))
-        found = found.select("path", "unreadable", F.explode_outer(F.when(F.col("open"), F.concat(itself, below)).otherwise(itself)).alias("f"))
-        found = found.select(F.concat("path", "f.key").alias("path"), F.col("f.value").alias("value"), F.col("f.open").alias("open"), "unreadable")
+        found = found.select("path", "unreadable", "n", F.explode_outer(F.when(F.col("open"), F.concat(itself, below)).otherwise(itself)).alias("f"))
+        found = found.select(F.concat("path", "f.key").alias("path"), F.col("f.value").alias("value"), F.col("f.open").alias("open"), "unreadable", "n")
     return found
 
 
@@ -86,29 +86,29 @@ def field_census(raw: DataFrame, value: str = "value") -> DataFrame:
     """How many values stand at each path, by JSON kind, at any depth; array elements stand at ``path[]``.
 
     Documents that cannot be read are one row at ``$``. ``LEVELS`` levels are taken apart at a time and counted before
-    the shuffle; objects and arrays below them, if there are any, are written out and taken apart in the next round.
+    the shuffle; objects and arrays below them, if there are any, are written out once for all equal ones and taken apart
+    in the next round, where each stands for as many as it was counted.
     """
     texts = once(raw, F.col(value).alias("raw"), document_text(F.col(value)).alias("doc"))
     whole = is_whole(F.col("raw")) & ((F.col("doc") == F.col("raw")) | is_whole(F.col("doc")))
     rows = once(texts, F.lit("").alias("path"), F.when(whole, F.try_parse_json("doc")).alias("value"))
+    rows = rows.withColumn("n", F.lit(1).cast("bigint"))
     found: DataFrame | None = None
     while True:
         values = _taken_apart(rows).select(
             F.when(F.col("unreadable"), UNREADABLE).otherwise(F.col("path")).alias("path"),
-            F.when(F.col("unreadable"), "INVALID").otherwise(_kind(F.col("value"))).alias("kind"), "value", "open",
+            F.when(F.col("unreadable"), "INVALID").otherwise(_kind(F.col("value"))).alias("kind"), "value", "open", "n",
         ).filter("kind IS NOT NULL")
         nested = F.when(F.col("open") & F.col("kind").isin("OBJECT", "ARRAY"), F.to_json("value"))
-        counts = spool(values.groupBy("path", "kind", nested.alias("nested")).agg(F.count("*").alias("n")), "census")
+        counts = spool(values.groupBy("path", "kind", nested.alias("nested")).agg(F.sum("n").alias("n")), "census")
         level = counts.groupBy("path", "kind").agg(F.sum("n").alias("n"))
         found = level if found is None else found.unionByName(level)
         deeper = counts.filter(F.col("nested").isNotNull())
         if not deeper.take(1):
             break
-        # equal nested values were counted together; each stands for as many
-        repeated = F.explode(F.array_repeat("nested", F.col("n").cast("int")))
-        rows = deeper.select("path", repeated.alias("nested")).select("path", F.try_parse_json("nested").alias("value"))
-    return found.select(
-        F.regexp_replace("path", r"^\.", "").alias("campo"), F.col("kind").alias("tipo_observado"), F.col("n").alias("documentos")
+        rows = deeper.select("path", F.try_parse_json("nested").alias("value"), "n")
+    return found.groupBy(F.regexp_replace("path", r"^\.", "").alias("campo"), F.col("kind").alias("tipo_observado")).agg(
+        F.sum("n").alias("documentos")
     )
 
 
@@ -118,9 +118,13 @@ def schema_drift(raw: DataFrame, registered: T.StructType, value: str = "value")
     ``cambio`` is ``agregado`` (new field), ``tipo`` (another kind than registered), ``igual``,
     ``eliminado`` (registered but in no document), or ``ilegible`` for documents that cannot be read.
     """
-    census = field_census(raw, value)
     # a handful of rows: the registered schema itself
-    known = raw.sparkSession.createDataFrame(_registered(registered), "campo string, tipo_registrado string")
+    known = raw.sparkSession.createDataFrame(registered_fields(registered), "campo string, tipo_registrado string")
+    return schema_changes(raw, known, value)
+
+
+def schema_changes(raw: DataFrame, known: DataFrame, value: str = "value") -> DataFrame:
+    """The same for registered fields given as rows of ``campo`` and ``tipo_registrado``."""
     change = (
         F.when(F.col("campo") == UNREADABLE, "ilegible")
         .when(F.col("tipo_registrado").isNull(), "agregado")
@@ -129,7 +133,7 @@ def schema_drift(raw: DataFrame, registered: T.StructType, value: str = "value")
         .when(F.col("tipo_observado") == "NULL", "igual")
         .otherwise("tipo")
     )
-    return census.join(known, "campo", "full").select(
+    return field_census(raw, value).join(known, "campo", "full").select(
         "campo",
         "tipo_registrado",
         "tipo_observado",

@@ -236,6 +236,43 @@ def _drift() -> str:
     return "WITH d AS (SELECT event_id % 20 AS defect FROM events) " + " UNION ALL ".join(parts)
 
 
+def _versions() -> str:
+    """Fields by version and changes by extract; the first extract holds the defects below 14."""
+    strings = ("bus_id", "ruta", "timestamp", "estado", "escenario", "direccion", "location.type", "tramo.inicio", "tramo.fin")
+    numbers = (
+        "location.coordinates[]", "lat", "lon", "velocidad_kmh", "tramo.fraccion", "metrics_runtime.steps_per_segment",
+        "metrics_runtime.current_step", "metrics_runtime.steps_remaining",
+    )
+    listed = [(f, "STRING", 1) for f in strings] + [(f, "NUMBER", 1) for f in numbers]
+    listed += [("location", "OBJECT", 1), ("location.coordinates", "ARRAY", 1), ("tramo", "OBJECT", 1), ("metrics_runtime", "OBJECT", 1)]
+    listed += [("firmware", "STRING", 2), ("tramo.meta", "OBJECT", 3), ("tramo.meta.zona", "OBJECT", 3), ("tramo.meta.zona.x", "NUMBER", 3)]
+    changes = [
+        (1, "firmware", None, "STRING", "defect = 12", "agregado", "aplicado"),
+        (1, "velocidad_kmh", "NUMBER", "STRING", "defect = 3", "tipo", "rechazado"),
+        (1, "$", None, "INVALID", "defect IN (4, 13)", "ilegible", "anotado"),
+        (2, "$", None, "INVALID", "defect = 14", "ilegible", "anotado"),
+        *[(2, f, kind, None, "false", "eliminado", "anotado") for f, kind in (("firmware", "STRING"), ("lat", "NUMBER"), ("lon", "NUMBER"))],
+        (2, "tramo.meta", None, "OBJECT", "defect = 16", "agregado", "aplicado"),
+        (2, "tramo.meta.zona", None, "OBJECT", "defect = 16", "agregado", "aplicado"),
+        (2, "tramo.meta.zona.x", None, "NUMBER", "defect = 16", "agregado", "aplicado"),
+    ]
+
+    def quoted(text: str | None) -> str:
+        return "cast(NULL AS varchar)" if text is None else f"'{text}'"
+
+    parts = [
+        f"SELECT 'cambio' AS fila, cast({e} AS integer) AS numero, {quoted(f)} AS campo, {quoted(reg)} AS tipo_registrado, "
+        f"{quoted(obs)} AS tipo_observado, count(*) FILTER (WHERE {cond}) AS documentos, '{change}' AS cambio, '{action}' AS accion FROM d"
+        for e, f, reg, obs, cond, change, action in changes
+    ]
+    parts += [
+        f"SELECT 'campo', cast({v} AS integer), '{f}', '{kind}', cast(NULL AS varchar), cast(NULL AS bigint), "
+        "cast(NULL AS varchar), cast(NULL AS varchar)"
+        for f, kind, v in listed
+    ]
+    return "WITH d AS (SELECT event_id % 20 AS defect FROM events) " + " UNION ALL ".join(parts)
+
+
 ALL: dict[str, str] = {
     "fact_bus_position": _FACT,
     "fact_preview": _FACT + ' ORDER BY "timestamp", arrival_seq LIMIT 20',
@@ -397,4 +434,5 @@ ALL: dict[str, str] = {
                cast(cast(longitud AS decimal(9, 6)) AS varchar) AS longitud, tipo FROM estacion""",
     "profile": _profile(),
     "schema_drift": _drift(),
+    "schema_versions": _versions(),
 }

@@ -16,7 +16,7 @@ from pingloom.operators.latest import last_n, latest, latest_by_rank
 from pingloom.plans import fact, network, routes
 from pingloom.plans.lookup import Positions, with_eta
 from pingloom.session import scratch_path, spool
-from pingloom.sources import fact_table, pings
+from pingloom.sources import fact_table, pings, schema_registry
 from pingloom.streaming import incremental, keyed, landing
 from testbed import tables
 
@@ -578,6 +578,20 @@ def schema_drift(spark, sf):
     return quality.schema_drift(tables.raw_pings(spark, sf), schemas.struct(schemas.PING))
 
 
+def schema_versions(spark, sf):
+    """All pings as two extracts, one after the other: the fields by version, and what each extract changed."""
+    raw = tables.raw_pings(spark, sf)
+    root = scratch_path(spark, "registry")
+    schema_registry.register(spark, root, schemas.struct(schemas.PING))
+    for part in ("seq % 20 < 14", "seq % 20 >= 14"):
+        schema_registry.observe(raw.filter(part), root)
+    log = schema_registry.change_log(spark, root).withColumnRenamed("extracto", "numero").withColumn("fila", F.lit("cambio"))
+    listed = schema_registry.fields(spark, root).select(
+        F.lit("campo").alias("fila"), F.col("version").alias("numero"), "campo", F.col("tipo").alias("tipo_registrado")
+    )
+    return log.unionByName(listed, allowMissingColumns=True)
+
+
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -596,6 +610,6 @@ ALL: dict[str, Query] = {
         route_segments, interpolated_positions, usable_routes, route_line,
         status_rules, invalid_progress, speed_conformance, speed_class, station_labels,
         trajectory_points, trajectory_lines, geojson_points, legacy_event_union,
-        positions_json, stations_as_text, profile, schema_drift,
+        positions_json, stations_as_text, profile, schema_drift, schema_versions,
     )
 }

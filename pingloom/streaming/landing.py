@@ -13,7 +13,7 @@ from pingloom.operators import ingest
 from pingloom.operators.retention import RETENTION_HOURS, unexpired
 from pingloom.plans.lookup import Positions
 from pingloom.session import finished_folders, remove, spool
-from pingloom.sources.pings import bodies
+from pingloom.sources.pings import bodies, landed_text
 from pingloom.streaming.snapshot import Snapshot, numbers
 
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -28,7 +28,7 @@ PACKED_VEHICLES = 100_000
 
 def body_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None, whole: bool = False) -> DataFrame:
     """Landed bodies as a stream: bare documents, one per line, or one per file (``whole``), whatever its line breaks."""
-    reader = spark.readStream.format("text").option("wholetext", True)
+    reader = landed_text(spark.readStream, whole)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return bodies(reader.load(folder), whole)

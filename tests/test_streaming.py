@@ -151,6 +151,22 @@ def test_the_order_in_a_landed_file_decides(spark, tmp_path):
     assert [r["lat"] for r in found.collect()] == [4.7999]
 
 
+def test_a_large_landed_file_is_read_in_parts(spark, tmp_path):
+    """Lines are not gathered in one value; their order holds over the parts of a file, blank lines and line breaks included."""
+    docs = [line(i, "a", 5, 0, lat=4.5 + i / 10_000)["value"] for i in range(3000)]
+    (tmp_path / "x.json").write_bytes("\r\n\n\n".join(docs).encode() + b"\n" * 2000)
+    (tmp_path / "y.json").write_bytes(b"\n" * 6000 + line(0, "b", 5, 0)["value"].encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = pings.read_landing(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 20
+        found = [(r["seq"], r["value"]) for r in rows.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({seq for seq, _ in found}) == len(found) == 3001
+    assert [v for _, v in sorted(found) if '"a"' in v] == docs
+
+
 def fleet(spark, n, start=0):
     """Positions of ``n`` vehicles spread over the service area."""
     rows = spark.range(start, start + n).selectExpr(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pingloom.session import shuffle_partitions
+from pingloom.session import shuffle_partitions, spool
 
 # Text that one task of a blocked operator holds, as plain bytes; raise it with the executors' memory.
 BLOCK_BYTES = 16 << 20
@@ -102,3 +102,28 @@ def hashed_sums(parts: DataFrame, size: int, *names: str) -> dict[str, np.ndarra
     for n in names:
         out[n][slots] = sums[n].to_numpy()
     return out
+
+
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with their ``place``, from 0, in an order; sorted in ranges, so no task holds all of them."""
+    # written out, so that the borders of the ranges are the same for both uses
+    sorted_ = rows.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = spool(sorted_, "places").withColumn("_part", F.shiftright("_at", 33))
+    # one number per range comes to the driver
+    sizes = sorted(placed.groupBy("_part").count().collect())
+    before = np.cumsum([0, *[r["count"] for r in sizes]]).tolist()
+    first = rows.sparkSession.createDataFrame([(r["_part"], n) for r, n in zip(sizes, before)], "_part long, _before long")
+    at = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(first), "_part").withColumn("place", at).drop("_at", "_part", "_before")
+
+
+def quantiles(rows: DataFrame, column: str, *shares: float) -> list[float] | None:
+    """Exact quantiles of a column, between neighbours as numpy has them; None without rows."""
+    placed = spool(numbered(rows.select(column), column), "sorted")
+    n = placed.count()
+    if n == 0:
+        return None
+    spots = [(math.floor((n - 1) * share), (n - 1) * share % 1) for share in shares]
+    wanted = sorted({min(k + d, n - 1) for k, _ in spots for d in (0, 1)})
+    value = {r["place"]: r[column] for r in placed.filter(F.col("place").isin(wanted)).collect()}
+    return [float(np.quantile([value[k], value[min(k + 1, n - 1)]], between)) for k, between in spots]

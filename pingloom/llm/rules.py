@@ -4,10 +4,10 @@ The ratio compares two multinomials over hashed byte n-grams: a trusted target,
 good, and the raw corpus, learned from every document. The score of a document is the mean over its n-grams of
 log(p_target / p_raw). The limit is a low quantile of the scores of trusted documents.
 
-The target and the limit are fitted on a bounded sample of labelled rows, the ``SAMPLE`` trusted ids with the lowest
-hash. Every second one serves the target and the others the limit, since documents that made the target score higher
-than equally good ones that did not. The raw corpus and the scores cover every n-gram of every document. Everything is
-a function of the data only.
+All trusted labels are used: in the order of the hashes of their ids, every second one serves the target and the others
+the limit, since documents that made the target score higher than equally good ones that did not. The raw corpus and the
+scores cover every n-gram of every document. Trusted documents are found by a join and written out once, the limit is an
+exact quantile of a distributed sort. Everything is a function of the data only.
 
 Defined cases: a null text is empty and fails the base rules; without trusted documents there is no ratio, every
 score is 0 and the base rules decide alone; a repeated label counts once; labels without an id or for unknown
@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
-from pingloom.llm.frames import hashed_sums, prepare, tidied
+from pingloom.llm.frames import hashed_sums, numbered, prepare, quantiles, tidied
+from pingloom.session import spool
 
 SLOTS = 1 << 16
 WIDTH = 4
-SAMPLE = 20_000
 # The limit lies below this quantile of trusted scores by a share of its distance from the median.
 QUANTILE = 0.0005
 MARGIN = 0.25
@@ -112,70 +112,65 @@ def scores(raw: np.ndarray, at: np.ndarray, ratios: np.ndarray) -> np.ndarray:
     return np.bincount(owner, ratios[slots], len(at) - 1) / np.maximum(n, 1)
 
 
-def _sample(labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The trusted ids with the lowest hash, at most ``SAMPLE``: those for the target, and those for the limit."""
+def _trusted(labels: DataFrame) -> DataFrame:
+    """Every trusted id once, and whether it serves the limit and not the target."""
     ids = (
         labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-        .select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        .select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("hash", F.xxhash64("doc_id"))
     )
-    chosen = ids.toArrow()["doc_id"].to_numpy()
-    return np.sort(chosen[::2]), np.sort(chosen[1::2])
+    return numbered(ids, "hash", "doc_id").select("doc_id", (F.col("place") % 2 == 1).alias("held_out"))
 
 
-def _among(ids: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-    known = batch.column("doc_id").cast(pa.int64())
-    return np.isin(known.fill_null(-1).to_numpy(zero_copy_only=False), ids) & known.is_valid().to_numpy(zero_copy_only=False)
+def _sample(labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The ids for the target and those for the limit, to look at where labels are few; fitting leaves them where they are."""
+    ids = _trusted(labels).toArrow()
+    held_out = ids["held_out"].to_numpy()
+    return np.sort(ids["doc_id"].to_numpy()[~held_out]), np.sort(ids["doc_id"].to_numpy()[held_out])
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Model:
-    """Learn both multinomials and the limit; two reads of the documents, the second for the sampled ones."""
-    prepare(documents.sparkSession)
-    trusted, held_out = _sample(labels)
-    if len(trusted) == 0:
-        return Model(np.zeros(SLOTS), 0.0)
-    texts = documents.select("doc_id", "text")
+def _gram_counts(texts: DataFrame) -> np.ndarray:
+    """How often each slot occurs in all texts."""
 
     @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus, target = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+        found = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for piece in T.pieces(batch):
-                raw, at = T.view(piece.column("text"))
-                slots, owner = _grams(raw, at)
-                corpus += np.bincount(slots, minlength=SLOTS)
-                target += np.bincount(slots[_among(trusted, piece)[owner]], minlength=SLOTS)
-        seen = np.flatnonzero(corpus)
-        yield pa.RecordBatch.from_pydict({"slot": seen, "corpus": corpus[seen], "target": target[seen]})
-
-    sums = hashed_sums(texts.mapInArrow(count, "slot long, corpus long, target long"), SLOTS, "corpus", "target")
-    if sums["target"].sum() == 0:
+                found += np.bincount(_grams(*T.view(piece.column("text")))[0], minlength=SLOTS)
+        seen = np.flatnonzero(found)
+        yield pa.RecordBatch.from_pydict({"slot": seen, "n": found[seen]})
+
+    return hashed_sums(texts.select("text").mapInArrow(count, "slot long, n long"), SLOTS, "n")["n"]
+
+
+def fit(documents: DataFrame, labels: DataFrame) -> Model:
+    """Learn both multinomials and the limit; two reads of the documents, the first for the trusted ones."""
+    prepare(documents.sparkSession)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    trusted = spool(rows.join(_trusted(labels), "doc_id").select("text", "held_out"), "trusted")
+    target = _gram_counts(trusted.filter(~F.col("held_out")))
+    if target.sum() == 0:
         return Model(np.zeros(SLOTS), 0.0)
 
     def log_share(n: np.ndarray) -> np.ndarray:
         return np.log((n + 0.5) / (n.sum() + 0.5 * SLOTS))
 
-    ratios = log_share(sums["target"]) - log_share(sums["corpus"])
-
-    def sample(ids: np.ndarray) -> np.ndarray:
-        @tidied
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                chosen = batch.filter(pa.array(_among(ids, batch)))
-                for piece in T.pieces(chosen):
-                    raw, at = T.view(piece.column("text"))
-                    good = ~base_failed(base_counts(raw, at))
-                    yield pa.RecordBatch.from_pydict({"score": scores(raw, at, ratios)[good]})
-
-        return texts.mapInArrow(score, "score double").toArrow()["score"].to_numpy()
-
-    sampled = sample(held_out)
-    if len(sampled) == 0:
-        sampled = sample(trusted)
-    if len(sampled) == 0:
-        return Model(ratios, 0.0)
-    low, middle = np.quantile(sampled, [QUANTILE, 0.5])
-    return Model(ratios, float(low - MARGIN * (middle - low)))
+    ratios = log_share(target) - log_share(_gram_counts(rows))
+
+    @tidied
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in T.pieces(batch):
+                raw, at = T.view(piece.column("text"))
+                good = ~base_failed(base_counts(raw, at))
+                yield pa.RecordBatch.from_pydict({"score": scores(raw, at, ratios)[good]})
+
+    for role in (F.col("held_out"), ~F.col("held_out")):
+        found = quantiles(trusted.filter(role).select("text").mapInArrow(score, "score double"), "score", QUANTILE, 0.5)
+        if found:
+            low, middle = found
+            return Model(ratios, low - MARGIN * (middle - low))
+    return Model(ratios, 0.0)
 
 
 def _verdict(piece: pa.RecordBatch, model: Model) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:

@@ -73,3 +73,22 @@ def test_limit_without_held_out_labels(spark):
     assert kept == {1: True, 2: True, 3: False, 4: False}
     labels = spark.createDataFrame([(4, 1)], "doc_id long, quality int")
     assert rules.fit(documents, labels).limit == 0
+
+
+def test_every_trusted_label_is_used(spark):
+    """The target and the limit come from all trusted documents, however many there are."""
+    n = 24_000
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality")
+    roles = {r["doc_id"]: r["held_out"] for r in rules._trusted(labels.unionByName(labels.limit(5))).collect()}
+    assert len(roles) == n and sum(roles.values()) == n // 2
+    documents = spark.range(n).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 60), i -> conv(id * 97 + i * 31, 10, 36))) AS text")
+    model = rules.fit(documents, labels)
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    raw, at = rules.T.view(rules.pa.array([texts[i] for i in sorted(texts)]))
+    held_out = np.array([roles[i] for i in sorted(texts)])
+    slots, owner = rules._grams(raw, at)
+    target, corpus = (np.bincount(slots[chosen], minlength=rules.SLOTS) + 0.5 for chosen in (~held_out[owner], np.ones(len(owner), bool)))
+    assert np.allclose(model.ratios, np.log(target / target.sum()) - np.log(corpus / corpus.sum()))
+    good = rules.scores(raw, at, model.ratios)[held_out & ~rules.base_failed(rules.base_counts(raw, at))]
+    low, middle = np.quantile(good, [rules.QUANTILE, 0.5])
+    assert len(good) > n // 3 and abs(model.limit - (low - rules.MARGIN * (middle - low))) < 1e-12

@@ -2,11 +2,15 @@
 
 The strings are sequences of small symbol numbers. States of the prefix tree are merged when their frequencies of
 ending and of going on with each symbol, and those of all states below, agree within a Hoeffding bound.
+
+The tree may be given as counted prefixes instead, without what follows rare ones: what is not known there is not
+compared. The counts of the merged automaton come from a replay of all strings, which can be made in parts.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,29 +41,29 @@ class Automaton:
         return out
 
 
-class _Tree:
-    """Prefix tree with counts, merged in place."""
-
-    def __init__(self, strings: list[bytes]):
-        self.seen, self.ended, self.after = [0], [0], [{}]
-        for string in strings:
-            node = 0
-            self.seen[0] += 1
-            for symbol in string:
-                if symbol not in self.after[node]:
-                    self.after[node][symbol] = len(self.seen)
-                    self.seen.append(0)
-                    self.ended.append(0)
-                    self.after.append({})
-                node = self.after[node][symbol]
-                self.seen[node] += 1
-            self.ended[node] += 1
+class Tree:
+    """Prefix tree with counts, merged in place; ``known`` counts the strings whose way on from a state is in the tree."""
+
+    def __init__(self, prefixes: Iterable[tuple[bytes, float, float, bool]]):
+        """Of each prefix, parents first: how many strings begin with it, end with it, and whether its children are given."""
+        self.seen, self.ended, self.known, self.after = [0], [0], [0], [{}]
+        at = {b"": 0}
+        for prefix, seen, ended, open_ in prefixes:
+            if prefix:
+                at[prefix] = self.after[at[prefix[:-1]]][prefix[-1]] = len(self.seen)
+                for counts in (self.seen, self.ended, self.known):
+                    counts.append(0)
+                self.after.append({})
+            node = at[prefix]
+            self.seen[node] = seen
+            if open_:
+                self.ended[node], self.known[node] = ended, seen
 
     def alike(self, a: int, b: int, bound: float) -> bool:
         pairs = [(a, b)]
         while pairs:
             a, b = pairs.pop()
-            n, m = self.seen[a], self.seen[b]
+            n, m = self.known[a], self.known[b]
             if n == 0 or m == 0:
                 continue
             limit = bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
@@ -80,6 +84,7 @@ class _Tree:
             a, b = pairs.pop()
             self.seen[a] += self.seen[b]
             self.ended[a] += self.ended[b]
+            self.known[a] += self.known[b]
             for symbol, y in self.after[b].items():
                 x = self.after[a].get(symbol)
                 if x is None:
@@ -88,9 +93,8 @@ class _Tree:
                     pairs.append((x, y))
 
 
-def infer(strings: list[bytes], symbols: int, confidence: float = 0.05, prior: float = 0.1) -> Automaton:
-    """Merge the prefix tree of the strings; ``prior`` is added to each count, so that nothing is impossible."""
-    tree = _Tree(strings)
+def merged(tree: Tree, symbols: int, confidence: float = 0.05) -> np.ndarray:
+    """Merge a prefix tree; ``next[state, symbol]`` of what is left, its last state for ways that are not known."""
     bound = math.sqrt(0.5 * math.log(2 / confidence))
     kept = [0]
     edges: dict[tuple[int, int], int] = {}
@@ -110,19 +114,44 @@ def infer(strings: list[bytes], symbols: int, confidence: float = 0.05, prior: f
             tree.fold(same, node)
             border += [(k, s) for k in kept for s in tree.after[k].keys() - had[k] if (k, s) not in edges]
     number = {node: i for i, node in enumerate(kept)}
-    size = len(kept) + 1
-    follow = np.full((size, symbols), size - 1, np.int64)
-    count = np.full((size, symbols + 1), prior)
-    through = {(source, symbol): 0 for source, symbol in edges}
-    # Replay the strings through the merged automaton for the counts of its steps.
+    follow = np.full((len(kept) + 1, symbols), len(kept), np.int64)
+    for (source, symbol), node in edges.items():
+        follow[number[source], symbol] = number[node]
+    return follow
+
+
+def replay(follow: np.ndarray, symbols: np.ndarray, first: np.ndarray, last: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """How often spans of ``symbols`` go on from each state with each symbol, and end there."""
+    size, width = follow.shape
+    out = np.zeros((size, width + 1), np.int64)
+    state = np.zeros(len(first), np.int64)
+    order = np.argsort(first - last, kind="stable")
+    first, length, weight = first[order], (last - first)[order], weight[order]
+    active = len(first)
+    for k in range(int(length[0]) if len(length) else 0):
+        active = int(np.searchsorted(-length[:active], -k, "left"))
+        symbol = symbols[first[:active] + k]
+        np.add.at(out, (state[:active], symbol), weight[:active])
+        state[:active] = follow[state[:active], symbol]
+    np.add.at(out, (state, width), weight)
+    return out
+
+
+def weighted(follow: np.ndarray, counts: np.ndarray, prior: float = 0.1) -> Automaton:
+    """The automaton of these ways and counts; ``prior`` is added to each count, so that nothing is impossible."""
+    raised = counts + prior
+    logs = np.log(raised / raised.sum(axis=1, keepdims=True))
+    return Automaton(follow, logs[:, :-1], logs[:, -1])
+
+
+def infer(strings: list[bytes], symbols: int, confidence: float = 0.05, prior: float = 0.1) -> Automaton:
+    """Merge the whole prefix tree of a few strings and replay them."""
+    seen: dict[bytes, list[int]] = {b"": [0, 0]}
     for string in strings:
-        node = 0
-        for symbol in string:
-            through[node, symbol] += 1
-            node = edges[node, symbol]
-        count[number[node], symbols] += 1
-    for (source, symbol), n in through.items():
-        follow[number[source], symbol] = number[edges[source, symbol]]
-        count[number[source], symbol] += n
-    logs = np.log(count / count.sum(axis=1, keepdims=True))
-    return Automaton(follow, logs[:, :symbols], logs[:, symbols])
+        for k in range(len(string) + 1):
+            seen.setdefault(string[:k], [0, 0])[0] += 1
+        seen[string][1] += 1
+    follow = merged(Tree((prefix, n, ended, True) for prefix, (n, ended) in seen.items()), symbols, confidence)
+    at = np.cumsum([0, *map(len, strings)])
+    raw = np.frombuffer(b"".join(strings), np.uint8)
+    return weighted(follow, replay(follow, raw, at[:-1], at[1:], np.ones(len(strings), np.int64)), prior)

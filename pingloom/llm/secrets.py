@@ -1,13 +1,16 @@
 """Secret scans: fixed patterns, and automata inferred from the credentials these label.
 
 Values found by the patterns are labelled credentials of their kind; other long tokens are ordinary ones. One
-probabilistic automaton per kind and one for ordinary tokens are inferred from their formats (symbol classes), each
-from a bounded sample: the ``SAMPLE`` distinct values with the lowest hash among those of at most ``LONGEST`` bytes.
+probabilistic automaton per kind and one for ordinary tokens are inferred from the formats (symbol classes) of all distinct
+values. Their prefixes are counted by Spark; the states are merged from the prefixes of at most ``LONGEST`` symbols that
+one in ``RESOLUTION`` values has, with the next symbols of each, as finely as so many values would tell them apart; the
+steps of the merged automaton are then counted over all values, whole.
 Every candidate, each maximal run of token characters in every text, is then scored by its best format likelihood
 against that of ordinary tokens; a candidate above the limit is added as ``format``, unless a pattern span holds all of it.
 A longer run that a pattern found in part only is added beside that span.
 
-Every second ordinary token of the sample, those that meet no pattern span, serves the automaton; the others set the limit.
+In the order of hashes, every second distinct ordinary token, of those that meet no pattern span, serves the automaton; the
+others set the limit, an exact quantile of their scores.
 A kind has an automaton as soon as it has a labelled value: states merge where the few values cannot tell them apart, and
 the limit, which comes from ordinary tokens, holds for all kinds alike.
 
@@ -20,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pingloom.llm import text as T
-from pingloom.llm.automata import Automaton, infer
-from pingloom.llm.frames import prepare, tidied
+from pingloom.llm.automata import Automaton, Tree, merged, replay, weighted
+from pingloom.llm.frames import hashed_sums, numbered, prepare, quantiles, tidied
 from pingloom.session import spool
 
 KINDS = ("assign", "access", "hex")
 FORMAT = "format"
 ORDINARY = "ordinary"
-SAMPLE = 3000
+RESOLUTION = 3000
 LONGEST = 256
 CANDIDATE_BYTES = 12
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
@@ -63,6 +65,9 @@ _CLASSES = (_LOWER[:6], _LOWER[6:], _UPPER[:6], _UPPER[6:], _DIGITS, b"+", b"/",
 _SYMBOL = np.full(256, len(_CLASSES), np.uint8)
 for _number, _members in enumerate(_CLASSES):
     _SYMBOL[list(_members)] = _number
+SYMBOLS = len(_CLASSES) + 1
+# Formats as text: a letter for each symbol.
+_LETTER = _SYMBOL + np.uint8(65)
 
 
 @dataclass
@@ -150,60 +155,103 @@ class Model:
         return best - self.ordinary.score(symbols, first, last)
 
 
-def _sample(documents: DataFrame) -> dict[str, list[bytes]]:
-    """For each kind, and for ordinary tokens, the distinct values with the lowest hash."""
+def _values(documents: DataFrame) -> DataFrame:
+    """Every distinct value of each kind, and every ordinary token, with its hash and its format."""
 
     @tidied
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, dict[bytes, int]] = defaultdict(dict)
         for batch in batches:
             for piece in T.pieces(batch):
                 raw, at = T.view(piece.column("text"))
                 known = pattern_spans(raw, at)
-                whole = raw.tobytes()
-                for kind, a, b in zip(known.kind, known.value_first, known.value_last):
-                    if b - a <= LONGEST:
-                        value = whole[a:b]
-                        found[KINDS[kind]][value] = xxhash.xxh3_64_intdigest(value) >> 1
+                whole, formats = raw.tobytes(), _LETTER[raw].tobytes()
+                found = {}
+                for kind, a, b in zip(known.kind.tolist(), known.value_first.tolist(), known.value_last.tolist()):
+                    found[KINDS[kind], whole[a:b]] = xxhash.xxh3_64_intdigest(whole[a:b]) >> 1, formats[a:b]
                 first, last, _ = ordinary_tokens(raw, at, known)
-                size = last - first
-                hashes = T.span_hashes(raw, first, last)
-                low = np.flatnonzero(size <= LONGEST)
-                low = low[np.argsort(hashes[low], kind="stable")[:SAMPLE]]
-                for i in low:
-                    found[ORDINARY][whole[first[i] : last[i]]] = int(hashes[i] >> np.uint64(1))
-            for kind, values in found.items():
-                if len(values) > 2 * SAMPLE:
-                    found[kind] = dict(sorted(values.items(), key=lambda x: (x[1], x[0]))[:SAMPLE])
-        rows = [(k, h, v) for k, values in found.items() for v, h in sorted(values.items(), key=lambda x: (x[1], x[0]))[:SAMPLE]]
-        yield pa.RecordBatch.from_pydict({
-            "kind": pa.array([r[0] for r in rows], pa.string()), "hash": pa.array([r[1] for r in rows], pa.int64()),
-            "value": pa.array([r[2] for r in rows], pa.binary()),
-        })
-
-    found = spool(documents.select("text").mapInArrow(collect, "kind string, hash long, value binary"), "secrets")
-    picked = {}
-    for kind in (*KINDS, ORDINARY):
-        rows = found.filter(F.col("kind") == kind).distinct().orderBy("hash", "value").limit(SAMPLE)
-        picked[kind] = [bytes(v) for v in rows.toArrow()["value"].to_pylist()]
-    return picked
+                hashes = (T.span_hashes(raw, first, last) >> np.uint64(1)).tolist()
+                for a, b, h in zip(first.tolist(), last.tolist(), hashes):
+                    found[ORDINARY, whole[a:b]] = h, formats[a:b]
+                yield pa.RecordBatch.from_pydict({
+                    "kind": pa.array([k for k, _ in found], pa.string()), "hash": pa.array([h for h, _ in found.values()], pa.int64()),
+                    "value": pa.array([v for _, v in found], pa.binary()),
+                    "format": pa.array([f.decode() for _, f in found.values()], pa.string()),
+                })
+
+    return spool(documents.select("text").mapInArrow(collect, "kind string, hash long, value binary, format string").distinct(), "secrets")
+
+
+def _shapes(strings: DataFrame, totals: dict[str, int]) -> dict[str, np.ndarray]:
+    """The merged states of each kind, from its frequent prefixes and their children; as many rows at most as a kind's resolution allows."""
+    size = F.length("format")
+    ends = strings.select("kind", "format", "n", "first", F.explode(F.sequence(F.lit(0), F.least(size, F.lit(LONGEST)))).alias("depth"))
+    counts = spool(
+        ends.groupBy("kind", F.col("format").substr(F.lit(1), F.col("depth")).alias("prefix"))
+        .agg(F.sum("n").alias("seen"), F.sum(F.when(F.col("depth") == size, F.col("n")).otherwise(0)).alias("ended"), F.min("first").alias("first")),
+        "prefixes",
+    )
+    least = F.create_map(*[F.lit(x) for kind, n in totals.items() for x in (kind, n / RESOLUTION)])[F.col("kind")]
+    is_open = (F.col("seen") >= least) & (F.length("prefix") < LONGEST)
+    parents = counts.filter(is_open).select("kind", F.col("prefix").alias("parent"))
+    inner = counts.filter(F.length("prefix") > 0).withColumn("parent", F.expr("substr(prefix, 1, length(prefix) - 1)"))
+    nodes = inner.join(parents, ["kind", "parent"]).unionByName(counts.filter(F.length("prefix") == 0), allowMissingColumns=True)
+    # in the order in which a tree of the values by their hashes would grow
+    rows = nodes.select("kind", "prefix", "seen", "ended", "first", is_open.alias("open")).orderBy("first", F.length("prefix"), "prefix").toArrow()
+    grown: dict[str, list[tuple[bytes, float, float, bool]]] = {kind: [] for kind in totals}
+    for kind, prefix, seen, ended, open_ in zip(*(rows[c].to_pylist() for c in ("kind", "prefix", "seen", "ended", "open"))):
+        scale = min(1.0, RESOLUTION / totals[kind])
+        grown[kind].append((bytes(ord(c) - 65 for c in prefix), seen * scale, ended * scale, open_))
+    return {kind: merged(Tree(prefixes), SYMBOLS) for kind, prefixes in grown.items()}
+
+
+def _learn(learned: DataFrame) -> dict[str, Automaton]:
+    """An automaton for each kind of value."""
+    strings = spool(learned.groupBy("kind", "format").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("first")), "formats")
+    totals = {r["kind"]: r["n"] for r in strings.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    if not totals:
+        return {}
+    shapes = _shapes(strings, totals)
+    width = SYMBOLS + 1
+    begins = dict(zip(shapes, np.cumsum([0, *[len(x) * width for x in shapes.values()]]).tolist()))
+
+    @tidied
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = np.array(batch.column("kind").to_pylist())
+            weight = batch.column("n").to_numpy()
+            raw, at = T.view(batch.column("format"))
+            for kind, follow in shapes.items():
+                own = np.flatnonzero(kinds == kind)
+                steps = replay(follow, raw - np.uint8(65), at[:-1][own], at[1:][own], weight[own]).ravel()
+                seen = np.flatnonzero(steps)
+                yield pa.RecordBatch.from_pydict({"slot": seen + begins[kind], "n": steps[seen]})
+
+    parts = strings.select("kind", "format", "n").mapInArrow(count, "slot long, n long")
+    sums = hashed_sums(parts, sum(len(x) for x in shapes.values()) * width, "n")["n"]
+    return {k: weighted(x, sums[begins[k] : begins[k] + len(x) * width].reshape(-1, width)) for k, x in shapes.items()}
 
 
 def fit(documents: DataFrame) -> Model:
     """Infer the automata and the limit."""
     prepare(documents.sparkSession)
-    picked = _sample(documents)
+    values = _values(documents)
+    ordinary = spool(numbered(values.filter(F.col("kind") == ORDINARY), "hash", "value"), "ordinary")
+    learned = values.filter(F.col("kind") != ORDINARY).unionByName(ordinary.filter("place % 2 = 0").drop("place"))
+    found = _learn(learned)
+    kinds = tuple(found[k] for k in KINDS if k in found)
+    held_out = ordinary.filter("place % 2 = 1").select("value")
+    if not kinds or not held_out.take(1):
+        return Model(kinds, None, np.inf)
+    model = Model(kinds, found[ORDINARY], np.inf)
 
-    def learn(values: list[bytes]) -> Automaton:
-        return infer([bytes(_SYMBOL[list(v)]) for v in values], len(_CLASSES) + 1)
+    @tidied
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = T.view(batch.column("value"))
+            yield pa.RecordBatch.from_pydict({"score": model.score(raw, at[:-1], at[1:])})
 
-    ordinary, held_out = picked[ORDINARY][::2], picked[ORDINARY][1::2]
-    kinds = tuple(learn(picked[k]) for k in KINDS if picked[k])
-    if not kinds or not held_out:
-        return Model(kinds, None, np.inf)
-    model = Model(kinds, learn(ordinary), np.inf)
-    raw, at = T.view(pa.array(held_out, pa.binary()))
-    return Model(kinds, model.ordinary, float(np.quantile(model.score(raw, at[:-1], at[1:]), QUANTILE)) + MARGIN)
+    (limit,) = quantiles(held_out.mapInArrow(score, "score double"), "score", QUANTILE)
+    return Model(kinds, model.ordinary, limit + MARGIN)
 
 
 def _joined(kinds: list[str], first: np.ndarray, last: np.ndarray) -> str:

@@ -121,3 +121,35 @@ def test_a_kind_with_few_labels_has_an_automaton(spark):
 def test_odd_rows(odd_documents, empty_documents):
     assert secrets.scan(odd_documents).count() == odd_documents.count()
     assert secrets.scan(empty_documents).count() == 0
+
+
+def test_every_distinct_value_is_counted(spark):
+    """All distinct values of a kind are learned from, however many and however long; the tree stays as fine as for a few."""
+    pick = random.Random(5)
+    keys = ["".join(pick.choice("ABCDXYZ0189abxy") for _ in range(20)) for _ in range(7000)] + ["g1" * 400]
+    words = ["".join(pick.choice("aeioubcdfglmnprst") for _ in range(pick.randint(12, 18))) for _ in range(9000)]
+    rows = [(i, f"token={k} {words[i]} {words[-1 - i]}") for i, k in enumerate(keys)] + [(-1, f"token={keys[0]}")]
+    values = secrets._values(spark.createDataFrame(rows, "doc_id long, text string"))
+    sizes = {r["kind"]: r["count"] for r in values.groupBy("kind").count().collect()}
+    assert sizes == {"assign": len(set(keys)), secrets.ORDINARY: len(set(words))}
+    assign = secrets._learn(values.filter("kind = 'assign'"))["assign"]
+    assert set(secrets._learn(values)) == {"assign", secrets.ORDINARY}
+    whole = automata.infer([bytes(secrets._SYMBOL[list(k.encode())]) for k in keys[:2000]], secrets.SYMBOLS)
+    assert len(assign.step) <= 2 * len(whole.step) + 10
+    tail = np.frombuffer(b"".join(k.encode() for k in keys[5000:7000]), np.uint8)
+    at = np.arange(2001) * 20
+    mean = [x.score(secrets._SYMBOL[tail], at[:-1], at[1:]).mean() for x in (assign, whole)]
+    assert mean[0] > mean[1] - 1
+
+
+def test_a_counted_tree_gives_the_same_automaton(spark):
+    """Up to the resolution, prefixes counted by Spark give the automaton of the values themselves."""
+    pick = random.Random(6)
+    keys = sorted({"AKIA" + "".join(pick.choice("ABXY019") for _ in range(pick.randint(14, 20))) for _ in range(900)})
+    documents = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "doc_id long, text string")
+    values = secrets._values(documents).filter("kind = 'access'")
+    ordered = [bytes(r["value"]) for r in values.orderBy("hash").collect()]
+    wanted = automata.infer([bytes(secrets._SYMBOL[list(v)]) for v in ordered], secrets.SYMBOLS)
+    got = secrets._learn(values)["access"]
+    assert len(ordered) == len(keys)
+    assert np.array_equal(got.next, wanted.next) and np.allclose(got.step, wanted.step) and np.allclose(got.end, wanted.end)

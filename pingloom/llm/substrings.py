@@ -32,8 +32,10 @@ from pingloom.llm.run_index import build, window_classes
 WIDTH, ANCHOR = 50, 24
 REACH = WIDTH - ANCHOR + 1
 BLOCK_BYTES = 8 << 20
-# A bucket sorts all suffixes of its segments, which takes about a hundred times their size.
+# A bucket sorts all suffixes of its segments, which takes about a hundred times their size. It does so by parts of its
+# range of anchors, since segments of different anchors share no window and sorting is fast while a part fits the cache.
 BUCKETS_PER_BLOCK = 4
+PARTS = 32
 _CHUNK_BITS = 19
 _LOW = np.uint64((1 << (_CHUNK_BITS + 1)) - 1)
 _NONE, _LEAST = np.iinfo(np.int64).max, np.iinfo(np.int64).min
@@ -106,7 +108,7 @@ def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 SEGMENTS = pa.schema([
     ("bucket", pa.int32()), ("block", pa.int32()), ("digests", pa.binary()), ("many", pa.binary()), ("least", pa.binary()),
-    ("bytes", pa.binary()),
+    ("parts", pa.binary()), ("bytes", pa.binary()),
 ])
 TOLD = pa.schema([("block", pa.int32()), ("digests", pa.binary()), ("starts", pa.binary()), ("least", pa.binary())])
 KEPT = pa.schema([
@@ -167,46 +169,58 @@ def _send_segments(n_buckets: int):
         one = chosen[example]
         order = np.argsort(found.anchor[one], kind="stable")
         one, digests, least = one[order], digests[order], least[order]
+        part = (((found.anchor[one] >> np.uint64(32)) * np.uint64(n_buckets * PARTS)) >> np.uint64(32)) % np.uint64(PARTS)
         for b, own in bucket_runs(found.anchor[one], n_buckets):
             many = found.many[one[own]]
             _put(
                 rows, b, key[0].as_py(), pack(digests[own]), pack(many.astype(np.uint8)), pack(least[own]),
-                pack(raw[_slices(found.first[one[own]], many + WIDTH - 1)]),
+                pack(part[own].astype(np.uint8)), pack(raw[_slices(found.first[one[own]], many + WIDTH - 1)]),
             )
         return _table(rows, SEGMENTS)
 
     return run
 
 
+def _window_least(text: np.ndarray, length: np.ndarray, many: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For each window of some segments, in a row, the smallest id of all segments that have it."""
+    begins = np.cumsum(length) - length
+    index = build(text, begins)
+    segment = np.repeat(np.arange(len(many)), length)[index.order]
+    starts_window = index.order - begins[segment] < many[segment]
+    group = window_classes(index, WIDTH)
+    lowest = np.full(int(group[-1]) + 1, _NONE)
+    np.minimum.at(lowest, group[starts_window], least[segment[starts_window]])
+    at_position = np.full(len(text), _NONE)
+    at_position[index.order] = lowest[group]
+    return at_position[_slices(begins, many)]
+
+
 def _match(table: pa.Table) -> pa.Table:
     """Index the distinct segments of a bucket and tell each block the smallest id that has each window."""
     digests = [unpack(d.as_py(), np.uint64) for d in table["digests"]]
     sizes = [len(d) for d in digests]
     many = np.concatenate([unpack(m.as_py(), np.uint8) for m in table["many"]]).astype(np.int64)
     own_least = np.concatenate([unpack(x.as_py(), np.int64) for x in table["least"]])
+    part = np.concatenate([unpack(p.as_py(), np.uint8) for p in table["parts"]])
     text = np.concatenate([unpack(b.as_py(), np.uint8) for b in table["bytes"]])
     length = many + WIDTH - 1
     first = np.cumsum(length) - length
     kinds, example, which, least = _distinct(np.concatenate(digests), own_least)
-    many, length, first = many[example], length[example], first[example]
-    text = text[_slices(first, length)]
-    begins = np.cumsum(length) - length
-
-    index = build(text, begins)
-    segment = np.repeat(np.arange(len(kinds)), length)[index.order]
-    starts_window = index.order - begins[segment] < many[segment]
-    group = window_classes(index, WIDTH)
-    lowest = np.full(int(group[-1]) + 1, _NONE)
-    np.minimum.at(lowest, group[starts_window], least[segment[starts_window]])
-    at_position = np.full(len(text), _NONE)
-    at_position[index.order] = lowest[group]
+    # the distinct segments, part by part
+    order = np.argsort(part[example], kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    example, which, kinds, least = example[order], place[which], kinds[order], least[order]
+    many, length, first, part = many[example], length[example], first[example], part[example]
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    value = np.concatenate([
+        _window_least(text[_slices(first[x:y], length[x:y])], length[x:y], many[x:y], least[x:y]) for x, y in zip(cuts[:-1], cuts[1:])
+    ])
 
     # Per segment the windows in a row, cut where the smallest id changes.
-    spots = _slices(begins, many)
     owner = np.repeat(np.arange(len(kinds)), many)
-    window = spots - begins[owner]
-    value = at_position[spots]
-    cut = np.ones(len(spots), dtype=bool)
+    window = _slices(np.zeros(len(kinds), np.int64), many)
+    cut = np.ones(len(value), dtype=bool)
     cut[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
     owner, window, value = owner[cut], window[cut], value[cut]
     per = np.bincount(owner, minlength=len(kinds))

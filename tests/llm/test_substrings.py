@@ -91,3 +91,19 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
 
 def test_no_rows(empty_documents):
     assert substrings.deduplicate(empty_documents).count() == 0
+
+
+def test_a_bucket_is_sorted_by_parts(monkeypatch):
+    """Segments of different anchors share no window, so a bucket's suffixes are never sorted in one piece."""
+    pick, pa = random.Random(7), substrings.pa
+    texts = ["".join(pick.choice("abcdefghij ") for _ in range(5000)) for _ in range(20)]
+    documents = pa.table({"doc_id": pa.array(range(40), pa.int64()), "text": texts * 2})
+    raw, at, _, _ = substrings._block(documents)
+    anchors = np.unique(substrings.Segments(raw, at).anchor)
+    shared = pa.table({"keys": pa.array([exchange.pack_sorted(anchors)], pa.binary())})
+    sent = substrings._send_segments(1)((pa.scalar(0),), documents, shared)
+    sizes, build = [], substrings.build
+    monkeypatch.setattr(substrings, "build", lambda text, begins: sizes.append(len(text)) or build(text, begins))
+    # every window is known to the block already: the smallest id that has it is one of its own
+    assert substrings._match(sent).num_rows == 0
+    assert sent.num_rows == 1 and len(sizes) > substrings.PARTS // 2 and max(sizes) < sum(sizes) / 8

@@ -169,6 +169,50 @@ def test_drift_reports_new_missing_and_retyped(spark):
     assert found[("tramo.fraccion", "NUMBER")] == "igual"
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ('{"a":-1.5,"b":"x: 1,","c":[1, 2e3,[3],"4",null]}', '{"a":0,"b":"","c":[0, 0,[0],"",null]}'),
+        ('{"k 12 ,5]":"","a" : 7 }', '{"k 12 ,5]":"","a" : 7 }'),
+        # neither names nor defects change
+        ('{":5,":1,"a:1,b":true}', '{":5,":1,"a:1,b":true}'),
+        ('{"a":01,"b":1.,"c":+1,"d":1x}', '{"a":01,"b":1.,"c":+1,"d":1x}'),
+        ('{"a":12}{"a":12}', '{"a":0}{"a":0}'),
+        # what cannot be told without parsing is left alone
+        ('{"a":"\\"","b":12}', '{"a":"\\"","b":12}'),
+        ('{"_end":12}', '{"_end":12}'),
+        ("[12]", "[12]"),
+        (None, None),
+    ],
+)
+def test_shape_keeps_names_nesting_and_defects(spark, text, expected):
+    assert spark.createDataFrame([(text,)], "doc string").select(quality.shape(F.col("doc"))).first()[0] == expected
+
+
+def test_shape_is_read_as_its_document_is(spark):
+    texts = ['{"a":1,"b":["x",2.5,{"c":null}]}', '{"a":"p\nq","b":1}', '{"a":1} ]', '{"ñ":"é","n":[[1,2],[3]]}', '{"a":"b":1}', '{"a":1,"a":2}', '{"a":"']
+    texts += [t[:i] + c + t[i:] for t in texts for i in range(0, len(t), 2) for c in ('"', ",", "1", ":", "]")]
+
+    def census(column):
+        return sorted(map(tuple, quality.field_census(docs.select(column.alias("value"))).collect()))
+
+    # an escape keeps a document from having a shape
+    docs = spark.createDataFrame([(t,) for t in texts], "value string")
+    plain = F.when(F.col("value").startswith("{"), F.concat(F.lit('{"z":0,'), F.substring("value", 2, 10**6))).otherwise(F.col("value"))
+    escaped = F.when(F.col("value").startswith("{"), F.concat(F.lit('{"\\u007a":0,'), F.substring("value", 2, 10**6))).otherwise(F.col("value"))
+    assert census(plain) == census(escaped)
+
+
+def test_documents_of_one_shape_are_parsed_once(spark, monkeypatch):
+    rows = []
+    taken_apart = quality._taken_apart
+    monkeypatch.setattr(quality, "_taken_apart", lambda df: rows.append(df.count()) or taken_apart(df))
+    raw = spark.createDataFrame([(json.dumps(ping(bus_id=f"B{i}", velocidad_kmh=i / 4)),) for i in range(200)], "value string")
+    found = {r["campo"]: r["documentos"] for r in quality.field_census(raw).collect()}
+    assert found["bus_id"] == found["velocidad_kmh"] == 200
+    assert rows[0] == 1
+
+
 @pytest.mark.parametrize("tail", ["{}", "x", "]", "}", ",", " 1", '{"a":1}', "]}", '],"x":[1', ',{"_end":1}]', "null", '"'])
 def test_text_behind_a_document_is_malformed(spark, tail):
     text = json.dumps(ping())

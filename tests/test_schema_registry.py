@@ -78,3 +78,13 @@ def test_equal_nested_values_are_parsed_once(spark):
     found = {(r["campo"], r["tipo_observado"]): r["documentos"] for r in quality.field_census(raw).collect()}
     assert found[("a.b.c.d.e[].f", "STRING")] == 5000 and found[("a.b.c.d.e[]", "NUMBER")] == 5000
     assert set(found.values()) == {5000}
+
+
+def test_extracts_are_parsed_by_shape(spark, tmp_path, monkeypatch):
+    root, rows, taken_apart = str(tmp_path / "r"), [], quality._taken_apart
+    monkeypatch.setattr(quality, "_taken_apart", lambda df: rows.append(df.count()) or taken_apart(df))
+    registry.register(spark, root, schemas.struct(DDL))
+    registry.observe(extract(spark, *[{"a": i, "s": {"x": f"k{i}"}, "gone": "z", "new": [i, i]} for i in range(100)]), root)
+    assert listed(registry.fields(spark, root))["new"] == ("ARRAY", 2)
+    assert {r["documentos"] for r in registry.change_log(spark, root).filter("campo = 'new[]'").collect()} == {200}
+    assert rows[0] == 1

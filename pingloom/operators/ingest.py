@@ -139,7 +139,12 @@ def _extra(tramo: Column, metrics: Column) -> Column:
     last = F.aggregate(
         found, none, lambda kept, e: F.concat(F.filter(kept, lambda k: k["key"] != e["key"]), F.array(e))
     )
-    return F.when(F.size(found) > 0, F.map_from_entries(last))
+
+    def has_others(document: Column, known: tuple[str, ...]) -> Column:
+        return F.coalesce(F.size(F.array_except(F.map_keys(document), F.array(*map(F.lit, known)))) > 0, F.lit(False))
+
+    # nearly all pings have none, which their keys tell without the entries being gone through
+    return F.when(has_others(tramo, schemas.TRAMO_FIELDS) | has_others(metrics, schemas.METRIC_FIELDS), F.map_from_entries(last))
 
 
 def decode(raw: DataFrame, value: str = "value", arrived_at: str = "arrived_at", seq: str | None = None) -> DataFrame:

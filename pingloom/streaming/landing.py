@@ -12,7 +12,7 @@ from pingloom import schemas
 from pingloom.operators import ingest
 from pingloom.operators.retention import RETENTION_HOURS, unexpired
 from pingloom.plans.lookup import Positions
-from pingloom.session import finished_folders, remove, spool
+from pingloom.session import finished_folders, remove, scratch_path, spool
 from pingloom.sources.pings import bodies, landed_text
 from pingloom.streaming.snapshot import Snapshot, numbers
 
@@ -118,8 +118,12 @@ class Store:
         gathering by date would send most of it to one task.
         """
         spark = decoded.sparkSession
+        held = None
         if repeats is not None:
-            decoded = self.without_repeats(decoded, batch_id, repeats)
+            # judged pings go two ways from here: read back, they are not decoded once for each
+            held = scratch_path(spark, "decoded")
+            decoded.write.parquet(held)
+            decoded = self.without_repeats(spark.read.schema(decoded.schema).parquet(held), batch_id, repeats)
         outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
         day = F.when(F.col("reject_reason").isNull(), F.to_date("timestamp"))
         (
@@ -130,6 +134,8 @@ class Store:
             .partitionBy("outcome", "fecha")
             .parquet(self.batch_folder(batch_id))
         )
+        if held is not None:
+            remove(spark, held)
         written = self._batch_history(spark, batch_id)
         # an event time ahead of its arrival is a wrong clock, and does not move the mark
         newest = written.agg(F.max(F.least("timestamp", "ingested_at")).alias("newest"))

@@ -358,3 +358,18 @@ def test_landing_text_is_stamped(spark, tmp_path):
 def test_unknown_document_format(spark):
     with pytest.raises(ValueError):
         pings.read_documents(spark, "x", "xml")
+
+
+def test_dropping_repeats_decodes_a_batch_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        calls.add(1)
+        return text
+
+    store = landing.Store(str(tmp_path / "store"))
+    lines = [line(1, "a", 10, 10), line(1, "a", 10, 10), line(2, "b", 1, 11), line(5, "c", 1, 31, lat=9.0)]
+    decoded = raw_frame(spark, lines).withColumn("bus_id", F.udf(seen, "string").asNondeterministic()("bus_id"))
+    store.write_batch(decoded, 0, repeats=timedelta(hours=1))
+    assert calls.value == 4
+    assert sorted(r["bus_id"] for r in store.history(spark).collect()) == ["a", "b"] and store.rejects(spark).count() == 1

@@ -82,26 +82,44 @@ def _taken_apart(rows: DataFrame) -> DataFrame:
     return found
 
 
-# Strings of a text without escapes: names, which a colon follows, are kept, values are emptied.
-_STRINGS = r'("[^"\x00-\x1f]*+"\s*+:)|(")[^"\x00-\x1f]*+(")'
-# Numbers behind a name, and those that follow one in an array. A quote behind a letter or digit never opens a string, so
-# what follows it and a colon is no part of a name.
-_NUMBERS = r'((?:(?<=\w":)|\G(?=[\s,\]]))[\s,\[\]]{0,8}+)-?(?:0|[1-9]\d{0,17})(?:\.\d{1,20})?(?:[eE][+-]?\d{1,2})?(?=[\s,\]}])'
-# Longer documents are left as they are, so that the limits of the parser tell as before.
+# A text is gone through once, value by value, each match beginning where the one before it ends; from the first escape or
+# thing that is no part of JSON on, the rest is left as it is. In front of a value stand brackets, commas and names, which
+# are kept, and so are numbers right behind a name that ends in no letter or digit, or has a space before its colon.
+_NUMBER = r"-?(?:0|[1-9]\d{0,17})(?:\.\d{1,20})?(?:[eE][+-]?\d{1,2})?"
+_CHARS = r'[^"\\\x00-\x1f]*+"'
+_BEFORE = rf'[\s,\[\]{{}}]*+(?:"{_CHARS}\s*+:(?:(?<!\w":)\s*+[-+.\deE]++)?[\s,\[\]{{}}]*+){{0,64}}+'
+_VALUES = rf'\G({_BEFORE})(?:("){_CHARS}(?!\s*+:)|(?:{_NUMBER}|tru(e)|fals(e)|nul(l))(?=[\s,\]}}]))'
+# Stands behind what is left of a value; no character of JSON.
+_MARK = "\x01"
+# Documents of more bytes are left as they are, so that the limits of the parser tell as before.
 SHAPED_LENGTH = 1 << 20
 
 
+def _has_shape(doc: Column) -> Column:
+    """False where broken characters, no object or the name that ``is_whole`` reads make a document its own shape."""
+    odd = doc.contains('"_end"') | doc.contains(_MARK)
+    return doc.startswith("{") & ~odd & (F.octet_length(doc) <= SHAPED_LENGTH) & F.is_valid_utf8(doc)
+
+
+def _outline(doc: Column) -> Column:
+    """The document with a mark for each value: behind a quote for a string, ``e`` for a boolean, ``l`` for null, alone for a number."""
+    return F.regexp_replace(doc, _VALUES, "$1$2$3$4$5" + _MARK)
+
+
+def _filled(outline: Column) -> Column:
+    """The outline as a document again, with one value of each kind."""
+    for mark, value in (('"', '""'), ("e", "true"), ("l", "null"), ("", "0")):
+        outline = F.replace(outline, F.lit(mark + _MARK), F.lit(value))
+    return outline
+
+
 def shape(doc: Column) -> Column:
-    """The document with its strings emptied and its numbers made 0; names, nesting and defects stay as they are.
+    """The document with its strings emptied, its numbers made 0 and its booleans true; names, nesting and defects stay.
 
     Documents of one shape have the same kinds at the same paths, or none of them can be read. A token is replaced by
-    one of its kind only, so text that is no JSON does not become JSON. Where that cannot be told without parsing (escapes,
-    broken characters, no object, the name that ``is_whole`` reads) a document is its own shape.
+    one of its kind only, so text that is no JSON does not become JSON.
     """
-    plain = (
-        doc.startswith("{") & ~doc.contains("\\") & ~doc.contains('"_end"') & (F.length(doc) <= SHAPED_LENGTH) & F.is_valid_utf8(doc)
-    )
-    return F.when(plain, F.regexp_replace(F.regexp_replace(doc, _STRINGS, "$1$2$3"), _NUMBERS, "$10")).otherwise(doc)
+    return F.when(_has_shape(doc), _filled(_outline(doc))).otherwise(doc)
 
 
 def field_census(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -114,7 +132,14 @@ def field_census(raw: DataFrame, value: str = "value") -> DataFrame:
     texts = once(raw, F.col(value).alias("raw"), document_text(F.col(value)).alias("doc"))
     # what a document is wrapped in has to be judged by itself
     enclosed = (F.col("doc") == F.col("raw")) | is_whole(F.col("raw"))
-    shapes = texts.groupBy(F.when(enclosed, shape(F.col("doc"))).alias("doc")).agg(F.count(F.lit(1)).alias("n"))
+    judged = once(texts, F.when(enclosed, F.col("doc")).alias("doc"))
+    # grouped by outlines, of which only the distinct ones are filled again
+    shaped = _has_shape(F.col("doc"))
+    outlines = judged.groupBy(F.when(shaped, _outline(F.col("doc"))).otherwise(F.col("doc")).alias("outline"), shaped.alias("shaped"))
+    shapes = once(
+        outlines.agg(F.count(F.lit(1)).alias("n")),
+        F.when(F.col("shaped"), _filled(F.col("outline"))).otherwise(F.col("outline")).alias("doc"), "n",
+    )
     rows = once(shapes, F.lit("").alias("path"), F.when(is_whole(F.col("doc")), F.try_parse_json("doc")).alias("value"), "n")
     found: DataFrame | None = None
     while True:

@@ -575,12 +575,12 @@ def profile(spark, sf):
 
 
 def schema_drift(spark, sf):
-    return quality.schema_drift(tables.raw_pings(spark, sf), schemas.struct(schemas.PING))
+    return quality.schema_drift(tables.raw_pings(spark, sf, spread=True), schemas.struct(schemas.PING))
 
 
 def schema_versions(spark, sf):
     """All pings as two extracts, one after the other: the fields by version, and what each extract changed."""
-    raw = tables.raw_pings(spark, sf)
+    raw = tables.raw_pings(spark, sf, spread=True)
     root = scratch_path(spark, "registry")
     schema_registry.register(spark, root, schemas.struct(schemas.PING))
     for part in ("seq % 20 < 14", "seq % 20 >= 14"):

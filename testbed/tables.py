@@ -19,12 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def positions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Every event as a position, in and outside of the service area.
 
-    Arrival lags the event by 0 to 99 hours, so arrival order and event order disagree.
+    Arrival lags the event by 0 to 99 hours, so arrival order and event order disagree. ``spread`` deals the events over
+    all tasks before anything is made of them: a file of one row group is read by a single one.
     """
     events = table(spark, sf_dir, "events")
+    if spread:
+        events = events.repartition("event_id", "ts", "user_id")
     keyed = events.selectExpr(
         "*", "cast(get_json_object(props, '$.k') as int) AS k", "cast(ts as timestamp) AS event_ts"
     )
@@ -63,9 +66,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("location", geo.geojson_point(F.col("lon"), F.col("lat"))).drop("lon", "lat")
 
 
-def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_pings(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Every event as a raw JSON ping; the event number decides which defect, if any, it carries."""
-    pos = positions(spark, sf_dir)
+    pos = positions(spark, sf_dir, spread)
     stamp = "date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
     cleaned = pos.selectExpr("*", "arrival_seq % 20 AS defect", f"{stamp} AS stamp")
     coordinates = """CASE defect

@@ -5,6 +5,8 @@ import pytest
 from pingloom import schemas
 from pingloom.operators import quality
 from pingloom.sources import schema_registry as registry
+from plan_text import plan
+from testbed import queries, tables
 
 DDL = "a int, s struct<x: string>, gone string"
 
@@ -88,3 +90,45 @@ def test_extracts_are_parsed_by_shape(spark, tmp_path, monkeypatch):
     assert listed(registry.fields(spark, root))["new"] == ("ARRAY", 2)
     assert {r["documentos"] for r in registry.change_log(spark, root).filter("campo = 'new[]'").collect()} == {200}
     assert rows[0] == 1
+
+
+def test_extracts_that_differ_in_values_have_one_shape(spark, tmp_path, monkeypatch):
+    """Booleans, and numbers that follow something else than a number in an array, do not make shapes either."""
+    root, rows, taken_apart = str(tmp_path / "r"), [], quality._taken_apart
+    monkeypatch.setattr(quality, "_taken_apart", lambda df: rows.append(df.count()) or taken_apart(df))
+    registry.register(spark, root, schemas.struct(DDL))
+    documents = [{"a": i, "on": i % 2 == 0, "list": ["x", i, None, i % 3 == 0, i / 4, {"b": f"t{i},1"}, {}]} for i in range(100)]
+    registry.observe(extract(spark, *documents), root)
+    assert rows[0] == 1
+    found = {(r["campo"], r["tipo_observado"]): r["documentos"] for r in registry.change_log(spark, root).collect()}
+    assert found[("on", "BOOLEAN")] == found[("list[]", "BOOLEAN")] == 100 and found[("list[]", "NUMBER")] == 200
+    assert found[("list[]", "OBJECT")] == 200 and found[("list[].b", "STRING")] == 100
+
+
+def test_marks_of_values_are_no_part_of_documents(spark):
+    texts = ['{"a":\x01}', '{"a":e\x01}', '{"a":"\x01}', '\x01', '{"a":t5}', '{"a":"x""y"}', '{"a":true5}', '{"a":5 5}', '{"a":falsee}', '{"a":nul}']
+    found = quality.field_census(extract(spark, *texts, '{"a":false}', '{"a":1}')).collect()
+    assert {(r["campo"], r["tipo_observado"]): r["documentos"] for r in found} == {
+        ("$", "INVALID"): len(texts), ("a", "BOOLEAN"): 1, ("a", "NUMBER"): 1,
+    }
+
+
+def test_more_names_in_a_row_than_are_taken_at_once(spark):
+    deep = '{"a":' * 70 + "%d" + "}" * 70 + "%s"
+    found = quality.field_census(extract(spark, *[deep % (i, "") for i in range(3)], deep % (1, "x"))).collect()
+    counts = {r["campo"]: r["documentos"] for r in found}
+    assert counts[".".join("a" * 70)] == 3 and counts["$"] == 1
+
+
+def test_pings_of_one_row_group_are_spread_before_they_are_made(spark, tmp_path, monkeypatch):
+    root, extracts, observe = str(tmp_path), [], registry.observe
+    spark.range(200).coalesce(1).selectExpr(
+        "CASE WHEN id % 50 = 49 THEN NULL ELSE id % 150 END AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts",
+        "id AS user_id", "'view' AS event_type", "id / 4 AS value", "concat('{\"k\": ', id, '}') AS props",
+    ).write.parquet(f"{root}/events.parquet")
+    monkeypatch.setattr(registry, "observe", lambda raw, root: extracts.append(raw) or observe(raw, root))
+    queries.schema_versions(spark, root).collect()
+    assert len(extracts) == 2 and all("hashpartitioning(event_id" in plan(raw) for raw in extracts)
+    together = extracts[0].unionByName(extracts[1])
+    plainly = tables.raw_pings(spark, root).filter("seq IS NOT NULL")
+    assert together.count() == plainly.count() and together.exceptAll(plainly).isEmpty()
